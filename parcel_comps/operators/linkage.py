@@ -197,7 +197,8 @@ def attach_by_id(
 ) -> DataFrame:
     """Left-join attribute columns by trimmed id; the last row per id wins."""
     trimmed = attributes.withColumn("_id", strip(F.col(key).cast("string")))
-    lookup = last_wins(trimmed.select("_id", *columns, *order), ["_id"], order)
+    kept = list(dict.fromkeys(["_id", *columns, *order]))
+    lookup = last_wins(trimmed.select(*kept), ["_id"], order)
     keyed = df.withColumn("_id", strip(F.col(key).cast("string")))
     return skew_join(keyed, lookup.select("_id", *columns), ["_id"], [key]).select(
         *df.columns, *columns
