@@ -7,11 +7,16 @@ in SQL; without one they would be DECIMAL.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from parcel_comps import fixed_values as fixed
 from parcel_comps.functions.geometry import rectangle
+from parcel_comps.operators.spatial import index_parcels
+from parcel_comps.operators.store import cache_requests
+from parcel_comps.plans.checkpoints import shared_folder
 
 STREETS = ["OAK", "Elm", "Mountain View", "St. Mary's"]
 SUFFIXES = ["ROAD", "Rd", "RD.", "Road"]
@@ -297,8 +302,6 @@ def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def cache(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from parcel_comps.operators.store import cache_requests
-
     rows = cache_requests(requests(spark, sf_dir), "feed").where("user_id % 4 <> 0")
     grouped = rows.groupBy("source", "endpoint", "request_key", "user_id").agg(
         F.min("ts").alias("fetched_at"), F.min("event_id").alias("response_id")
@@ -341,3 +344,23 @@ def address_sql(expr: str) -> str:
 
 def street_sql(expr: str) -> str:
     return f"regexp_replace({address_sql(expr)}, '^[0-9]+( |$)', '')"
+
+
+# --- stored tables ------------------------------------------------------------------------------
+
+_STORED: dict[tuple[str, str], str] = {}
+
+
+def scratch(spark: SparkSession) -> str:
+    """A new path in the cluster's shared folder."""
+    return f"{shared_folder(spark)}/checks/{uuid.uuid4().hex}"
+
+
+def stored_parcels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The parcels as an ingest leaves them: indexed and written to Parquet, once per session."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _STORED:
+        path = scratch(spark)
+        index_parcels(parcels(spark, sf_dir)).write.parquet(path)
+        _STORED[key] = path
+    return spark.read.parquet(_STORED[key])

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import datetime as dt
-import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,17 +19,16 @@ from parcel_comps.operators import normalize as N
 from parcel_comps.operators import quality as Q
 from parcel_comps.operators import store as P
 from parcel_comps.operators.spatial import eligible_listings
-from parcel_comps.plans.checkpoints import shared_folder
 from parcel_comps.plans.ingest import ingest_listings, ingest_parcels, link_features, normalize_parcels
 from parcel_comps.sources import readers as R
 from parcel_comps.sources import writers as Wr
 
-TODAY = F.lit(dt.date(2025, 1, 2))
-NOW = F.lit("2024-02-01 00:00:00").cast("timestamp")
+def today() -> Column:
+    return F.lit(dt.date(2025, 1, 2))
 
 
-def scratch(spark: SparkSession) -> str:
-    return f"{shared_folder(spark)}/checks/{uuid.uuid4().hex}"
+def now() -> Column:
+    return F.lit("2024-02-01 00:00:00").cast("timestamp")
 
 
 # --- raw features ------------------------------------------------------------------------------
@@ -85,7 +83,7 @@ SELECT k AS pos, 'CT:' || nullif(parcel_id, '') AS property_id, coalesce(town_na
        {_CT_TYPE} AS property_type, round((3 * y0 + 2 * y1) / 5e0, 9) AS latitude
 FROM ct""", _CT_SQL))
 def normalize_ct(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = N.normalize_ct(ct_features(spark, sf_dir), R.type_mapping(spark), "Bristol", source_date=TODAY)
+    rows = N.normalize_ct(ct_features(spark, sf_dir), R.type_mapping(spark), "Bristol", source_date=today())
     return rows.select(
         F.col("_pos").alias("pos"), "property_id", "municipality", "city", "acreage", "assessed_value",
         "assessment_year", "last_sale_date", "bathrooms", "property_type", F.round("latitude", 9).alias("latitude"),
@@ -97,7 +95,7 @@ SELECT k AS pos, CASE WHEN count(*) OVER (PARTITION BY coalesce(town_name, 'Bris
                       THEN pid || '#OBJECTID' || objectid ELSE pid END AS property_id
 FROM (SELECT *, 'CT:' || nullif(parcel_id, '') AS pid FROM ct)""", _CT_SQL))
 def disambiguate_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = normalize_parcels(ct_features(spark, sf_dir), "CT", R.type_mapping(spark), "Bristol", TODAY)
+    rows = normalize_parcels(ct_features(spark, sf_dir), "CT", R.type_mapping(spark), "Bristol", today())
     return rows.select(F.col("_pos").alias("pos"), "property_id")
 
 
@@ -105,18 +103,18 @@ def disambiguate_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT count(*) AS records, count(*) FILTER (parcel_id = '') AS no_parcel_id,
        0 AS no_geometry FROM ct""", _CT_SQL))
 def validate_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = N.normalize_ct(ct_features(spark, sf_dir), R.type_mapping(spark), "Bristol", source_date=TODAY)
+    rows = N.normalize_ct(ct_features(spark, sf_dir), R.type_mapping(spark), "Bristol", source_date=today())
     return Q.validate_records(rows)
 
 
 @query("town_counts", fx.with_frames("""
 SELECT t.town, count(c.k) AS records, count(c.k) = 0 AS empty_town
 FROM (SELECT n_name AS town FROM nation UNION ALL SELECT 'Nowhere') t
-LEFT JOIN lots c ON c.n_name = t.town AND c.k % 3 = 0 GROUP BY t.town"""))
+LEFT JOIN lots c ON c.n_name = t.town GROUP BY t.town"""))
 def town_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     towns = fx.table(spark, sf_dir, "nation").select(F.col("n_name").alias("town"))
     towns = towns.unionByName(spark.range(1).select(F.lit("Nowhere").alias("town")))
-    rows = fx.lots(spark, sf_dir).where("k % 3 = 0").select(F.col("n_name").alias("town"))
+    rows = fx.lots(spark, sf_dir).select(F.col("n_name").alias("town"))
     return Q.town_counts(rows, towns, ["town"])
 
 
@@ -150,7 +148,7 @@ def normalize_ma(spark: SparkSession, sf_dir: str) -> DataFrame:
     features = rows.select(
         attributes.alias("properties"), F.concat(F.lit('{"rings":'), outer, F.lit("}")).alias("geometry")
     )
-    out = N.normalize_ma(features, R.type_mapping(spark), source_date=TODAY)
+    out = N.normalize_ma(features, R.type_mapping(spark), source_date=today())
     return out.select(
         "property_id", "address", "city", "zip", F.round("acreage", 8).alias("acreage"), "building_sqft",
         "last_sale_date", "bedrooms", F.round("longitude", 9).alias("longitude"),
@@ -225,7 +223,7 @@ SELECT 'NH:' || pid_text AS property_id, coalesce(vgsi_location, street_address)
        CAST(NULL AS INTEGER) AS year_built FROM linked""", LINK_SQL))
 def normalize_nh(spark: SparkSession, sf_dir: str) -> DataFrame:
     features = link_features(nh_features(spark, sf_dir), fx.assessments(spark, sf_dir))
-    return N.normalize_nh(features, source_date=TODAY).select(
+    return N.normalize_nh(features, source_date=today()).select(
         "property_id", "address", "city", "assessed_value", "property_type", "year_built"
     )
 
@@ -392,7 +390,7 @@ def read_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = rows.groupBy("page").agg(F.array_sort(F.collect_list(F.struct("k", "feature"))).alias("fs"))
     text = F.to_json(F.struct(F.lit("FeatureCollection").alias("type"),
                               F.transform("fs", lambda e: e["feature"]).alias("features")))
-    folder = scratch(spark)
+    folder = fx.scratch(spark)
     docs.select("page", text.alias("value")).write.partitionBy("page").text(folder)
     files = [f"{folder}/page={r.page}" for r in spark.read.text(folder).select("page").distinct().collect()]
     found = [f for d in files for f in R.expand_paths(spark, d, [".txt"])]
@@ -407,7 +405,7 @@ def read_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("write_features", fx.with_frames("""
 SELECT property_id, municipality, assessed_value, lower(municipality) AS town, round(x0, 6) AS x FROM parcels"""))
 def write_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    folder = scratch(spark)
+    folder = fx.scratch(spark)
     Wr.write_features(N.fill_schema(fx.parcels(spark, sf_dir)), folder)
     back = R.read_features(spark, folder, one_per_line=True)
     props = F.from_json("properties", schemas.PARCEL_RECORD)
@@ -437,7 +435,7 @@ def write_feature_layers(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.struct(F.concat(F.lit("g"), k).alias("id"), polygon.alias("geometry")),
         F.struct(F.concat(F.lit("l"), k).alias("id"), line.alias("geometry")),
     )))
-    folder = scratch(spark)
+    folder = fx.scratch(spark)
     Wr.write_feature_layers(features, folder)
     back = spark.read.schema("id string, geometry string, layer string").json(folder)
     return back.select("id", "layer", F.get_json_object("geometry", "$.type").alias("kind"))
@@ -461,7 +459,7 @@ def read_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     doc = F.when(
         F.col("kind") == 0, F.to_json(F.struct(F.lit("FeatureCollection").alias("type"), "features"))
     ).otherwise(F.to_json("raws"))
-    folder = scratch(spark)
+    folder = fx.scratch(spark)
     pages.select(F.concat_ws("_", "kind", "page").alias("doc"), doc.alias("value")).write.partitionBy("doc").text(folder)
     docs = spark.read.text(folder).select("doc").distinct().collect()
     found = [f for r in docs for f in R.expand_paths(spark, f"{folder}/doc={r.doc}", [".txt"])]
@@ -477,10 +475,10 @@ def read_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("read_assessments", fx.with_frames("""
-SELECT pid, nullif(location, '') AS location, mblu, total_market_value FROM assessments WHERE copy = 0"""))
+SELECT pid, nullif(location, '') AS location, mblu, total_market_value FROM assessments"""))
 def read_assessments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    folder = scratch(spark)
-    rows = fx.assessments(spark, sf_dir).where("copy = 0").withColumn("match_source", F.lit("sequential"))
+    folder = fx.scratch(spark)
+    rows = fx.assessments(spark, sf_dir).withColumn("match_source", F.lit("sequential"))
     rows.select(*schemas.ASSESSMENTS.fieldNames()).write.option("header", True).option(
         "ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(folder)
     return R.read_assessments(spark, folder).select("pid", "location", "mblu", "total_market_value")
@@ -493,7 +491,7 @@ def read_type_mapping(spark: SparkSession, sf_dir: str) -> DataFrame:
     nations = fx.table(spark, sf_dir, "nation").join(
         fx.table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey")
     )
-    folder = scratch(spark)
+    folder = fx.scratch(spark)
     # 25 nations in 5 regions.
     nations.groupBy(F.col("r_name").alias("standardized")).agg(
         F.array_join(F.collect_list(F.concat(F.lit(" "), "n_name")), "|").alias("raw_aliases")
@@ -568,7 +566,7 @@ FROM (SELECT *, (o % 2 = 1 OR o % 6 = 0) AND o % 45 <> 0 AND o % 35 <> 0 AS fres
 WHERE o % 2 = 0 OR fresh"""))
 def upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     stored, batch = _listing_batches(spark, sf_dir)
-    out = P.upsert(stored, batch, ["listing_id"], ["copy"], stamp="fetched_at", now=NOW)
+    out = P.upsert(stored, batch, ["listing_id"], ["copy"], stamp="fetched_at", now=now())
     return out.select("listing_id", "price", F.date_format("fetched_at", "yyyy-MM-dd").alias("stamped"))
 
 
@@ -580,7 +578,7 @@ def ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     raw = raw_listings(spark, sf_dir)
     stored = N.fill_schema(N.normalize_listing(raw.where("_pos % 4 = 0"), "feed"), schemas.LISTINGS)
     stored = stored.withColumn("price", F.lit(-1.0))
-    out = ingest_listings(raw, stored, "feed", ["_file", "_pos"], "NH", types=fixed.LISTING_TYPES, now=NOW)
+    out = ingest_listings(raw, stored, "feed", ["_file", "_pos"], "NH", types=fixed.LISTING_TYPES, now=now())
     return out.select("listing_id", "price")
 
 
@@ -593,7 +591,7 @@ GROUP BY property_id""", _CT_SQL))
 def ingest_ct(spark: SparkSession, sf_dir: str) -> DataFrame:
     stored = N.fill_schema(fx.parcels(spark, sf_dir))
     out = ingest_parcels(
-        ct_features(spark, sf_dir), "CT", R.type_mapping(spark), stored, ["_file", "_pos"], "Bristol", NOW, TODAY
+        ct_features(spark, sf_dir), "CT", R.type_mapping(spark), stored, ["_file", "_pos"], "Bristol", now(), today()
     )
     return out.select("property_id", F.col("loaded_at").isNotNull().alias("loaded"))
 
@@ -618,17 +616,17 @@ SELECT r.event_id, coalesce(c.fetched_at IS NOT NULL AND (c.expires_at IS NULL O
 FROM requests r LEFT JOIN cache c USING (endpoint, request_key)"""))
 def cache_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     wanted = P.cache_requests(fx.requests(spark, sf_dir), "feed")
-    now = F.lit("2024-01-10 00:00:00").cast("timestamp")
-    out = P.cache_lookup(wanted, fx.cache(spark, sf_dir), now, ["event_id"])
+    at = F.lit("2024-01-10 00:00:00").cast("timestamp")
+    out = P.cache_lookup(wanted, fx.cache(spark, sf_dir), at, ["event_id"])
     return out.select("event_id", "hit", "response_body")
 
 
 @query("record_hits", fx.with_frames("""
 SELECT c.endpoint, c.request_key, CAST(c.hit_count + count(r.event_id) AS INTEGER) AS hit_count, max(r.event_id) IS NOT NULL AS was_hit
-FROM cache c LEFT JOIN requests r ON r.endpoint = c.endpoint AND r.request_key = c.request_key AND r.event_id % 2 = 0
+FROM cache c LEFT JOIN requests r ON r.endpoint = c.endpoint AND r.request_key = c.request_key
 GROUP BY c.endpoint, c.request_key, c.hit_count"""))
 def record_hits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    hits = P.cache_requests(fx.requests(spark, sf_dir), "feed").where("event_id % 2 = 0")
+    hits = P.cache_requests(fx.requests(spark, sf_dir), "feed")
     out = P.record_hits(fx.cache(spark, sf_dir), hits, "ts")
     return out.select("endpoint", "request_key", "hit_count", F.col("last_hit_at").isNotNull().alias("was_hit"))
 
@@ -643,7 +641,7 @@ def save_cache(spark: SparkSession, sf_dir: str) -> DataFrame:
         "endpoint", "params", F.expr("""'{"n":' || event_id || '}'""").alias("body"), F.lit(200).alias("status_code"),
         F.lit("events").alias("_file"), F.col("event_id").alias("_pos"),
     )
-    entries = P.cache_entries(responses, "feed", NOW, None)
+    entries = P.cache_entries(responses, "feed", now(), None)
     out = P.save_cache(fx.cache(spark, sf_dir), entries, ["_file", "_pos"])
     return out.select("endpoint", "request_key", "hit_count", "response_body")
 
