@@ -90,4 +90,7 @@ def ranked_table(results: DataFrame) -> DataFrame:
 
 def write_ranked_csv(results: DataFrame, path: str) -> None:
     """Ranked results as CSV parts in order; the sort is a range shuffle, not one task."""
-    ranked_table(results).write.option("header", True).csv(path)
+    writer = ranked_table(results).write.option("header", True)
+    # Blank addresses are kept as they are.
+    writer = writer.option("ignoreLeadingWhiteSpace", False)
+    writer.option("ignoreTrailingWhiteSpace", False).csv(path)
