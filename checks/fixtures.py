@@ -356,11 +356,19 @@ def scratch(spark: SparkSession) -> str:
     return f"{shared_folder(spark)}/checks/{uuid.uuid4().hex}"
 
 
-def stored_parcels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The parcels as an ingest leaves them: indexed and written to Parquet, once per session."""
-    key = (spark.sparkContext.applicationId, sf_dir)
+def _stored(spark: SparkSession, sf_dir: str, name: str, build) -> DataFrame:
+    """A derived frame as an ingest leaves it: written to Parquet, once per session."""
+    key = (spark.sparkContext.applicationId, f"{sf_dir}/{name}")
     if key not in _STORED:
         path = scratch(spark)
-        index_parcels(parcels(spark, sf_dir)).write.parquet(path)
+        build().write.parquet(path)
         _STORED[key] = path
     return spark.read.parquet(_STORED[key])
+
+
+def stored_parcels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _stored(spark, sf_dir, "parcels", lambda: index_parcels(parcels(spark, sf_dir)))
+
+
+def stored_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _stored(spark, sf_dir, "listings", lambda: listings(spark, sf_dir))

@@ -140,7 +140,7 @@ def sql(body: str, profile: str = "service") -> str:
 
 def run(spark: SparkSession, sf_dir: str, profile: str = "service", keep_rejected: bool = False) -> Rc.GapRun:
     return Rc.run_gaps(
-        fx.listings(spark, sf_dir), fx.stored_parcels(spark, sf_dir), profile, keep_rejected=keep_rejected
+        fx.stored_listings(spark, sf_dir), fx.stored_parcels(spark, sf_dir), profile, keep_rejected=keep_rejected
     )
 
 
@@ -215,7 +215,7 @@ def _register_profile(profile: str) -> None:
 
     @query(f"resolve_parcel_{profile}", sql("SELECT listing_id, target_id, resolve_method FROM resolved", profile))
     def resolve(spark: SparkSession, sf_dir: str) -> DataFrame:
-        found = Sp.resolve_parcel(fx.listings(spark, sf_dir), fx.stored_parcels(spark, sf_dir), profile)
+        found = Sp.resolve_parcel(fx.stored_listings(spark, sf_dir), fx.stored_parcels(spark, sf_dir), profile)
         return found.select("listing_id", "target_id", "resolve_method")
 
     @query(f"find_comps_{profile}", sql("""
@@ -223,7 +223,7 @@ SELECT target_id, is_land, property_id, round(d, 3) AS metres, found_via, kind A
        CASE WHEN raw_type IS NOT NULL THEN true END AS comp_eligible, round(acres, 6) AS acres FROM comps""", profile))
     def comps(spark: SparkSession, sf_dir: str) -> DataFrame:
         parcels = fx.stored_parcels(spark, sf_dir)
-        resolved = Rc.materialize(Sp.resolve_parcel(fx.listings(spark, sf_dir), parcels, profile))
+        resolved = Rc.materialize(Sp.resolve_parcel(fx.stored_listings(spark, sf_dir), parcels, profile))
         found = Sp.find_comps(Sp.target_parcels(resolved, parcels, profile), parcels, profile)
         return found.select(
             "target_id", "is_land", "property_id", F.round("distance_m", 3).alias("metres"),
@@ -277,7 +277,7 @@ SELECT (SELECT count(*) FROM wanted) AS eligible, (SELECT count(*) FROM results)
 FROM (SELECT r.listing_id, j.* FROM results r LEFT JOIN judged j ON j.target_id = r.target_id AND j.is_land = LAND)""".replace(
         "LAND", "false" if profile == "service" else "coalesce(r.property_type = 'Land', false)"), profile))
     def candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
-        listings = fx.listings(spark, sf_dir)
+        listings = fx.stored_listings(spark, sf_dir)
         eligible = Sp.eligible_listings(listings) if profile == "batch" else listings
         return Rp.candidate_report(run(spark, sf_dir, profile, keep_rejected=True), eligible, profile)
 
@@ -288,13 +288,13 @@ _register_profile("batch")
 
 @query("containing_parcels", sql("SELECT listing_id, property_id, round(acres, 6) AS acres FROM contained"))
 def containing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = Sp.containing_parcels(fx.listings(spark, sf_dir), fx.stored_parcels(spark, sf_dir))
+    found = Sp.containing_parcels(fx.stored_listings(spark, sf_dir), fx.stored_parcels(spark, sf_dir))
     return found.select("listing_id", "property_id", r6("computed_acres").alias("acres"))
 
 
 @query("unresolved_listings", sql("SELECT listing_id, resolve_method FROM resolved WHERE target_id IS NULL", "batch"))
 def unresolved(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = Sp.resolve_parcel(fx.listings(spark, sf_dir), fx.stored_parcels(spark, sf_dir), "batch")
+    found = Sp.resolve_parcel(fx.stored_listings(spark, sf_dir), fx.stored_parcels(spark, sf_dir), "batch")
     return Sp.unresolved_listings(found).select("listing_id", "resolve_method")
 
 
@@ -365,12 +365,12 @@ def ranked_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("recompute_summary", sql("""
 SELECT (SELECT count(*) FROM listings) AS total_listings, count(*) AS computed, count(*) FILTER (has_comps) AS with_comps FROM results"""))
 def summary(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return Gp.recompute_summary(fx.listings(spark, sf_dir), run(spark, sf_dir).results)
+    return Gp.recompute_summary(fx.stored_listings(spark, sf_dir), run(spark, sf_dir).results)
 
 
 @query("gap_for_listing", sql("SELECT listing_id, target_id, round(gap, 4) AS gap, comp_count FROM results WHERE listing_id = 'L77'"))
 def gap_for_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = Rc.gap_for_listing(fx.listings(spark, sf_dir), fx.stored_parcels(spark, sf_dir), "L77")
+    out = Rc.gap_for_listing(fx.stored_listings(spark, sf_dir), fx.stored_parcels(spark, sf_dir), "L77")
     return out.select("listing_id", "target_id", F.round("gap", 4).alias("gap"), "comp_count")
 
 
@@ -382,7 +382,7 @@ FROM listings l LEFT JOIN results r ON r.listing_id = l.listing_id AND upper(l.s
 LEFT JOIN (SELECT property_type, median(gap_pct) AS mid FROM results WHERE has_comps AND upper(state) = 'NH' GROUP BY property_type) m
   ON m.property_type = r.property_type AND r.has_comps"""))
 def recompute(spark: SparkSession, sf_dir: str) -> DataFrame:
-    listings = fx.listings(spark, sf_dir)
+    listings = fx.stored_listings(spark, sf_dir)
     stale = fill_schema(listings.select("listing_id", F.lit(False).alias("has_comps"), F.lit(-1).alias("comp_count")), schemas.GAP_RESULTS)
     table, _ = Rc.recompute(listings, fx.stored_parcels(spark, sf_dir), stale, "nh")
     return table.select("listing_id", "has_comps", "comp_count", r6("relative_gap_pct").alias("relative_gap_pct"))
@@ -393,7 +393,7 @@ SELECT listing_id, formatted_address AS address, property_type, round(gap, 4) AS
 WHERE state = 'NH' AND has_comps QUALIFY row_number() OVER (PARTITION BY property_type ORDER BY gap DESC NULLS FIRST, listing_id) <= 40"""))
 def ranked_query(spark: SparkSession, sf_dir: str) -> DataFrame:
     stored = Gp.gap_rows(run(spark, sf_dir).results, now())
-    found = L.ranked_query(stored, fx.listings(spark, sf_dir), "NH", limit=40)
+    found = L.ranked_query(stored, fx.stored_listings(spark, sf_dir), "NH", limit=40)
     return found.select("listing_id", "address", "property_type", F.round("gap", 4).alias("gap"), "comp_count")
 
 

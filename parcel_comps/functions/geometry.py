@@ -315,26 +315,29 @@ def contains_point(
     """Strict containment (the boundary is outside), or within ``tol_deg`` of the polygon."""
     x, y = col(lon), col(lat)
     rings = F.flatten(col(g))
+    on_side = 1 << 20  # more than any polygon has crossings
 
-    def crossings(ring: Column) -> Column:
-        def crosses(p: Column, q: Column) -> Column:
-            straddles = (p["y"] > y) != (q["y"] > y)
-            rise = F.nullif(q["y"] - p["y"], F.lit(0.0))
-            at = (q["x"] - p["x"]) * (y - p["y"]) / rise + p["x"]
-            return F.when(straddles & (x < at), 1).otherwise(0)
-
-        return F.aggregate(
-            F.zip_with(*_sides(ring), crosses), F.lit(0), lambda acc, n: acc + n
+    def crossing(p: Column, q: Column) -> Column:
+        turn = (q["x"] - p["x"]) * (y - p["y"]) - (q["y"] - p["y"]) * (x - p["x"])
+        between = x.between(F.least(p["x"], q["x"]), F.greatest(p["x"], q["x"])) & y.between(
+            F.least(p["y"], q["y"]), F.greatest(p["y"], q["y"])
+        )
+        straddles = (p["y"] > y) != (q["y"] > y)
+        return (
+            F.when((turn == 0) & between, on_side)
+            .when(straddles & ((q["y"] > p["y"]) == (turn > 0)), 1)
+            .otherwise(0)
         )
 
+    def crossings(ring: Column) -> Column:
+        return F.aggregate(F.zip_with(*_sides(ring), crossing), F.lit(0), lambda acc, n: acc + n)
+
     def nearest(ring: Column) -> Column:
         return F.array_min(F.zip_with(*_sides(ring), lambda p, q: _segment_gap(p, q, x, y)))
 
     count = F.aggregate(F.transform(rings, crossings), F.lit(0), lambda acc, n: acc + n)
-    inside = count % 2 == 1
-    gap = F.array_min(F.transform(rings, nearest))
+    inside = _let(count, lambda n: (n < on_side) & (n % 2 == 1))
     if tol_deg > 0:
-        hit = inside | (gap < F.lit(tol_deg))
-    else:
-        hit = inside & (gap > 0)
-    return F.coalesce(hit, F.lit(False))
+        gap = F.array_min(F.transform(rings, nearest))
+        inside = F.coalesce(inside, F.lit(False)) | (gap < F.lit(tol_deg))
+    return F.coalesce(inside, F.lit(False))

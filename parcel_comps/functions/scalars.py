@@ -153,5 +153,14 @@ def unit_style_address(c: ColumnOrName) -> Column:
 
 
 def round2(c: ColumnOrName) -> Column:
-    """Two decimals, halves to even on the binary value."""
-    return F.rint(col(c) * 100.0) / 100.0
+    """Two decimals, nearest to the binary value, exact halves to even."""
+    x = col(c)
+    scaled = x * 100.0
+    # The product may round onto a half; its exact error tells which side x is on.
+    split = x * 134217729.0
+    high = split - (split - x)
+    error = (high * 100.0 - scaled) + (x - high) * 100.0
+    low = F.floor(scaled)
+    half = scaled - low == 0.5
+    whole = F.when(half & (error < 0), low).when(half & (error > 0), low + 1)
+    return F.coalesce(whole.cast("double"), F.rint(scaled)) / 100.0

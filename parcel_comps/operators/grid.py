@@ -52,12 +52,19 @@ def _levelled(df: DataFrame, box: str, side: str, cell_deg: float, max_cells: in
     )
 
 
-def _to_cells(df: DataFrame, other: DataFrame, box: str, side: str, oside: str, cell_deg: float):
-    """One row per covered cell, on the row's own level and the coarser ones in use there."""
+def _to_cells(
+    df: DataFrame, other: DataFrame | None, box: str, side: str, oside: str, cell_deg: float
+) -> DataFrame:
+    """One row per covered cell, on the row's own level and the coarser ones in use there.
+
+    ``other`` is None where the other side is known to use only the finest level.
+    """
     b, own = F.col(box), F.col(f"_{side}own")
-    coarsest = other.agg(F.max(f"_{oside}own")).scalar()
-    levels = F.sequence(own, F.greatest(own, coarsest))
-    df = df.withColumn("_level", F.explode(levels))
+    if other is None:
+        df = df.withColumn("_level", own)
+    else:
+        coarsest = other.agg(F.max(f"_{oside}own")).scalar()
+        df = df.withColumn("_level", F.explode(F.sequence(own, F.greatest(own, coarsest))))
     df = df.withColumn("_size", _size(F.col("_level"), cell_deg))
     size = F.col("_size")
     xs = F.sequence(_cell_index(b["xmin"], size), _cell_index(b["xmax"], size))
@@ -111,6 +118,7 @@ def box_join(
     cell_deg: float = CELL_DEG,
     max_cells: int = MAX_CELLS,
     block_rows: int | None = BLOCK_ROWS,
+    left_is_small: bool = False,
 ) -> DataFrame:
     """Inner join of all pairs with overlapping boxes that also meet ``condition``.
 
@@ -120,12 +128,15 @@ def box_join(
     ``distinct`` is needed. Boxes spanning very many cells live on a coarser grid.
     Cells crowded on either side are split into blocks (``left_key`` and
     ``right_key`` decide a row's block), so the pairs of one cell spread over tasks;
-    ``block_rows=None`` leaves the split out.
+    ``block_rows=None`` leaves the split out. ``left_is_small`` promises that no left
+    box covers more than ``max_cells`` cells, as with points and fixed search radii,
+    and saves a pass over the left side.
     """
     left = _levelled(left, left_box, "l", cell_deg, max_cells)
     right = _levelled(right, right_box, "r", cell_deg, max_cells)
     left_cells = _to_cells(left, right, left_box, "l", "r", cell_deg)
-    right_cells = _to_cells(right, left, right_box, "r", "l", cell_deg).drop("_level", "_size")
+    finer = None if left_is_small else left
+    right_cells = _to_cells(right, finer, right_box, "r", "l", cell_deg).drop("_level", "_size")
     keys = ["_cell"]
     if block_rows is not None:
         hot = _hot_cells(left_cells, right_cells, block_rows)

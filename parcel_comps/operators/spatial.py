@@ -27,6 +27,10 @@ from parcel_comps.operators.linkage import unique_index
 from parcel_comps.operators.skew import skew_join
 from parcel_comps.profiles import Profile, get_profile
 
+# A point meets only the parcels of its own cell, so cells about the size of a large
+# lot keep the number of tested pairs low.
+_POINT_CELL_DEG = 0.002
+
 # Measures of a parcel that the spatial operators use, for both rule sets.
 INDEX_COLUMNS = {
     "box": lambda g: bounding_box(g),
@@ -92,7 +96,10 @@ def containing_parcels(
         .where("geometry is not null")
         .select("property_id", "geometry", "box", "computed_acres")
     )
-    pairs = grid.box_join(points, shapes, "_point_box", "box", "listing_id", "property_id")
+    pairs = grid.box_join(
+        points, shapes, "_point_box", "box", "listing_id", "property_id",
+        cell_deg=_POINT_CELL_DEG, left_is_small=True,
+    )
     inside = contains_point("geometry", "_lon", "_lat", p.contain_tol_deg)
     return pairs.where(inside).select("listing_id", "property_id", "computed_acres")
 
@@ -149,6 +156,10 @@ def _acres(profile: Profile, side: str) -> Column:
     return F.col("acreage")
 
 
+def _search_tasks(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
 def target_parcels(
     resolved: DataFrame, parcels: DataFrame, profile: str | Profile = "service"
 ) -> DataFrame:
@@ -163,6 +174,9 @@ def target_parcels(
         resolved.where("target_id is not null")
         .select("target_id", F.coalesce(land, F.lit(False)).alias("is_land"))
         .distinct()
+        # Few bytes, much work per row: without a fixed number, AQE would merge these
+        # ids into a handful of tasks and leave the pair search to them.
+        .repartition(_search_tasks(resolved), "target_id")
     )
     shapes = _indexed(parcels, p).select(
         F.col("property_id").alias("target_id"),
@@ -227,7 +241,9 @@ def candidate_pairs(
             similar = similar | F.col("is_land")
         keep = keep & similar & (same_street | (gap <= max(close_m, touch_m)))
     pairs = grid.box_join(
-        targets, neighbours, "_search", "box", "target_id", "property_id", condition=keep
+        targets, neighbours, "_search", "box", "target_id", "property_id", condition=keep,
+        # The screen keeps every search box within a kilometre.
+        left_is_small=p.shape_screen and not keep_rejected,
     )
     if p.shape_screen:
         # Corners of the box bound the farthest vertex; most pairs need no vertex walk.
@@ -387,6 +403,7 @@ def nearby(
         "property_id",
         condition=within,
         cell_deg=max(grid.CELL_DEG, 2 * radius / fixed.METRES_PER_DEGREE),
+        left_is_small=True,
     )
     return (
         pairs.withColumn("distance_meters", point_distance_m("geometry", "lat", "lon"))
