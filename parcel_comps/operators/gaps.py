@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import sys
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import window as W
@@ -108,15 +110,12 @@ def rank_gaps(results: DataFrame, profile: str | Profile = "service") -> DataFra
     ranked = results.where("has_comps")
     if p.eligible_listings_only:
         ranked = ranked.where(F.col("property_type").isin(fixed.LISTING_TYPES))
-    ranks = value_ranks(ranked, "property_type", "gap").select(
-        "property_type", "gap", (F.col("n_above") + 1).alias("rank")
+    # Missing gaps take part as a value below all others.
+    ranked = ranked.withColumn("_gap", F.coalesce("gap", F.lit(-sys.float_info.max)))
+    ranks = value_ranks(ranked, "property_type", "_gap").select(
+        "property_type", "_gap", (F.col("n_above") + 1).alias("rank")
     )
-    last = ranked.groupBy("property_type").agg((F.count("gap") + 1).alias("_last"))
-    joined = skew_join(ranked, ranks, ["property_type", "gap"], ["listing_id"])
-    joined = skew_join(joined, last, ["property_type"], ["listing_id"])
-    return joined.withColumn(
-        "rank", F.coalesce("rank", F.when(F.col("gap").isNull(), F.col("_last")))
-    ).drop("_last")
+    return skew_join(ranked, ranks, ["property_type", "_gap"], ["listing_id"]).drop("_gap")
 
 
 def without_comps(results: DataFrame) -> DataFrame:

@@ -6,7 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from parcel_comps import fixed_values as fixed
-from parcel_comps.operators.skew import MAX_HOT_KEYS
 
 # About 500 m: a parcel covers one to four cells, a search radius of 250 m few more.
 CELL_DEG = 0.005
@@ -17,6 +16,8 @@ _COARSER = 64
 _TOP = 2
 # Rows of one cell, per side, that a single task joins before the cell is split.
 BLOCK_ROWS = 20_000
+# Length of the broadcast list of crowded cells (about 2 MB), the heaviest ones first.
+MAX_HOT_CELLS = 1 << 16
 
 
 def _cell_index(value: Column, size: Column) -> Column:
@@ -76,7 +77,7 @@ def _to_cells(
 
 
 def _hot_cells(left: DataFrame, right: DataFrame, block_rows: int) -> DataFrame:
-    """Cells to split, with the number of blocks per side; at most ``MAX_HOT_KEYS`` rows."""
+    """Cells to split, with the number of blocks per side; at most ``MAX_HOT_CELLS`` rows."""
     sides = left.select("_cell", F.lit(1).alias("_l"), F.lit(0).alias("_r")).unionAll(
         right.select("_cell", F.lit(0).alias("_l"), F.lit(1).alias("_r"))
     )
@@ -90,14 +91,17 @@ def _hot_cells(left: DataFrame, right: DataFrame, block_rows: int) -> DataFrame:
     return F.broadcast(
         counts.where(crowded & both)
         .orderBy((F.col("_nl") * F.col("_nr")).desc())
-        .limit(MAX_HOT_KEYS)
+        .limit(MAX_HOT_CELLS)
         .select("_cell", *blocks)
     )
 
 
-def _blocked(df: DataFrame, hot: DataFrame, key: str, mine: str, other: str) -> DataFrame:
+def _blocked(
+    df: DataFrame, hot: DataFrame, key: str | list[str], mine: str, other: str
+) -> DataFrame:
     """Give each row of a crowded cell one block of its own side and repeat it per other block."""
-    own = F.pmod(F.xxhash64(key), F.coalesce(mine, F.lit(1))).cast("int")
+    keys = [key] if isinstance(key, str) else key
+    own = F.pmod(F.xxhash64(*keys), F.coalesce(mine, F.lit(1))).cast("int")
     across = F.explode(F.sequence(F.lit(0), F.coalesce(other, F.lit(1)) - 1))
     return (
         df.join(hot, "_cell", "left")
@@ -112,8 +116,8 @@ def box_join(
     right: DataFrame,
     left_box: str,
     right_box: str,
-    left_key: str,
-    right_key: str,
+    left_key: str | list[str],
+    right_key: str | list[str],
     condition: Column | None = None,
     cell_deg: float = CELL_DEG,
     max_cells: int = MAX_CELLS,

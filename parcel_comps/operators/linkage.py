@@ -72,9 +72,11 @@ def link_assessments(parcels: DataFrame, assessments: DataFrame, how: str = "lef
     keyed = parcels.withColumn("_key", parcel_key(F.col("PID").cast("string")))
     linked = skew_join(keyed, by_key, ["_key"], spread)
     # A matched row has no address key, so it passes the second join untouched.
+    # Hot addresses are counted on the parcels, not on the outcome of the first join.
     address = empty_to_null(normalize_address("StreetAddress", unicode=True))
     linked = linked.withColumn("_address", F.when(F.col("_by_key").isNull(), address))
-    linked = skew_join(linked, by_address, ["_address"], spread)
+    all_addresses = parcels.select(address.alias("_address"))
+    linked = skew_join(linked, by_address, ["_address"], spread, count_on=all_addresses)
     match = F.coalesce("_by_key", "_by_address")
     method = F.when(F.col("_by_key").isNotNull(), "mblu").when(
         F.col("_by_address").isNotNull(), "address"

@@ -15,9 +15,32 @@ MAX_HOT_KEYS = 1024
 NULL_SPREAD = 1024
 
 
-def _hot_list(counts: DataFrame, work: Column) -> DataFrame:
-    """The heaviest keys, at most ``MAX_HOT_KEYS`` rows: small enough to broadcast."""
-    return F.broadcast(counts.orderBy(work.desc()).limit(MAX_HOT_KEYS))
+def hot_keys(df: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Keys with more than ``hot_rows`` rows and the ``_splits`` each needs, heaviest first.
+
+    At most ``MAX_HOT_KEYS`` rows, so it is small enough to broadcast.
+    """
+    counts = df.where(_complete(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    return (
+        counts.where(F.col("_n") > hot_rows)
+        .orderBy(F.col("_n").desc())
+        .limit(MAX_HOT_KEYS)
+        .select(*keys, F.ceil(F.col("_n") / F.lit(hot_rows)).cast("int").alias("_splits"))
+    )
+
+
+def _complete(keys: list[str]) -> Column:
+    whole = F.lit(True)
+    for key in keys:
+        whole = whole & F.col(key).isNotNull()
+    return whole
+
+
+def with_salt(df: DataFrame, hot: DataFrame, keys: list[str], spread: list[str]) -> DataFrame:
+    """Add ``_salt``: 0 for ordinary keys, a hash of ``spread`` for hot and NULL ones."""
+    splits = F.coalesce("_splits", F.when(~_complete(keys), NULL_SPREAD))
+    salt = F.coalesce(F.pmod(F.xxhash64(*spread), splits), F.lit(0)).cast("int")
+    return df.join(F.broadcast(hot), keys, "left").withColumn("_salt", salt).drop("_splits")
 
 
 def skew_join(
@@ -27,38 +50,23 @@ def skew_join(
     spread: list[str],
     how: str = "left",
     hot_rows: int = HOT_ROWS,
+    count_on: DataFrame | None = None,
 ) -> DataFrame:
     """Equi-join that splits hot keys of ``left`` over several tasks.
 
     Rows of a left key with more than ``hot_rows`` rows are spread by a hash of the
     ``spread`` columns and its right rows are repeated once per split. Left rows
     with a NULL key, which otherwise all land in one task, are spread as well.
-    ``how`` is "left" or "inner".
+    Keys are counted on ``left``, or on ``count_on`` where a frame with at least the
+    same keys is cheaper to read. ``how`` is "left" or "inner".
     """
     if how not in ("left", "inner"):
         raise ValueError("skew_join supports 'left' and 'inner'")
-    has_key = F.lit(True)
-    for key in keys:
-        has_key = has_key & F.col(key).isNotNull()
-    counts = left.where(has_key).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    hot = _hot_list(
-        counts.where(F.col("_n") > hot_rows).select(
-            *keys, F.ceil(F.col("_n") / F.lit(hot_rows)).cast("int").alias("_splits")
-        ),
-        F.col("_splits"),
-    )
-    slot = F.pmod(F.xxhash64(*spread), F.coalesce("_splits", F.when(~has_key, NULL_SPREAD)))
-    spread_left = (
-        left.join(hot, keys, "left")
-        .withColumn("_salt", F.coalesce(slot, F.lit(0)).cast("int"))
-        .drop("_splits")
-    )
-    repeated_right = (
-        right.join(hot, keys, "left")
-        .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce("_splits", F.lit(1)) - 1)))
-        .drop("_splits")
-    )
-    return spread_left.join(repeated_right, [*keys, "_salt"], how).drop("_salt")
+    hot = hot_keys(count_on if count_on is not None else left, keys, hot_rows)
+    copies = F.sequence(F.lit(0), F.coalesce("_splits", F.lit(1)) - 1)
+    repeated = right.join(F.broadcast(hot), keys, "left").withColumn("_salt", F.explode(copies))
+    salted = with_salt(left, hot, keys, spread)
+    return salted.join(repeated.drop("_splits"), [*keys, "_salt"], how).drop("_salt")
 
 
 def value_ranks(df: DataFrame, group: str, value: str) -> DataFrame:

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from parcel_comps import schemas
 from parcel_comps.functions.geometry import to_multipolygon
 from parcel_comps.functions.scalars import town_slug
+from parcel_comps.operators.skew import hot_keys, with_salt
 
 RANKED_COLUMNS = [
     "address", "property_type", "year_built", "target_assessed_value", "recent_sale_price",
@@ -39,15 +40,19 @@ def parcel_features(df: DataFrame, geometry: str = "geometry") -> DataFrame:
     )
 
 
-def write_features(df: DataFrame, path: str, town_files: int = 8, geometry: str = "geometry") -> None:
+def write_features(
+    df: DataFrame, path: str, file_rows: int = 250_000, geometry: str = "geometry"
+) -> None:
     """Features of every town under ``state=../town=..``, one feature per line.
 
-    Rows are shuffled by town and a small hash, so a large town is written by up to
-    ``town_files`` tasks and a small one by as few.
+    Rows are shuffled by town. A town with more than ``file_rows`` rows is split by a
+    hash of the property id, so its size decides how many tasks write it.
     """
-    slot = F.pmod(F.xxhash64("property_id"), F.lit(town_files))
-    features = parcel_features(df, geometry).repartition("state", "town", slot)
-    features.drop("property_id").write.partitionBy("state", "town").text(path)
+    keys = ["state", "town"]
+    features = parcel_features(df, geometry)
+    salted = with_salt(features, hot_keys(features, keys, file_rows), keys, ["property_id"])
+    shuffled = salted.repartition(*keys, "_salt").drop("_salt", "property_id")
+    shuffled.write.partitionBy(*keys).option("maxRecordsPerFile", file_rows).text(path)
 
 
 def split_layers(features: DataFrame) -> DataFrame:
