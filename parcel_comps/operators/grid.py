@@ -188,9 +188,20 @@ def metres_east(ref_lat: Column) -> Column:
     return F.cos(F.radians(ref_lat)) * fixed.METRES_PER_DEGREE
 
 
+def _gaps(a: Column, b: Column) -> tuple[Column, Column]:
+    zero = F.lit(0.0)
+    return (
+        F.greatest(zero, a["xmin"] - b["xmax"], b["xmin"] - a["xmax"]),
+        F.greatest(zero, a["ymin"] - b["ymax"], b["ymin"] - a["ymax"]),
+    )
+
+
 def box_gap_m(a: Column, b: Column, east: Column) -> Column:
     """Metres between two boxes: a lower bound of the distance of their contents."""
-    zero = F.lit(0.0)
-    gap_x = F.greatest(zero, a["xmin"] - b["xmax"], b["xmin"] - a["xmax"])
-    gap_y = F.greatest(zero, a["ymin"] - b["ymax"], b["ymin"] - a["ymax"])
-    return F.sqrt(F.pow(gap_x * east, 2) + F.pow(gap_y * fixed.METRES_PER_DEGREE, 2))
+    x, y = _gaps(a, b)
+    return F.sqrt(F.pow(x * east, 2) + F.pow(y * fixed.METRES_PER_DEGREE, 2))
+
+
+def box_gap_deg(a: Column, b: Column) -> Column:
+    """The larger side of the gap of two boxes in degrees, again a lower bound."""
+    return F.greatest(*_gaps(a, b))

@@ -92,6 +92,15 @@ def _points_in_parcels(
     return pairs.where(contains_point("geometry", "_lon", "_lat", profile.contain_tol_deg))
 
 
+def _search_tasks(df: DataFrame) -> int:
+    """Tasks for a spatial search over few, small rows.
+
+    Each row means much work but few bytes. Without a fixed number AQE would merge the
+    rows into a handful of tasks and leave the whole search to them.
+    """
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
 def _points(listings: DataFrame, *columns: str) -> DataFrame:
     return listings.where("longitude is not null and latitude is not null").select(
         *columns, F.col("longitude").alias("_lon"), F.col("latitude").alias("_lat")
@@ -121,8 +130,9 @@ def resolve_parcel(
     if p.eligible_listings_only:
         listings = eligible_listings(listings)
     spot = ["_lon", "_lat"]
+    spots = _points(listings).distinct().repartition(_search_tasks(listings), *spot)
     smallest = (
-        _points_in_parcels(_points(listings).distinct(), spot, parcels, p)
+        _points_in_parcels(spots, spot, parcels, p)
         .groupBy(*spot)
         .agg(F.min(F.struct("computed_acres", "property_id")).alias("_best"))
     )
@@ -165,10 +175,6 @@ def _acres(profile: Profile, side: str) -> Column:
     return F.col("acreage")
 
 
-def _search_tasks(df: DataFrame) -> int:
-    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-
-
 def target_parcels(
     resolved: DataFrame, parcels: DataFrame, profile: str | Profile = "service"
 ) -> DataFrame:
@@ -183,8 +189,6 @@ def target_parcels(
         resolved.where("target_id is not null")
         .select("target_id", F.coalesce(land, F.lit(False)).alias("is_land"))
         .distinct()
-        # Few bytes, much work per row: without a fixed number, AQE would merge these
-        # ids into a handful of tasks and leave the pair search to them.
         .repartition(_search_tasks(resolved), "target_id")
     )
     shapes = _indexed(parcels, p).select(
@@ -277,7 +281,11 @@ def candidate_pairs(
     if p.touch_unit == "metres":
         touch = F.col("distance_m") <= p.touch_tol
     else:
-        touch = boundary_distance_deg("t_geometry", "geometry") <= p.touch_tol
+        # Boxes further apart than the tolerance need no second measurement.
+        close = F.when(
+            grid.box_gap_deg(F.col("t_box"), F.col("box")) <= p.touch_tol, F.col("t_geometry")
+        )
+        touch = F.coalesce(boundary_distance_deg(close, "geometry") <= p.touch_tol, F.lit(False))
     return (
         pairs.withColumn("touches", touch)
         .where((F.col("distance_m") <= far_m) | F.col("touches"))
