@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import language, quality, toxicity
+from . import debruijn, language, quality, run_index, toxicity
 from .common import fold, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -27,6 +27,18 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", (fold(F.col("doc_id"), 4) == 2).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the words of repeated windows of 35 words."""
+    kept = debruijn.remove_repeated_words(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+def op6_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the bytes of repeated strings of 400 bytes."""
+    kept = run_index.remove_long_repeats(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's language; learnt from rows outside fold 2 of 4."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
@@ -35,5 +47,7 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (fold(F.col("doc_id"), 4) == 2).alias("held_out"), "lang_pred", "score")
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (op1_toxicity, op5_quality, op9_language_id)}
+QUERIES: dict[str, Query] = {f.__name__: f for f in (
+    op1_toxicity, op4_substring_dedup, op5_quality, op6_suffix_array_dedup, op9_language_id,
+)}
 ORACLES: dict[str, str] = {}
