@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import debruijn, language, quality, run_index, toxicity
+from . import debruijn, language, nearest, overlap, quality, run_index, toxicity
 from .common import fold, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -27,6 +27,11 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", (fold(F.col("doc_id"), 4) == 2).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
+def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the size of its set of 4-word shingles and its class at a similarity of 85 %."""
+    return overlap.similar_classes(table(spark, sf_dir, "documents"), n=4, percent=85)
+
+
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the words of repeated windows of 35 words."""
     kept = debruijn.remove_repeated_words(table(spark, sf_dir, "documents"))
@@ -47,7 +52,13 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", (fold(F.col("doc_id"), 4) == 2).alias("held_out"), "lang_pred", "score")
 
 
+def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest by inner product of every vector whose id is divisible by 20, among all others."""
+    return nearest.search(table(spark, sf_dir, "embeddings"), "vec_id % 20 = 0", 20)
+
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
-    op1_toxicity, op4_substring_dedup, op5_quality, op6_suffix_array_dedup, op9_language_id,
+    op1_toxicity, op2_ngram_jaccard, op4_substring_dedup, op5_quality, op6_suffix_array_dedup, op9_language_id,
+    op10_nearest_neighbours,
 )}
 ORACLES: dict[str, str] = {}
