@@ -177,7 +177,7 @@ def _search(texts: DataFrame, members: DataFrame, queries: DataFrame, n: int, pe
 def _parts(pairs: DataFrame, total: int) -> DataFrame:
     """``group``, ``node`` members dealt into blocks, many small groups sharing a shard: adds ``block`` and ``part``."""
     shards = max(1, total // SHARD_SETS)
-    return pairs.withColumn("part", F.pmod(F.xxhash64("group", "block"), F.lit(shards)))
+    return pairs.withColumn("part", F.pmod(F.xxhash64("group", F.col("block").cast("long")), F.lit(shards)))
 
 
 def similar_classes(documents: DataFrame, *, n: int = 4, percent: int = 85, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
