@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import debruijn, language, nearest, overlap, quality, run_index, toxicity
+from . import contamination, debruijn, language, nearest, overlap, quality, run_index, templates, toxicity
 from .common import fold, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,6 +32,12 @@ def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return overlap.similar_classes(table(spark, sf_dir, "documents"), n=4, percent=85)
 
 
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the lines of templates that at least three documents have, but for the first of these."""
+    kept = templates.drop_recurring_lines(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_lines", "n_removed", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the words of repeated windows of 35 words."""
     kept = debruijn.remove_repeated_words(table(spark, sf_dir, "documents"))
@@ -44,6 +50,15 @@ def op6_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return kept.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the benchmark items it holds at a similarity of 0.8 or more."""
+    found = contamination.find_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(
+        "doc_id", (F.size("matches") > 0).cast("int").alias("contaminated"), F.sort_array(F.col("matches.item_id")).alias("item_ids"),
+        F.coalesce(F.array_max("matches.similarity"), F.lit(0.0)).alias("similarity"),
+    )
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's language; learnt from rows outside fold 2 of 4."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
@@ -58,7 +73,7 @@ def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
-    op1_toxicity, op2_ngram_jaccard, op4_substring_dedup, op5_quality, op6_suffix_array_dedup, op9_language_id,
+    op1_toxicity, op2_ngram_jaccard, op3_line_dedup, op4_substring_dedup, op5_quality, op6_suffix_array_dedup, op7_decontamination, op9_language_id,
     op10_nearest_neighbours,
 )}
 ORACLES: dict[str, str] = {}
