@@ -1,4 +1,9 @@
-"""The corpus pipeline: each stage works on all that the one before it kept."""
+"""The corpus pipeline: each stage works on all that the one before it kept.
+
+Stages but the last return the columns of ``documents``, further columns included. Null or empty texts pass the
+filters that need words: they hold no benchmark item and are copies of nothing. Rows without id are judged as others;
+a class of equal texts without any id keeps one of them.
+"""
 
 from __future__ import annotations
 
@@ -7,22 +12,55 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from llm import quality
+from llm import contamination, overlap, pieces, quality, templates
 from llm.common import stored, table
+from llm.queries import MODEL
 
-COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose passages the attention model scores 0.7 or more."""
-    labels = table(spark, sf_dir, "labels")
-    scored = quality.score_quality(docs, labels, F.lit(True), extra=[c for c in docs.columns if c != "doc_id"])
-    return scored.where(F.col("score") >= 0.7).select(*docs.columns)
+    """Documents whose passages the attention model scores 0.7 or more; all labelled ones may be learnt from."""
+    scored = quality.score_quality(docs.withColumn("_row", F.struct(*[F.col(f"`{c}`") for c in docs.columns])), table(spark, sf_dir, "labels"), F.lit(True), extra=["_row"])
+    return scored.where(F.col("score") >= 0.7).select("_row.*")
+
+
+def drop_recurring_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Lines of templates in three or more documents go, but for the first; so do documents that lose all their words."""
+    found = templates.drop_recurring_lines(docs, extra=[c for c in docs.columns if c not in ("doc_id", "text")])
+    left = found.where((F.col("n_removed") == 0) | F.col("kept").rlike(r"\S"))
+    now = {"text": F.col("kept"), "n_chars": F.length("kept").cast("long")}
+    return left.select(*[now[c].alias(c) if c in now else F.col(f"`{c}`") for c in docs.columns])
+
+
+def one_of_each_class(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each class of five-word shingle sets that are 80 % similar: the one with the smallest id."""
+    classes = overlap.similar_classes(docs.select("doc_id", "text"), n=5, percent=80)
+    first = classes.where("first").select(F.col("doc_id").alias("_i"), F.col("text_hash").alias("_h")).distinct()
+    rows = docs.withColumn("_hash", F.xxhash64(F.coalesce("text", F.lit("")))).dropDuplicates(["doc_id", "_hash"])
+    return rows.join(first, rows["doc_id"].eqNullSafe(F.col("_i")) & (F.col("_hash") == F.col("_h")), "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a window that is like a benchmark item."""
+    found = contamination.find_items(docs.withColumn("_row", F.struct(*[F.col(f"`{c}`") for c in docs.columns])), table(spark, sf_dir, "benchmark"), extra=["_row"])
+    return found.where(F.size("matches") == 0).select("_row.*")
+
+
+def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """``doc_id``, ``n_tokens`` and ``ids`` of what is left."""
+    return pieces.encode(docs.select("doc_id", "text"), MODEL).select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids")
 
 
-STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [("quality", keep_good)]
+STAGES: list[tuple[str, Stage]] = [
+    ("quality", keep_good),
+    ("line_dedup", drop_recurring_lines),
+    ("ngram_jaccard", one_of_each_class),
+    ("decontamination", drop_contaminated),
+    ("sentencepiece", encode_pieces),
+]
 
-#: Trained models and token ids are beyond SQL; the stages are tested against brute-force versions instead.
+#: Trained weights and merges are beyond SQL; tests hold the stages against brute-force versions instead.
 ORACLE_SQL: str | None = None
 
 

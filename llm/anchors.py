@@ -60,8 +60,10 @@ def window_runs(values: np.ndarray, first: np.ndarray, window: int, inner: int)
     return row, starts - first[row], count, low[starts], span_hash(prefix, starts, stops + window - 1)
 
 
-def keyed(documents: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    return documents.select(F.col(id_col).alias("_id"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("_text_hash"), F.col(text_col).alias("_text"))
+def keyed(documents: DataFrame, id_col: str, text_col: str, extra: list[str] | None = None) -> DataFrame:
+    """``_id``, ``_text_hash``, ``_text`` and, if asked for, a struct ``_extra`` of further columns."""
+    more = [F.struct(*[F.col(f"`{c}`") for c in extra]).alias("_extra")] if extra else []
+    return documents.select(F.col(id_col).alias("_id"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("_text_hash"), F.col(text_col).alias("_text"), *more)
 
 
 def runs(docs: DataFrame, units: Units, window: int, inner: int) -> DataFrame:
@@ -81,7 +83,7 @@ def runs(docs: DataFrame, units: Units, window: int, inner: int) -> DataFrame:
                         names=[*KEY, "start", "n", "anchor", "h"],
                     )
 
-    return docs.mapInArrow(run, schema)
+    return docs.select(*KEY, "_text").mapInArrow(run, schema)
 
 
 def repeated_anchors(found: DataFrame) -> DataFrame:
@@ -93,23 +95,24 @@ def repeated_anchors(found: DataFrame) -> DataFrame:
 
 def packed(docs: DataFrame) -> DataFrame:
     """``keyed`` documents with their texts compressed, for shuffles of whole texts."""
-    schema = docs.select(*KEY).schema.add("_packed", "binary")
+    others = [c for c in docs.columns if c != "_text"]
+    schema = docs.select(*others).schema.add("_packed", "binary")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         press = zstandard.ZstdCompressor(level=3)
         for batch in batches:
-            texts = [press.compress((t.as_py() or "").encode()) for t in batch.column(2)]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(texts, pa.binary())], names=[*KEY, "_packed"])
+            texts = [press.compress((t.as_py() or "").encode()) for t in batch["_text"]]
+            yield pa.RecordBatch.from_arrays([*batch.select(others).columns, pa.array(texts, pa.binary())], names=[*others, "_packed"])
 
     return docs.mapInArrow(run, schema)
 
 
 def with_marks(docs: DataFrame, marks: DataFrame, how: str) -> DataFrame:
-    """Compressed documents beside the list ``marks`` of their own rows of ``marks`` (structs without the key)."""
+    """Compressed documents (with ``_extra``) beside the list ``marks`` of their own rows of ``marks``, as structs without the key."""
     own = marks.groupBy(*KEY).agg(F.collect_list(F.struct(*[c for c in marks.columns if c not in KEY])).alias("marks"))
     own = own.select(F.col("_id").alias("_i"), F.col("_text_hash").alias("_h"), "marks")
     texts = packed(docs)
-    return texts.join(own, texts["_id"].eqNullSafe(own["_i"]) & (texts["_text_hash"] == own["_h"]), how).select(*KEY, "_packed", "marks")
+    return texts.join(own, texts["_id"].eqNullSafe(own["_i"]) & (texts["_text_hash"] == own["_h"]), how).drop("_i", "_h")
 
 
 def branching_kinds(found: DataFrame) -> DataFrame:

@@ -92,7 +92,7 @@ def remove_repeated_words(documents: DataFrame, *, window: int = 35, inner: int
                 rows.append((len(words), int(gone.sum()), kept.decode(), hashlib.sha256(kept).hexdigest()))
             columns = list(zip(*rows, strict=True)) if rows else [[]] * 4
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), *(pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.string(), pa.string()), strict=True))],
+                [batch["_id"], *(pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.string(), pa.string()), strict=True))],
                 names=[id_col, "n_words", "n_removed", "kept", "kept_sha256"],
             )
 

@@ -181,7 +181,11 @@ def _parts(pairs: DataFrame, total: int) -> DataFrame:
 
 
 def similar_classes(documents: DataFrame, *, n: int = 4, percent: int = 85, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """For every row ``id_col``, ``n_shingles`` and ``component_id`` (the smallest id reachable by links)."""
+    """For every row ``id_col``, ``n_shingles``, ``component_id`` (the smallest id reachable by links), ``text_hash`` and ``first``.
+
+    ``first`` is true for one row of each class (the smallest id, with the smallest text hash; without ids, the latter).
+    Only rows equal in id and text are all true together; so are all rows with an empty set.
+    """
     docs = documents.select(F.col(id_col).alias("id"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("text_hash"), F.col(text_col).alias("text"))
     rows = stored(keyed_sets(docs, n, percent))
     nodes = rows.where("size > 0").groupBy("node").agg(F.min(F.struct("text_hash", "id", "size", "keys")).alias("r"))
@@ -229,10 +233,12 @@ def similar_classes(documents: DataFrame, *, n: int = 4, percent: int = 85, id_c
     classes = components(links.unionByName(more))
 
     named = rows.join(classes, "node", "left").withColumn("c", F.coalesce("component", "node"))
-    smallest = named.where("size > 0").groupBy("c").agg(F.min("id").alias("component_id"))
-    out = named.where("size > 0").join(smallest, "c").select("id", "size", "component_id")
-    out = out.unionByName(named.where("size = 0").select("id", "size", F.col("id").alias("component_id")))
-    return out.select(F.col("id").alias(id_col), F.col("size").cast("long").alias("n_shingles"), "component_id")
+    order = F.struct(F.col("id").isNull().alias("none"), "id", "text_hash")
+    smallest = named.where("size > 0").groupBy("c").agg(F.min("id").alias("component_id"), F.min(order).alias("least"))
+    out = named.where("size > 0").join(smallest, "c")
+    out = out.select("id", "size", "component_id", "text_hash", order.eqNullSafe(F.col("least")).alias("first"))
+    out = out.unionByName(named.where("size = 0").select("id", "size", F.col("id").alias("component_id"), "text_hash", F.lit(True).alias("first")))
+    return out.select(F.col("id").alias(id_col), F.col("size").cast("long").alias("n_shingles"), "component_id", "text_hash", "first")
 
 
 def _shared_keys(postings: DataFrame) -> DataFrame:

@@ -7,9 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import contamination, debruijn, language, nearest, overlap, quality, run_index, templates, toxicity
+from . import contamination, debruijn, language, nearest, overlap, pieces, quality, run_index, templates, toxicity
 from .common import fold, table
 
+#: Where the public tokenizer's model lies; a parameter of the operators.
+MODEL = "/opt/tokenizers/piece_bpe_32k.model"
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -29,7 +32,8 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with the size of its set of 4-word shingles and its class at a similarity of 85 %."""
-    return overlap.similar_classes(table(spark, sf_dir, "documents"), n=4, percent=85)
+    found = overlap.similar_classes(table(spark, sf_dir, "documents"), n=4, percent=85)
+    return found.select("doc_id", "n_shingles", "component_id")
 
 
 def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -59,6 +63,13 @@ def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's piece ids, and whether they spell its text again (a null text spells an empty one)."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    spelled = pieces.decode(pieces.encode(docs, MODEL, extra=["text"]), MODEL)
+    return spelled.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", (F.col("decoded") == F.col("text")).alias("round_trip"))
+
+
 def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's language; learnt from rows outside fold 2 of 4."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
@@ -73,7 +84,7 @@ def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
-    op1_toxicity, op2_ngram_jaccard, op3_line_dedup, op4_substring_dedup, op5_quality, op6_suffix_array_dedup, op7_decontamination, op9_language_id,
+    op1_toxicity, op2_ngram_jaccard, op3_line_dedup, op4_substring_dedup, op5_quality, op6_suffix_array_dedup, op7_decontamination, op8_sentencepiece, op9_language_id,
     op10_nearest_neighbours,
 )}
 ORACLES: dict[str, str] = {}

@@ -247,7 +247,7 @@ def remove_long_repeats(documents: DataFrame, *, window: int = 400, inner: int =
                 rows.append((len(data), int(gone.sum()), len(anchors.spans_of(gone)[0]), kept, hashlib.sha256(kept).hexdigest()))
             columns = list(zip(*rows, strict=True)) if rows else [[]] * 5
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), *(pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.string()), strict=True))],
+                [batch["_id"], *(pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.string()), strict=True))],
                 names=[id_col, "n_bytes", "n_removed", "n_spans", "kept", "kept_sha256"],
             )
 

@@ -152,12 +152,13 @@ def recurring_lines(docs: DataFrame, *, min_docs: int, agreement: float, depth:
     return places.join(first, "template").where(~F.struct(*anchors.KEY).eqNullSafe(F.col("first"))).select(*anchors.KEY, "line")
 
 
-def drop_recurring_lines(documents: DataFrame, *, min_docs: int = 3, agreement: float = 0.7, depth: int = 2, deeper: int = 6, block_lines: int = BLOCK_LINES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """For every row ``id_col``, ``n_lines``, ``n_removed``, ``text_hash`` (of the text as it was) and ``kept``, its remaining lines (null for a null text)."""
-    docs = anchors.keyed(documents, id_col, text_col)
-    gone = recurring_lines(docs, min_docs=min_docs, agreement=agreement, depth=depth, deeper=deeper, block_lines=block_lines)
+def drop_recurring_lines(documents: DataFrame, *, min_docs: int = 3, agreement: float = 0.7, depth: int = 2, deeper: int = 6, block_lines: int = BLOCK_LINES, id_col: str = "doc_id", text_col: str = "text", extra: list[str] | None = None) -> DataFrame:
+    """For every row ``id_col``, ``n_lines``, ``n_removed``, ``kept`` (its remaining lines) and the columns ``extra``."""
+    docs = anchors.keyed(documents, id_col, text_col, extra)
+    gone = recurring_lines(docs.select(*anchors.KEY, "_text"), min_docs=min_docs, agreement=agreement, depth=depth, deeper=deeper, block_lines=block_lines)
     texts = anchors.with_marks(docs, gone, "left")
-    schema = documents.select(id_col).schema.add("text_hash", "long").add("n_lines", "long").add("n_removed", "long").add("kept", "string")
+    others = [c for c in docs.columns if c not in ("_text_hash", "_text")]
+    schema = docs.select(*others).schema.add("n_lines", "long").add("n_removed", "long").add("kept", "string")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         unpress = zstandard.ZstdDecompressor()
@@ -179,8 +180,10 @@ def drop_recurring_lines(documents: DataFrame, *, min_docs: int = 3, agreement:
                 sizes.append(len(lines))
                 kept.append(data.decode())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(sizes, pa.int64()), pa.array(removed, pa.int64()), pa.array(kept, pa.string())],
-                names=[id_col, "text_hash", "n_lines", "n_removed", "kept"],
+                [*batch.select(others).columns, pa.array(sizes, pa.int64()), pa.array(removed, pa.int64()), pa.array(kept, pa.string())],
+                names=[*others, "n_lines", "n_removed", "kept"],
             )
 
-    return texts.mapInArrow(run, schema)
+    done = texts.mapInArrow(run, schema)
+    more = [F.col(f"_extra.`{c}`") for c in extra or []]
+    return done.select(F.col("_id").alias(id_col), "n_lines", "n_removed", "kept", *more)
