@@ -11,7 +11,8 @@ at its start to those at its end; the matrices of a text are combined in order,
 chunk to chunk, and every chunk is then traced on its own.
 
 The model file is read on the driver and its bytes are sent along. Null and empty texts have no pieces. Characters
-without a piece become bytes, or the unknown piece. Repeated rows get equal results.
+without a piece become bytes, or the unknown piece. Repeated rows get equal results. Of several segmentations with the
+same score a unigram model gives one with the longest last piece; in a giant text, one of them.
 """
 
 from __future__ import annotations
@@ -32,7 +33,7 @@ from .common import stored
 SPACE = "▁"
 #: Key of a state after which any piece may follow: a unit's start, or a character without a piece.
 FREE = -1
-CACHED_UNITS = 200_000
+CACHED_UNITS = 500_000
 State = tuple[int, int]
 Transfer = dict[State, dict[State, float]]
 
@@ -61,12 +62,14 @@ class Pieces:
         self.hidden = {i for i, p in enumerate(proto.pieces) if p.type in (2, 3)}
         self.longest = max(map(len, self.vocab), default=1)
         self.unknown_score = min((self.scores[i] for i in self.vocab.values()), default=0.0) - 10
+        #: What a longer piece may start with.
+        self.starts = {p[:i] for p in self.vocab for i in range(1, len(p))}
         chars = {c for p in self.vocab for c in p}
         self.units = regex.compile(f"{SPACE}*[^{SPACE}\n]+|{SPACE}+|\n" if "\n" not in chars else f"{SPACE}*[^{SPACE}]+|{SPACE}+")
         if any(SPACE in p.lstrip(SPACE) for p in self.vocab):
             self.units = regex.compile(r"(?s).+")
         self.allowed: dict[tuple[int, int], bool] = {}
-        self.cache: dict[str, list[int]] = {}
+        self.cache: dict[str, tuple[tuple[int, ...], float]] = {}
 
     def normal(self, text: str) -> str:
         if self.squeeze:
@@ -109,10 +112,13 @@ class Pieces:
             if not here:
                 continue
             for end in range(at + 1, min(at + self.longest, limit) + 1):
-                piece = self.vocab.get(text[at:end])
+                part = text[at:end]
+                piece = self.vocab.get(part)
                 gain = 0.0
                 if piece is None:
                     if end > at + 1:
+                        if part not in self.starts:
+                            break
                         continue
                     piece, new, gain = self.unknown, FREE, 0.0 if self.bpe else self.unknown_score
                 elif self.bpe:
@@ -149,11 +155,53 @@ class Pieces:
                 out.append(piece)
         return out
 
-    def unit(self, text: str) -> list[int]:
-        n = len(text)
-        nodes = self.sweep(text, {(0, FREE): 0.0}, 0, n, n)
-        key = max(nodes[n], key=lambda k: nodes[n][k][0])
-        return self.spelled(text, self.trace(nodes, 0, (n, key)))
+    def unit(self, text: str) -> tuple[tuple[int, ...], float]:
+        """Ids and score of a whole unit, kept in the cache."""
+        known = self.cache.get(text)
+        if known is None:
+            if len(self.cache) >= CACHED_UNITS:
+                self.cache.clear()
+            if self.bpe:
+                known = tuple(self.spelled(text, self._only_path(text))), 0.0
+            else:
+                n = len(text)
+                nodes = self.sweep(text, {(0, FREE): 0.0}, 0, n, n)
+                known = tuple(self.spelled(text, self.trace(nodes, 0, (n, FREE)))), nodes[n][FREE][0]
+            self.cache[text] = known
+        return known
+
+    def _only_path(self, text: str) -> list[tuple[int, int]]:
+        """A BPE unit's steps. From a single state, at most one allowed path leads to each place, so one key is kept."""
+        n, vocab, starts, allowed = len(text), self.vocab, self.starts, self.allowed
+        keys: list[int | None] = [FREE] + [None] * n
+        back = [0] * (n + 1)
+        for at in range(n):
+            key = keys[at]
+            if key is None:
+                continue
+            for end in range(at + 1, min(at + self.longest, n) + 1):
+                part = text[at:end]
+                piece = vocab.get(part)
+                if piece is None:
+                    if end == at + 1:
+                        keys[end], back[end] = FREE, at
+                        if part in starts:
+                            continue
+                        break
+                    if part not in starts:
+                        break
+                    continue
+                if keys[end] is None:
+                    fits = allowed.get((key, piece))
+                    if fits is None:
+                        fits = self.may_follow(key, piece)
+                    if fits:
+                        keys[end], back[end] = piece, at
+        out = []
+        while n:
+            out.append((self.unknown if keys[n] == FREE else keys[n], back[n]))
+            n = back[n]
+        return out[::-1]
 
     def joined(self, ids: list[int]) -> list[int]:
         """Neighbouring unknown pieces are one."""
@@ -161,14 +209,9 @@ class Pieces:
 
     def encode(self, text: str | None) -> list[int]:
         out: list[int] = []
-        cache = self.cache
+        get = self.cache.get
         for u in self.units.findall(self.normal(text or "")):
-            ids = cache.get(u)
-            if ids is None:
-                if len(cache) >= CACHED_UNITS:
-                    cache.clear()
-                ids = cache[u] = self.unit(u)
-            out += ids
+            out += (get(u) or self.unit(u))[0]
         return self.joined(out)
 
     def decode(self, ids: list[int]) -> str:
@@ -190,19 +233,24 @@ class Pieces:
 
     # chunks of giant texts: ``text`` has up to ``longest`` characters of its neighbours on both sides
 
-    def borders(self, text: str) -> list[int]:
-        return [m.start() for m in self.units.finditer(text)] + [len(text)]
-
-    def unit_at(self, text: str, at: int) -> tuple[int, int]:
-        """Start and end of the unit that ``at`` lies in or starts; context cut off counts as the unit's end."""
-        b = self.borders(text)
-        i = int(np.searchsorted(b, at, "right")) - 1
-        return b[i], b[min(i + 1, len(b) - 1)]
+    def parts(self, text: str, begin: int, stop: int) -> tuple[int, int, list[str], int, int]:
+        """First and last border of units in a chunk, the whole units between, start and end of the unit around ``begin``.
 
-    def states(self, text: str, at: int) -> list[State]:
-        """All states that may hold at place ``at``: how far a piece reaches beyond it, and its key."""
-        lo, hi = self.unit_at(text, at)
-        if lo == at or at == len(text):
+        Without a border in the chunk both are beyond ``stop``. Where the context is cut off counts as a border.
+        """
+        borders = [m.start() for m in self.units.finditer(text)] + [len(text)]
+        i, j = np.searchsorted(borders, begin, "left"), np.searchsorted(borders, stop, "right") - 1
+        lo = begin if borders[i] == begin else borders[i - 1]
+        if i > j:
+            return stop + 1, stop + 1, [], lo, borders[i]
+        return borders[i], borders[j], [text[a:b] for a, b in zip(borders[i:j], borders[i + 1 : j + 1], strict=True)], lo, borders[i]
+
+    def unit_end(self, text: str, at: int) -> int:
+        return next((m.end() for m in self.units.finditer(text, at)), len(text))
+
+    def states(self, text: str, at: int, lo: int, hi: int) -> list[State]:
+        """All states that may hold at ``at`` in the unit from ``lo`` to ``hi``: how far a piece reaches beyond it, its key."""
+        if lo == at:
             return [(0, FREE)]
         found = {(0, FREE)} if not self.bpe or text[at - 1] not in self.vocab else set()
         for end in range(at, min(hi, at + self.longest - 1) + 1):
@@ -212,52 +260,44 @@ class Pieces:
                     found.add((end - at, piece if self.bpe else FREE))
         return sorted(found)
 
-    def run_chunk(self, text: str, begin: int, stop: int, entries: dict[State, float]) -> tuple[dict[State, float], list]:
-        """From ``entries`` at ``begin`` to the states at ``stop``; the sweeps of all units on the way, for tracing."""
-        borders = self.borders(text)
-        i = int(np.searchsorted(borders, begin, "right")) - 1
-        at, now, sweeps = begin, entries, []
-        while at < stop:
-            limit = borders[i + 1]
-            nodes = self.sweep(text, now, at, min(stop, limit), limit)
-            sweeps.append((at, nodes))
-            if limit <= stop:
-                key = max(nodes[limit - at], key=lambda k: nodes[limit - at][k][0], default=None)
-                if key is None:
-                    return {}, sweeps
-                now = {(0, FREE): nodes[limit - at][key][0]}
-                sweeps[-1] += ((limit - at, key),)
-                at = limit
-            else:
-                now = {(e, k): v[0] for e in range(limit - stop + 1) for k, v in nodes[stop + e - at].items()}
-                return now, sweeps
-            i += 1
-        return now, sweeps
+    def leaving(self, text: str, entries: dict[State, float], begin: int, stop: int, limit: int) -> tuple[dict[State, float], list]:
+        """From ``entries`` at ``begin`` to the states at ``stop`` in a unit that ends at ``limit``; and the sweep."""
+        nodes = self.sweep(text, entries, begin, stop, limit)
+        return {(e, k): v[0] for e in range(limit - stop + 1) for k, v in nodes[stop + e - begin].items()}, nodes
 
     def transfer(self, text: str, begin: int, stop: int) -> Transfer:
         """The chunk's max-plus matrix; after the first border of units all entries go the same way."""
-        borders = self.borders(text)
-        inner = next((b for b in borders if begin <= b <= stop), None)
-        entries = self.states(text, begin)
-        if inner is None or inner == begin:
-            return {e: self.run_chunk(text, begin, stop, {e: 0.0})[0] for e in entries}
-        rest = self.run_chunk(text, inner, stop, {(0, FREE): 0.0})[0] if inner < stop else {(0, FREE): 0.0}
+        inner, outer, whole, lo, hi = self.parts(text, begin, stop)
+        entries = self.states(text, begin, lo, hi)
+        if inner > stop:
+            return {e: self.leaving(text, {e: 0.0}, begin, stop, hi)[0] for e in entries}
+        rest = {(0, FREE): 0.0} if outer == stop else self.leaving(text, {(0, FREE): 0.0}, outer, stop, self.unit_end(text, outer))[0]
+        middle = sum(self.unit(u)[1] for u in whole)
         out: Transfer = {}
         for e in entries:
-            head = self.run_chunk(text, begin, inner, {e: 0.0})[0]
+            head = {(0, FREE): 0.0} if inner == begin else self.leaving(text, {e: 0.0}, begin, inner, inner)[0]
             if head:
-                gain = max(head.values())
+                gain = max(head.values()) + middle
                 out[e] = {x: v + gain for x, v in rest.items()}
         return out
 
     def chunk_ids(self, text: str, begin: int, stop: int, entry: State, leave: State) -> list[int]:
         """The pieces that start in a chunk, on the best path between two states."""
-        _, sweeps = self.run_chunk(text, begin, stop, {entry: 0.0})
-        out: list[tuple[int, int]] = []
-        for at, nodes, *end in sweeps:
-            state = end[0] if end else (stop - at + leave[0], leave[1])
-            out += self.trace(nodes, at, state)
-        return self.spelled(text, out)
+        inner, outer, whole, _, hi = self.parts(text, begin, stop)
+        if inner > stop:
+            _, nodes = self.leaving(text, {entry: 0.0}, begin, stop, hi)
+            return self.spelled(text, self.trace(nodes, begin, (stop - begin + leave[0], leave[1])))
+        out: list[int] = []
+        if inner > begin:
+            found, nodes = self.leaving(text, {entry: 0.0}, begin, inner, inner)
+            key = max(found, key=lambda s: found[s])[1]
+            out += self.spelled(text, self.trace(nodes, begin, (inner - begin, key)))
+        for u in whole:
+            out += self.unit(u)[0]
+        if outer < stop:
+            _, nodes = self.leaving(text, {(0, FREE): 0.0}, outer, stop, self.unit_end(text, outer))
+            out += self.spelled(text, self.trace(nodes, outer, (stop - outer + leave[0], leave[1])))
+        return out
 
 
 def compose(left: Transfer, right: Transfer) -> Transfer:
