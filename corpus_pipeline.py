@@ -19,31 +19,37 @@ from llm.queries import MODEL
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def whole(docs: DataFrame) -> DataFrame:
+    """``doc_id``, ``text`` and the whole row as ``_row``, so that no further column can clash."""
+    return docs.select("doc_id", "text", F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"))
+
+
 def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose passages the attention model scores 0.7 or more; all labelled ones may be learnt from."""
-    scored = quality.score_quality(docs.withColumn("_row", F.struct(*[F.col(f"`{c}`") for c in docs.columns])), table(spark, sf_dir, "labels"), F.lit(True), extra=["_row"])
+    scored = quality.score_quality(whole(docs), table(spark, sf_dir, "labels"), F.lit(True), extra=["_row"])
     return scored.where(F.col("score") >= 0.7).select("_row.*")
 
 
 def drop_recurring_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Lines of templates in three or more documents go, but for the first; so do documents that lose all their words."""
-    found = templates.drop_recurring_lines(docs, extra=[c for c in docs.columns if c not in ("doc_id", "text")])
+    found = templates.drop_recurring_lines(whole(docs), extra=["_row"])
     left = found.where((F.col("n_removed") == 0) | F.col("kept").rlike(r"\S"))
-    now = {"text": F.col("kept"), "n_chars": F.length("kept").cast("long")}
-    return left.select(*[now[c].alias(c) if c in now else F.col(f"`{c}`") for c in docs.columns])
+    touched = F.col("n_removed") > 0
+    now = {"text": F.when(touched, F.col("kept")), "n_chars": F.when(touched, F.length("kept").cast("long"))}
+    return left.select(*[F.coalesce(now[c], F.col(f"_row.`{c}`")).alias(c) if c in now else F.col(f"_row.`{c}`") for c in docs.columns])
 
 
 def one_of_each_class(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of five-word shingle sets that are 80 % similar: the one with the smallest id."""
     classes = overlap.similar_classes(docs.select("doc_id", "text"), n=5, percent=80)
     first = classes.where("first").select(F.col("doc_id").alias("_i"), F.col("text_hash").alias("_h")).distinct()
-    rows = docs.withColumn("_hash", F.xxhash64(F.coalesce("text", F.lit("")))).dropDuplicates(["doc_id", "_hash"])
-    return rows.join(first, rows["doc_id"].eqNullSafe(F.col("_i")) & (F.col("_hash") == F.col("_h")), "left_semi").select(*[F.col(f"`{c}`") for c in docs.columns])
+    rows = whole(docs).select("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("_hash"), "_row").dropDuplicates(["doc_id", "_hash"])
+    return rows.join(first, rows["doc_id"].eqNullSafe(F.col("_i")) & (F.col("_hash") == F.col("_h")), "left_semi").select("_row.*")
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a window that is like a benchmark item."""
-    found = contamination.find_items(docs.withColumn("_row", F.struct(*[F.col(f"`{c}`") for c in docs.columns])), table(spark, sf_dir, "benchmark"), extra=["_row"])
+    found = contamination.find_items(whole(docs), table(spark, sf_dir, "benchmark"), extra=["_row"])
     return found.where(F.size("matches") == 0).select("_row.*")
 
 

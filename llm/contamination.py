@@ -6,7 +6,8 @@ its shingles. Fingerprints are cut into blocks: two within ``RADIUS`` bits diffe
 of some block, so looking up each block with that many flips finds all of them. For those the exact weighted Jaccard
 similarity of the shingles (weights: how often each occurs) decides.
 
-A text shorter than an item is one window. Items shorter than a shingle are one shingle. Null or empty texts and items
+A text shorter than an item is one window. An item shorter than a shingle is one shingle,
+like a text as short, and matches only such a text: inside longer ones it would be chance. Null or empty texts and items
 match nothing. Very long texts are searched whole. Repeated rows get equal results; repeated items are each reported.
 """
 
@@ -138,40 +139,36 @@ def matches_in(index: list[SizeIndex], every: np.ndarray, hashes: np.ndarray, si
     return sorted((item, at, value) for item, (value, at) in best.items())
 
 
-def _marks(documents: DataFrame, items: list[tuple[int, str | None]], n: int, similarity: float, kept: list[str], text_col: str) -> DataFrame:
+def _marks(rows: DataFrame, items: list[tuple[int, str | None]], n: int, similarity: float) -> DataFrame:
+    """``rows`` (``_kept``, ``_text``, ``matches``) with the matches of these items added."""
     index = build_index(items, n)
     every = np.unique(np.concatenate([s.known for s in index])) if index else np.zeros(0, np.uint64)
-    sent = documents.sparkSession.sparkContext.broadcast((index, every))
+    sent = rows.sparkSession.sparkContext.broadcast((index, every))
     fields = pa.list_(pa.struct([("item_id", pa.int64()), ("start", pa.int64()), ("similarity", pa.float64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         here, known = sent.value
         for batch in batches:
-            buf, at = text_buffer(batch.column(len(kept)))
-            found = []
+            buf, at = text_buffer(batch["_text"])
+            found = batch["matches"].to_pylist()
             for lo, hi in blocks(at):
                 hashes, begin, _ = shingles(buf[at[lo] : at[hi]], at[lo : hi + 1] - at[lo], n)
-                for a, b in zip(begin[:-1], begin[1:], strict=True):
-                    found.append([{"item_id": i, "start": s, "similarity": v} for i, s, v in matches_in(here, known, hashes[a:b], similarity)])
-            yield pa.RecordBatch.from_arrays([*batch.columns[: len(kept)], pa.array(found, fields)], names=[*kept, "matches"])
+                for row, a, b in zip(range(lo, hi), begin[:-1], begin[1:], strict=True):
+                    found[row] += [{"item_id": i, "start": s, "similarity": v} for i, s, v in matches_in(here, known, hashes[a:b], similarity)]
+            yield pa.RecordBatch.from_arrays([batch["_kept"], batch["_text"], pa.array(found, fields)], names=["_kept", "_text", "matches"])
 
-    types = dict(documents.dtypes)
-    schema = ", ".join(f"`{c}` {types[c]}" for c in kept) + ", matches array<struct<item_id: long, start: long, similarity: double>>"
-    return documents.select(*kept, F.col(text_col).alias("_text")).mapInArrow(run, schema)
+    return rows.mapInArrow(run, rows.schema)
 
 
 def find_items(documents: DataFrame, benchmark: DataFrame, *, n: int = 5, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text", extra: list[str] | None = None) -> DataFrame:
     """Every row of ``documents`` (``id_col``, ``extra``) with ``matches``: the items in it, where (in shingles) and how similar."""
     kept = [id_col, *(c for c in extra or [] if c != id_col)]
-    rows = benchmark.select(F.col(item_col).alias("i"), F.col(item_text).alias("t")).where("i is not null and t is not null")
-    parts = max(1, -(-rows.count() // INDEX_ITEMS))
-    out = documents
+    none = F.array().cast("array<struct<item_id: bigint, start: bigint, similarity: double>>")
+    rows = documents.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("_kept"), F.col(text_col).alias("_text"), none.alias("matches"))
+    items = benchmark.select(F.col(item_col).alias("i"), F.col(item_text).alias("t")).where("i is not null and t is not null")
+    parts = max(1, -(-items.count() // INDEX_ITEMS))
     for p in range(parts):
-        # at most about INDEX_ITEMS rows: those of one residue
-        items = [(r["i"], r["t"]) for r in rows.where(F.pmod(F.xxhash64("i"), F.lit(parts)) == p).orderBy("i", "t").toArrow().to_pylist()]
-        held = kept if p == 0 else [*kept, "_before"]
-        source = documents if p == 0 else out.withColumnRenamed("matches", "_before")
-        out = _marks(source, items, n, similarity, [*held] if parts == 1 else [*dict.fromkeys([*held, text_col])], text_col)
-        if p:
-            out = out.withColumn("matches", F.concat("_before", "matches")).drop("_before")
-    return out.select(*kept, "matches")
+        # about INDEX_ITEMS rows at most: those of one residue
+        own = items.where(F.pmod(F.xxhash64("i"), F.lit(parts)) == p).orderBy("i", "t").toArrow().to_pylist()
+        rows = _marks(rows, [(r["i"], r["t"]) for r in own], n, similarity)
+    return rows.select("_kept.*", "matches")

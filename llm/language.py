@@ -138,16 +138,17 @@ def train(documents: DataFrame, learn: Column, *, lang_col: str = "lang", text_c
 
 def predict_language(documents: DataFrame, model: Model, *, text_col: str = "text", id_col: str = "doc_id", extra: list[str] | None = None) -> DataFrame:
     """``id_col``, ``extra``, ``lang_pred`` and ``score`` (the winner's share, 0 to 1) for every row."""
-    kept = [id_col, *(extra or [])]
+    kept = [id_col, *(c for c in extra or [] if c != id_col)]
+    rows = documents.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("_kept"), F.col(text_col).alias("_text"))
     sent = documents.sparkSession.sparkContext.broadcast(model)
-    schema = documents.select(*kept).schema.add("lang_pred", "string").add("score", "double")
+    schema = rows.select("_kept").schema.add("lang_pred", "string").add("score", "double")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            got = [sent.value.predict(t.as_py()) for t in batch.column(len(kept))]
+            got = [sent.value.predict(t.as_py()) for t in batch["_text"]]
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[: len(kept)], pa.array([x for x, _ in got], pa.string()), pa.array([x for _, x in got], pa.float64())],
-                names=[*kept, "lang_pred", "score"],
+                [batch["_kept"], pa.array([x for x, _ in got], pa.string()), pa.array([x for _, x in got], pa.float64())],
+                names=["_kept", "lang_pred", "score"],
             )
 
-    return documents.select(*kept, F.col(text_col).alias("_text")).mapInArrow(run, schema)
+    return rows.mapInArrow(run, schema).select("_kept.*", "lang_pred", "score")

@@ -83,16 +83,17 @@ def score_table(documents: DataFrame, id_col: str, text_col: str, model: Any, sc
 
     ``model`` has a size set by parameters alone, so it is sent to the executors once.
     """
-    kept = [id_col, *(extra or [])]
+    kept = [id_col, *(c for c in extra or [] if c != id_col)]
+    rows = documents.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("_kept"), F.col(text_col).alias("_text"))
     sent = documents.sparkSession.sparkContext.broadcast(model)
-    schema = documents.select(*kept).schema.add("score", "double")
+    schema = rows.select("_kept").schema.add("score", "double")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            buf, at = text_buffer(batch.column(len(kept)))
+            buf, at = text_buffer(batch["_text"])
             out = np.zeros(len(batch))
             for lo, hi in blocks(at):
                 out[lo:hi] = score(sent.value, buf[at[lo] : at[hi]], at[lo : hi + 1] - at[lo])
-            yield pa.RecordBatch.from_arrays([*batch.columns[: len(kept)], pa.array(out)], names=[*kept, "score"])
+            yield pa.RecordBatch.from_arrays([batch["_kept"], pa.array(out)], names=["_kept", "score"])
 
-    return documents.select(*kept, F.col(text_col).alias("_text")).mapInArrow(run, schema)
+    return rows.mapInArrow(run, schema).select("_kept.*", "score")

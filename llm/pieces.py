@@ -414,22 +414,24 @@ def encode(documents: DataFrame, model_path: str, *, giant_chars: int = 50_000,
     sent = documents.sparkSession.sparkContext.broadcast(data)
     giant = F.coalesce(F.length(text_col), F.lit(0)) > giant_chars
     kept = [id_col, *(c for c in extra or [] if c != id_col)]
-    schema = documents.select(*kept).schema.add("ids", ArrayType(IntegerType()))
+    row = F.struct(*[F.col(f"`{c}`") for c in kept]).alias("_kept")
+    small = documents.where(~giant).select(row, F.col(text_col).alias("_text"))
+    schema = small.select("_kept").schema.add("ids", ArrayType(IntegerType()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         here = _model(sent.value)
         for batch in batches:
             for lo in range(0, len(batch), 500):
                 part = batch.slice(lo, 500)
-                ids = _lists([here.encode(t) for t in part.column(len(kept)).to_pylist()])
-                yield pa.RecordBatch.from_arrays([*part.columns[: len(kept)], ids], names=[*kept, "ids"])
+                ids = _lists([here.encode(t) for t in part["_text"].to_pylist()])
+                yield pa.RecordBatch.from_arrays([part["_kept"], ids], names=["_kept", "ids"])
 
-    plain = documents.where(~giant).select(*kept, F.col(text_col).alias("_text")).mapInArrow(run, schema)
+    plain = small.mapInArrow(run, schema).select("_kept.*", "ids")
     large = anchors.keyed(documents.where(giant), id_col, text_col, kept)
     found = _giants(large.select(*anchors.KEY, "_text"), sent, chunk_chars)
     rows = large.select(F.col("_id").alias("_i"), F.col("_text_hash").alias("_h"), "_extra")
     found = rows.join(found, F.col("_i").eqNullSafe(F.col("_id")) & (F.col("_h") == F.col("_text_hash")))
-    return plain.unionByName(found.select(*[F.col(f"_extra.`{c}`") for c in kept], "ids"))
+    return plain.unionByName(found.select("_extra.*", "ids"))
 
 
 def decode(encoded: DataFrame, model_path: str, *, ids_col: str = "ids") -> DataFrame:
