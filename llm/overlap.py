@@ -64,7 +64,7 @@ def frequent_buckets(texts: DataFrame, n: int) -> dict[int, int]:
         for batch in batches:
             for s in _batch_sets(batch.column(0), n):
                 np.add.at(seen, (s >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), 1)
-        heavy = np.flatnonzero(seen > 4 * seen.mean() + 16)
+        heavy = np.flatnonzero(seen > 4 * seen.mean() + 3)
         yield pa.RecordBatch.from_arrays([pa.array(heavy), pa.array(seen[heavy])], names=["bucket", "n"])
 
     counts = texts.mapInArrow(run, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
@@ -211,15 +211,18 @@ def similar_classes(documents: DataFrame, *, n: int = 4, percent: int = 85, id_c
     left = held.select("key", *[F.col(x).alias(f"{x}1") for x in ("c", "lo", "hi")])
     right = held.select("key", *[F.col(x).alias(f"{x}2") for x in ("c", "lo", "hi")])
     near = (F.col("hi1") * 100 >= percent * F.col("lo2")) & (F.col("hi2") * 100 >= percent * F.col("lo1"))
-    shared = left.join(right, "key").where((F.col("c1") < F.col("c2")) & near).groupBy("c1", "c2").agg(F.count(F.lit(1)).alias("shared"))
-    extent = label.groupBy("c").agg(F.min("size").alias("lo"), F.max("size").alias("hi"), F.countDistinct("node").alias("members"))
-    for i in ("1", "2"):
-        shared = shared.join(extent.select(*[F.col(x).alias(f"{x}{i}") for x in extent.columns]), f"c{i}")
+    shared = left.join(right, "key").where((F.col("c1") < F.col("c2")) & near).groupBy("c1", "c2").agg(
+        F.count(F.lit(1)).alias("shared"), *[F.min(f"lo{i}").alias(f"lo{i}") for i in "12"], *[F.max(f"hi{i}").alias(f"hi{i}") for i in "12"]
+    )
     # Sets of x <= y shingles that link share T >= (x + y) percent / (100 + percent). Of these, fewer than percent of y
     # lie outside the common keys: all common shingles up to the end of the shorter-reaching keys are keys of both.
     x, y = F.least("lo1", "lo2"), F.greatest("hi1", "hi2")
     least_shared = (x + y) * percent / (100 + percent) - y * percent / 100
-    pairs = stored(shared.where(F.col("shared") > least_shared - 1e-9).select(
+    shared = shared.where(F.col("shared") > least_shared - 1e-9).select("c1", "c2")
+    extent = label.groupBy("c").agg(F.countDistinct("node").alias("members"))
+    for i in "12":
+        shared = shared.join(extent.select(F.col("c").alias(f"c{i}"), F.col("members").alias(f"members{i}")), f"c{i}")
+    pairs = stored(shared.select(
         F.when(F.col("members1") > F.col("members2"), F.col("c1")).otherwise(F.col("c2")).alias("group"),
         F.when(F.col("members1") > F.col("members2"), F.col("c2")).otherwise(F.col("c1")).alias("other"),
     ))
