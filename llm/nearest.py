@@ -5,7 +5,8 @@ probes the lists whose centroids promise most. In each list, vectors are rotated
 of columns: after each block a hypothesis test asks whether a vector with this partial product could still reach the
 k-th best found, and abandons it if not. What remains is scored exactly, in double precision, on the original vectors.
 
-Large lists are dealt out in blocks, and many queries of one list in chunks, so no task gets an unbounded group.
+Large lists are cut into blocks, the blocks are dealt to bins, and many queries of one bin come in chunks, so no task
+gets an unbounded group. A query is scanned once in each bin, over the lists that it probes there, nearest lists first.
 
 Vectors that are null, zero, of another length than most, or hold null or non-finite components take no part; nor do
 rows without id. Rows that share an id are each a candidate for other ids, and one query (their smallest vector).
@@ -27,6 +28,7 @@ from .common import stored
 
 LIST_ROWS = 500
 BLOCK_ROWS = 4096
+BIN_ROWS = 16_384
 CHUNK_QUERIES = 2048
 COLUMNS = 16
 DOUBT = 3.0
@@ -39,6 +41,7 @@ class Index:
     rotation: np.ndarray
     centroids: np.ndarray
     probes: int
+    rows: int
 
 
 def _matrix(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
@@ -82,29 +85,29 @@ def fit(rows: DataFrame, k: int, *, sample_rows: int = 20_000, most_lists: int =
     order = np.argsort(np.argsort(-(asked @ centroids.T), axis=1), axis=1)
     needed = np.sort(np.take_along_axis(order, own[best], axis=1).ravel())
     probes = int(needed[min(len(needed) - 1, int(recall * len(needed)))]) + 1
-    return Index(rotation, centroids, probes)
+    return Index(rotation, centroids, probes, total)
 
 
 def nearest_centroid(x: np.ndarray, centroids: np.ndarray) -> np.ndarray:
     return np.argmin((centroids**2).sum(axis=1) - 2 * (x @ centroids.T), axis=1)
 
 
-def scan(x: np.ndarray, ids: np.ndarray, rotated: np.ndarray, norms: np.ndarray, query: np.ndarray, query_id: int, rotation: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-    """Ids and exact scores of the ``k`` best rows for one query, its own id left out."""
+def scan(x: np.ndarray, ids: np.ndarray, rotated: np.ndarray, norms: np.ndarray, rows: np.ndarray, query: np.ndarray, query_id: int, rotation: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Ids and exact scores of the ``k`` best of ``rows`` for one query, its own id left out."""
     d = len(query)
     q, norm = query @ rotation, np.sqrt(query @ query)
-    other = ids != query_id
-    seed = np.flatnonzero(other)[: 4 * k]
-    scores = (x[seed] * query).sum(axis=1)
+    alive = rows[ids[rows] != query_id]
+    # the first rows are of the most promising list; the k-th best of them is the bar for all others
+    scores = (x[alive[: 8 * k]] * query).sum(axis=1)
     bar = np.partition(scores, -k)[-k] if len(scores) >= k else -np.inf
-    alive = np.flatnonzero(other)
-    partial = np.zeros(len(x))
+    partial = np.zeros(len(alive))
     for at in range(0, d - COLUMNS if np.isfinite(bar) else 0, COLUMNS):
-        partial[alive] += rotated[alive, at : at + COLUMNS] @ q[at : at + COLUMNS]
+        partial += rotated[alive, at : at + COLUMNS] @ q[at : at + COLUMNS]
         done = at + COLUMNS
         # in a random basis, a product of at least ``bar`` has shown about done / d of itself by now
         slack = DOUBT * norm * norms[alive] * np.sqrt(done * (d - done) / d) / d
-        alive = alive[partial[alive] >= bar * done / d - slack]
+        kept = partial >= bar * done / d - slack
+        alive, partial = alive[kept], partial[kept]
     exact = (x[alive] * query).sum(axis=1)
     order = np.lexsort((ids[alive], -exact))[:k]
     return ids[alive][order], exact[order]
@@ -130,35 +133,41 @@ def search(vectors: DataFrame, is_query: str, k: int = 20, *, id_col: str = "vec
             if len(batch):
                 order = np.argsort(-(_matrix(batch["v"]) @ sent.value.centroids.T), axis=1)[:, : sent.value.probes]
                 every = batch.take(pa.array(np.repeat(np.arange(len(batch)), order.shape[1])))
-                yield pa.RecordBatch.from_arrays([*every.columns, pa.array(order.ravel().astype(np.int32))], names=["id", "v", "list"])
+                places = np.tile(np.arange(order.shape[1], dtype=np.int32), len(batch))
+                yield pa.RecordBatch.from_arrays([*every.columns, pa.array(order.ravel().astype(np.int32)), pa.array(places)], names=["id", "v", "list", "order"])
 
     asked = rows.where(F.expr(is_query.replace(id_col, "id"))).groupBy("id").agg(F.min("v").alias("v"))
     dealt = stored(rows.mapInArrow(assign, "id long, v array<double>, list int"))
-    probes = stored(asked.mapInArrow(probe, "id long, v array<double>, list int"))
+    probes = stored(asked.mapInArrow(probe, "id long, v array<double>, list int, order int"))
     # one row for each list: at most ``most_lists``
     sizes = dealt.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / BLOCK_ROWS).cast("int").alias("blocks"))
-    chunks = probes.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / CHUNK_QUERIES).cast("int").alias("chunks"))
-    deal = F.broadcast(sizes.join(F.broadcast(chunks), "list"))
-    left = dealt.join(deal, "list").select(
-        "list", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int").alias("block"), F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("chunk"), "id", "v"
-    )
-    right = probes.join(deal, "list").select(
-        "list", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.pmod(F.xxhash64("id"), F.col("chunks")).cast("int").alias("chunk"), "id", "v"
+    bins = max(1, -(-index.rows // BIN_ROWS))
+    chunks = max(1, -(-probes.select("id").distinct().count() // CHUNK_QUERIES))
+    bin_of = F.pmod(F.xxhash64("list", "block"), F.lit(bins)).cast("int").alias("bin")
+    left = dealt.join(F.broadcast(sizes), "list").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
+    left = left.select(bin_of, F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))).alias("chunk"), "id", "v", "list")
+    right = probes.join(F.broadcast(sizes), "list").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    right = right.select("id", "v", "order", "list", bin_of).distinct().groupBy("id", "bin").agg(
+        F.first("v").alias("v"), F.sort_array(F.collect_list(F.struct("order", "list"))).getField("list").alias("lists")
     )
+    right = right.select("bin", F.pmod(F.xxhash64("id"), F.lit(chunks)).cast("int").alias("chunk"), "id", "v", "lists")
 
     def compare(here: pa.Table, asking: pa.Table) -> pa.Table:
-        x, q = _matrix(here["v"]), _matrix(asking["v"])
         out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-        if len(x) and len(q):
-            ids, rotation = here["id"].to_numpy(), sent.value.rotation
+        if len(here) and len(asking):
+            lists = here["list"].to_numpy()
+            by_list = np.argsort(lists, kind="stable")
+            x, ids, lists = _matrix(here["v"])[by_list], here["id"].to_numpy()[by_list], lists[by_list]
+            rotation = sent.value.rotation
             rotated, norms = x @ rotation, np.sqrt((x * x).sum(axis=1))
-            for query_id, vector in zip(asking["id"].to_numpy(), q, strict=True):
-                found, scores = scan(x, ids, rotated, norms, vector, query_id, rotation, k)
+            for query_id, vector, wanted in zip(asking["id"].to_numpy(), _matrix(asking["v"]), asking["lists"].to_pylist(), strict=True):
+                lo, hi = np.searchsorted(lists, wanted, "left"), np.searchsorted(lists, wanted, "right")
+                rows = np.concatenate([np.arange(a, b) for a, b in zip(lo, hi, strict=True)])
+                found, scores = scan(x, ids, rotated, norms, rows, vector, query_id, rotation, k)
                 out.append((np.full(len(found), query_id), found, scores))
         columns = [np.concatenate(c) for c in zip(*out, strict=True)] if out else [np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)]
         return pa.table({"query_id": columns[0], "id": columns[1], "score": columns[2]})
 
-    keys = ["list", "block", "chunk"]
-    found = left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(compare, schema)
+    found = left.groupBy("bin", "chunk").cogroup(right.groupBy("bin", "chunk")).applyInArrow(compare, schema)
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "id")
     return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", F.col("id").alias(id_col), "score")
