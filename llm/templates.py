@@ -49,7 +49,7 @@ def parsed(buf: np.ndarray, at: np.ndarray, depth: int, deeper: int) -> tuple[np
     line_at = np.concatenate([begins, [len(buf)]]) if len(begins) else np.zeros(1, np.int64)
     tokens, own, starts, stops = word_hashes(buf, line_at)
     digits = np.concatenate([[0], np.cumsum(_DIGIT[buf])])
-    tokens = np.where(digits[stops] > digits[starts], FIELD, (tokens >> np.uint64(32)).astype(np.int64) | 1)
+    tokens = np.where(digits[stops] > digits[starts], FIELD, (tokens >> np.uint64(48)).astype(np.int64) | 1)
     size = np.diff(own)
     kept = np.flatnonzero(size > 0)
     sums = prefix_hash(tokens.astype(np.uint64) + np.uint64(3))
@@ -59,11 +59,11 @@ def parsed(buf: np.ndarray, at: np.ndarray, depth: int, deeper: int) -> tuple[np
         leaf.append((head ^ (size[kept].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))).view(np.int64))
     lines = span_hash(prefix_hash(BYTE_VALUES[buf]), begins[kept], ends[kept]).view(np.int64)
     text = np.searchsorted(first, kept, "right") - 1
-    return text, lines, size[kept], leaf[0], leaf[1], tokens.astype(np.int32), own[:-1][kept]
+    return text, lines, size[kept], leaf[0], leaf[1], tokens.astype(np.uint16), own[:-1][kept]
 
 
 def document_lines(docs: DataFrame, depth: int, deeper: int) -> DataFrame:
-    """One row for each document and different line: key, ``line``, ``leaf``, ``deep``, ``tokens`` (hashes, 0 a field)."""
+    """One row for each document and different line: key, ``line``, ``leaf``, ``deep``, ``tokens`` (16-bit hashes, 0 a field)."""
     schema = docs.select(*anchors.KEY).schema.add("line", "long").add("leaf", "long").add("deep", "long").add("tokens", "binary")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -88,7 +88,7 @@ def document_lines(docs: DataFrame, depth: int, deeper: int) -> DataFrame:
 
 def cluster(lines: np.ndarray, agreement: float) -> tuple[np.ndarray, np.ndarray]:
     """The template number of each row of ``lines`` (token hashes, in order) and the templates, variable fields 0."""
-    templates = np.zeros((max(4, len(lines)), lines.shape[1]), np.int32)
+    templates = np.zeros((max(4, len(lines)), lines.shape[1]), np.uint16)
     own, n = np.zeros(len(lines), np.int64), 0
     for i, line in enumerate(lines):
         if n:
@@ -118,7 +118,7 @@ def _clustered(rows: DataFrame, agreement: float, group: list[str]) -> DataFrame
         # lines of one leaf have one length, but for colliding hashes
         for size in sorted({len(t) for t in tokens}):
             mine = [i for i in order if len(tokens[i]) == size]
-            own, found = cluster(np.stack([np.frombuffer(tokens[i], np.int32) for i in mine]), agreement)
+            own, found = cluster(np.stack([np.frombuffer(tokens[i], np.uint16) for i in mine]), agreement)
             named = [_template_id(leaf, t) for t in found]
             for i, k in zip(mine, own, strict=True):
                 ids[i], fields[i] = named[k], found[k].tobytes()
