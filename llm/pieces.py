@@ -33,7 +33,8 @@ from .common import stored
 SPACE = "▁"
 #: Key of a state after which any piece may follow: a unit's start, or a character without a piece.
 FREE = -1
-CACHED_UNITS = 500_000
+CACHED_UNITS = 200_000
+CACHED_PAIRS = 300_000
 State = tuple[int, int]
 Transfer = dict[State, dict[State, float]]
 
@@ -69,7 +70,9 @@ class Pieces:
         if any(SPACE in p.lstrip(SPACE) for p in self.vocab):
             self.units = regex.compile(r"(?s).+")
         self.allowed: dict[tuple[int, int], bool] = {}
-        self.cache: dict[str, tuple[tuple[int, ...], float]] = {}
+        #: Ids of whole units as packed 32-bit numbers, and for unigram models their scores.
+        self.cache: dict[str, bytes] = {}
+        self.unit_scores: dict[str, float] = {}
 
     def normal(self, text: str) -> str:
         if self.squeeze:
@@ -93,7 +96,7 @@ class Pieces:
         known = self.allowed.get((key, piece))
         if known is None:
             want = [self.names[piece]] if key == FREE else [self.names[key], self.names[piece]]
-            if len(self.allowed) > 2_000_000:
+            if len(self.allowed) >= CACHED_PAIRS:
                 self.allowed.clear()
             known = self.allowed[key, piece] = self.merged("".join(want)) == want
         return known
@@ -155,21 +158,29 @@ class Pieces:
                 out.append(piece)
         return out
 
-    def unit(self, text: str) -> tuple[tuple[int, ...], float]:
-        """Ids and score of a whole unit, kept in the cache."""
+    def unit(self, text: str) -> bytes:
+        """Packed ids of a whole unit, kept in the cache."""
         known = self.cache.get(text)
         if known is None:
             if len(self.cache) >= CACHED_UNITS:
                 self.cache.clear()
+                self.unit_scores.clear()
             if self.bpe:
-                known = tuple(self.spelled(text, self._only_path(text))), 0.0
+                ids = self.spelled(text, self._only_path(text))
             else:
                 n = len(text)
                 nodes = self.sweep(text, {(0, FREE): 0.0}, 0, n, n)
-                known = tuple(self.spelled(text, self.trace(nodes, 0, (n, FREE)))), nodes[n][FREE][0]
-            self.cache[text] = known
+                ids = self.spelled(text, self.trace(nodes, 0, (n, FREE)))
+                self.unit_scores[text] = nodes[n][FREE][0]
+            known = self.cache[text] = np.array(ids, np.int32).tobytes()
         return known
 
+    def unit_score(self, text: str) -> float:
+        if self.bpe:
+            return 0.0
+        self.unit(text)
+        return self.unit_scores[text]
+
     def _only_path(self, text: str) -> list[tuple[int, int]]:
         """A BPE unit's steps. From a single state, at most one allowed path leads to each place, so one key is kept."""
         n, vocab, starts, allowed = len(text), self.vocab, self.starts, self.allowed
@@ -203,16 +214,17 @@ class Pieces:
             n = back[n]
         return out[::-1]
 
-    def joined(self, ids: list[int]) -> list[int]:
+    def joined(self, ids: np.ndarray) -> np.ndarray:
         """Neighbouring unknown pieces are one."""
-        return ids if len(self.bytes) == 256 or self.unknown not in ids else [x for i, x in enumerate(ids) if x != self.unknown or i == 0 or ids[i - 1] != x]
+        if len(self.bytes) == 256 or len(ids) < 2:
+            return ids
+        again = np.concatenate([[False], (ids[1:] == self.unknown) & (ids[:-1] == self.unknown)])
+        return ids[~again]
 
-    def encode(self, text: str | None) -> list[int]:
-        out: list[int] = []
-        get = self.cache.get
-        for u in self.units.findall(self.normal(text or "")):
-            out += (get(u) or self.unit(u))[0]
-        return self.joined(out)
+    def encode(self, text: str | None) -> np.ndarray:
+        cache, unit = self.cache, self.unit
+        packed = b"".join([cache.get(u) or unit(u) for u in self.units.findall(self.normal(text or ""))])
+        return self.joined(np.frombuffer(packed, np.int32))
 
     def decode(self, ids: list[int]) -> str:
         out, raw = [], bytearray()
@@ -272,7 +284,7 @@ class Pieces:
         if inner > stop:
             return {e: self.leaving(text, {e: 0.0}, begin, stop, hi)[0] for e in entries}
         rest = {(0, FREE): 0.0} if outer == stop else self.leaving(text, {(0, FREE): 0.0}, outer, stop, self.unit_end(text, outer))[0]
-        middle = sum(self.unit(u)[1] for u in whole)
+        middle = sum(self.unit_score(u) for u in whole)
         out: Transfer = {}
         for e in entries:
             head = {(0, FREE): 0.0} if inner == begin else self.leaving(text, {e: 0.0}, begin, inner, inner)[0]
@@ -293,7 +305,7 @@ class Pieces:
             key = max(found, key=lambda s: found[s])[1]
             out += self.spelled(text, self.trace(nodes, begin, (inner - begin, key)))
         for u in whole:
-            out += self.unit(u)[0]
+            out += np.frombuffer(self.unit(u), np.int32).tolist()
         if outer < stop:
             _, nodes = self.leaving(text, {(0, FREE): 0.0}, outer, stop, self.unit_end(text, outer))
             out += self.spelled(text, self.trace(nodes, outer, (stop - outer + leave[0], leave[1])))
@@ -338,9 +350,10 @@ def _model(data: bytes) -> Pieces:
     return _loaded[key]
 
 
-def _lists(rows: list[list[int]]) -> pa.Array:
+def _lists(rows: list) -> pa.Array:
+    """Id sequences as an Arrow list column."""
     offsets = np.concatenate([[0], np.cumsum([len(r) for r in rows])]).astype(np.int32)
-    flat = np.fromiter((x for r in rows for x in r), np.int32, int(offsets[-1]))
+    flat = np.concatenate([np.asarray(r, np.int32) for r in rows]) if rows else np.zeros(0, np.int32)
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
 
 
@@ -403,7 +416,16 @@ def _giants(docs: DataFrame, sent, chunk_chars: int) -> DataFrame:
 
     spelled = routed.mapInArrow(spell, f"{keys}, chunk int, ids array<int>")
     parts = spelled.groupBy(*anchors.KEY).agg(F.sort_array(F.collect_list(F.struct("chunk", "ids"))).alias("p"))
-    return parts.select(*anchors.KEY, F.flatten("p.ids").alias("ids"))
+    whole = parts.select(*anchors.KEY, F.flatten("p.ids").alias("ids"))
+
+    def join_unknown(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = _model(sent.value)
+        for batch in batches:
+            ids = [model.joined(np.array(x, np.int32)) for x in batch["ids"].to_pylist()]
+            yield pa.RecordBatch.from_arrays([*batch.select(anchors.KEY).columns, _lists(ids)], names=[*anchors.KEY, "ids"])
+
+    # only models without byte pieces have unknown pieces to join
+    return whole if len(Pieces(sent.value).bytes) == 256 else whole.mapInArrow(join_unknown, f"{keys}, ids array<int>")
 
 
 def encode(documents: DataFrame, model_path: str, *, giant_chars: int = 50_000, chunk_chars: int = 8_192, id_col: str = "doc_id", text_col: str = "text", extra: list[str] | None = None) -> DataFrame:
