@@ -33,7 +33,7 @@ from .common import stored
 SPACE = "▁"
 #: Key of a state after which any piece may follow: a unit's start, or a character without a piece.
 FREE = -1
-CACHED_UNITS = 200_000
+CACHED_UNITS = 120_000
 CACHED_PAIRS = 300_000
 State = tuple[int, int]
 Transfer = dict[State, dict[State, float]]
