@@ -343,7 +343,7 @@ def _strip_sql(html: str) -> str:
     text = f"regexp_replace({html}, '(?s)<!--.*?-->', chr(10), 'g')"
     text = f"regexp_replace({text}, '(?is)<(script|style)[^>]*>.*?</(script|style)\\s*>', chr(10), 'g')"
     text = f"regexp_replace({text}, '(?s)<[^>]*>', chr(10), 'g')"
-    for entity, char in (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&amp;", "&")):
+    for entity, char in (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "''"), ("&middot;", "·"), ("&copy;", "©"), ("&amp;", "&")):
         text = f"replace({text}, '{entity}', '{char}')"
     return text
 
@@ -421,7 +421,8 @@ def write_features(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT id, layer, kind FROM (
   SELECT 'p' || k AS id, 'points' AS layer, 'Point' AS kind FROM lots
   UNION ALL SELECT 'g' || k, 'polygons', 'MultiPolygon' FROM lots
-  UNION ALL SELECT 'l' || k, 'lines', 'LineString' FROM lots)"""))
+  UNION ALL SELECT 'l' || k, 'lines', 'LineString' FROM lots
+  UNION ALL SELECT 'm' || k, 'other', CASE WHEN k % 2 = 0 THEN 'MultiPoint' END FROM lots)"""))
 def write_feature_layers(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = fx.lots(spark, sf_dir).withColumn("g", to_multipolygon(fx.rectangle("x0", "y0", "x1", "y1")))
     polygon = F.when(
@@ -434,6 +435,7 @@ def write_feature_layers(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.struct(F.concat(F.lit("p"), k).alias("id"), F.to_json(point_geojson("x0", "y0")).alias("geometry")),
         F.struct(F.concat(F.lit("g"), k).alias("id"), polygon.alias("geometry")),
         F.struct(F.concat(F.lit("l"), k).alias("id"), line.alias("geometry")),
+        F.struct(F.concat(F.lit("m"), k).alias("id"), F.when(F.col("k") % 2 == 0, '{"type":"MultiPoint","coordinates":[[1,2]]}').alias("geometry")),
     )))
     folder = fx.scratch(spark)
     Wr.write_feature_layers(features, folder)

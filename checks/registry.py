@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import functools
+import tempfile
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -13,11 +15,23 @@ QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
 
 
+def with_folder(fn: Query) -> Query:
+    """A local session without ``spark.checkpoint.dir`` gets one; a cluster has to name its own."""
+
+    @functools.wraps(fn)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        if not spark.conf.get("spark.checkpoint.dir", None) and spark.sparkContext.master.startswith("local"):
+            spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="spark-checks-"))
+        return fn(spark, sf_dir)
+
+    return run
+
+
 def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     def add(fn: Query) -> Query:
         if name in QUERIES:
             raise ValueError(f"query {name} registered twice")
-        QUERIES[name] = fn
+        QUERIES[name] = with_folder(fn)
         if sql is not None:
             ORACLES[name] = sql
         return fn

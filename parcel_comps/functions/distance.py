@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from parcel_comps import fixed_values as fixed
+from parcel_comps.functions.geometry import contains_point, nearest_side
 from parcel_comps.functions.scalars import ColumnOrName, col
 
 # Ship this module's code inside the UDF, so workers need no installed package.
@@ -135,10 +136,41 @@ def _distances(a: pa.Array, b: pa.Array, scale_x: pa.Array, scale_y: pa.Array) -
 
 
 @F.arrow_udf(T.DoubleType())
-def _distance_udf(a: pa.Array, b: pa.Array, sx: pa.Array, sy: pa.Array) -> pa.Array:
+def _measure(a: pa.Array, b: pa.Array, sx: pa.Array, sy: pa.Array) -> pa.Array:
     return _distances(a, b, sx, sy)
 
 
+# Marked so that the optimizer never copies the call into a filter above its projection:
+# each pair is measured once.
+_distance_udf = _measure.asNondeterministic()
+
+
+_BOTH = T.StructType([T.StructField("metres", T.DoubleType()), T.StructField("degrees", T.DoubleType())])
+
+
+@F.arrow_udf(_BOTH)
+def _measure_both(a: pa.Array, b: pa.Array, sx: pa.Array, sy: pa.Array, near: pa.Array) -> pa.Array:
+    near = near.fill_null(False)
+    rows = pa.array(np.flatnonzero(near.to_numpy(zero_copy_only=False)))
+    one = pa.array(np.ones(len(rows)))
+    degrees = np.full(len(a), np.nan)
+    if len(rows):
+        found = _distances(a.take(rows), b.take(rows), one, one)
+        degrees[rows.to_numpy()] = found.to_numpy(zero_copy_only=False)
+    return pa.StructArray.from_arrays(
+        [_distances(a, b, sx, sy), pa.array(degrees, mask=np.isnan(degrees))], names=["metres", "degrees"]
+    )
+
+
+_both_udf = _measure_both.asNondeterministic()
+
+
+def boundary_distances(a: ColumnOrName, b: ColumnOrName, ref_lat: ColumnOrName, near: Column) -> Column:
+    """Struct of ``metres`` and, where ``near`` holds, ``degrees``: both from one pass over the batch."""
+    east = F.cos(F.radians(col(ref_lat))) * fixed.METRES_PER_DEGREE
+    return _both_udf(col(a), col(b), east, F.lit(fixed.METRES_PER_DEGREE), near)
+
+
 def boundary_distance_m(a: ColumnOrName, b: ColumnOrName, ref_lat: ColumnOrName) -> Column:
     """Metres between two polygons, 0 where they meet, scaled at ``ref_lat``."""
     east = F.cos(F.radians(col(ref_lat))) * fixed.METRES_PER_DEGREE
@@ -150,15 +182,11 @@ def boundary_distance_deg(a: ColumnOrName, b: ColumnOrName) -> Column:
     return _distance_udf(col(a), col(b), F.lit(1.0), F.lit(1.0))
 
 
-def point_polygon(lon: ColumnOrName, lat: ColumnOrName) -> Column:
-    """A point as a polygon of one zero-length side, to measure distances from."""
-    point = F.struct(col(lon).alias("x"), col(lat).alias("y"))
-    return F.array(F.array(F.array(point, point)))
-
-
 def point_distance_m(g: ColumnOrName, lat: ColumnOrName, lon: ColumnOrName) -> Column:
-    """Metres from a point to a polygon, 0 inside it."""
-    return boundary_distance_m(point_polygon(lon, lat), g, lat)
+    """Metres from a point to a polygon, 0 inside it; NULL without sides to measure. No Python."""
+    east = F.cos(F.radians(col(lat))) * fixed.METRES_PER_DEGREE
+    gap = nearest_side(g, lon, lat, east, F.lit(fixed.METRES_PER_DEGREE))
+    return F.when(contains_point(g, lon, lat), F.lit(0.0)).otherwise(gap)
 
 
 def touches(

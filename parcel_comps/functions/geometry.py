@@ -309,6 +309,30 @@ def _segment_gap(p: Column, q: Column, x: Column, y: Column) -> Column:
     return F.hypot(x - (p["x"] + t * dx), y - (p["y"] + t * dy))
 
 
+def nearest_side(
+    g: ColumnOrName, lon: ColumnOrName, lat: ColumnOrName, east: Column, north: Column
+) -> Column:
+    """Distance from a point to the nearest side, degrees scaled by ``east`` and ``north``."""
+    x, y = col(lon), col(lat)
+
+    def scaled(p: Column) -> Column:
+        return F.struct(((p["x"] - x) * east).alias("x"), ((p["y"] - y) * north).alias("y"))
+
+    zero = F.lit(0.0)
+    return F.array_min(
+        F.flatten(
+            F.transform(
+                F.flatten(col(g)),
+                lambda ring: F.zip_with(
+                    F.slice(ring, 1, F.greatest(F.size(ring) - 1, F.lit(0))),
+                    F.slice(ring, 2, F.greatest(F.size(ring) - 1, F.lit(0))),
+                    lambda p, q: _segment_gap(scaled(p), scaled(q), zero, zero),
+                ),
+            )
+        )
+    )
+
+
 def contains_point(
     g: ColumnOrName, lon: ColumnOrName, lat: ColumnOrName, tol_deg: float = 0.0
 ) -> Column:

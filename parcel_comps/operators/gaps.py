@@ -82,7 +82,7 @@ def relative_gap(results: DataFrame, scope: str = "property_type") -> DataFrame:
     caller's choice.
     """
     medians = group_median(results.where("has_comps"), scope, "gap_pct", "_group_median")
-    joined = skew_join(results, medians, [scope], ["listing_id"])
+    joined = skew_join(results, medians, [scope], ["listing_id"], null_safe=True)
     relative = F.when(F.col("has_comps"), F.col("gap_pct") - F.col("_group_median"))
     return joined.withColumn("relative_gap_pct", relative).select(
         *results.columns, "relative_gap_pct"
@@ -115,7 +115,7 @@ def rank_gaps(results: DataFrame, profile: str | Profile = "service") -> DataFra
     ranks = value_ranks(ranked, "property_type", "_gap").select(
         "property_type", "_gap", (F.col("n_above") + 1).alias("rank")
     )
-    return skew_join(ranked, ranks, ["property_type", "_gap"], ["listing_id"]).drop("_gap")
+    return skew_join(ranked, ranks, ["property_type", "_gap"], ["listing_id"], null_safe=True).drop("_gap")
 
 
 def without_comps(results: DataFrame) -> DataFrame:

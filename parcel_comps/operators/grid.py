@@ -16,12 +16,16 @@ _COARSER = 64
 _TOP = 2
 # Rows of one cell, per side, that a single task joins before the cell is split.
 BLOCK_ROWS = 20_000
-# Length of the broadcast list of crowded cells (about 2 MB), the heaviest ones first.
-MAX_HOT_CELLS = 1 << 16
+# A cell is split only above this share of all rows, so the broadcast list of crowded
+# cells never has more than 200,000 entries, and no cell above it stays whole.
+HOT_SHARE = 100_000
+# Cells exist for valid degrees only; what lies beyond counts for the cells at the edge.
+_MAX_DEG = 180.0
 
 
 def _cell_index(value: Column, size: Column) -> Column:
-    return F.floor(value / size).cast("bigint")
+    inside = F.greatest(F.least(value, F.lit(_MAX_DEG)), F.lit(-_MAX_DEG))
+    return F.floor(inside / size).cast("bigint")
 
 
 def _size(level: Column, cell_deg: float) -> Column:
@@ -77,23 +81,20 @@ def _to_cells(
 
 
 def _hot_cells(left: DataFrame, right: DataFrame, block_rows: int) -> DataFrame:
-    """Cells to split, with the number of blocks per side; at most ``MAX_HOT_CELLS`` rows."""
+    """Cells to split, with the number of blocks per side."""
     sides = left.select("_cell", F.lit(1).alias("_l"), F.lit(0).alias("_r")).unionAll(
         right.select("_cell", F.lit(0).alias("_l"), F.lit(1).alias("_r"))
     )
     counts = sides.groupBy("_cell").agg(F.sum("_l").alias("_nl"), F.sum("_r").alias("_nr"))
-    crowded = (F.col("_nl") > block_rows) | (F.col("_nr") > block_rows)
+    share = F.coalesce(sides.agg(F.count(F.lit(1))).scalar(), F.lit(0)) / HOT_SHARE
+    most = F.greatest(F.lit(float(block_rows)), share)
+    crowded = (F.col("_nl") > most) | (F.col("_nr") > most)
     blocks = [
-        F.greatest(F.ceil(F.col(n) / F.lit(block_rows)), F.lit(1)).cast("int").alias(name)
+        F.greatest(F.ceil(F.col(n) / most), F.lit(1)).cast("int").alias(name)
         for n, name in (("_nl", "_lblocks"), ("_nr", "_rblocks"))
     ]
     both = (F.col("_nl") > 0) & (F.col("_nr") > 0)
-    return F.broadcast(
-        counts.where(crowded & both)
-        .orderBy((F.col("_nl") * F.col("_nr")).desc())
-        .limit(MAX_HOT_CELLS)
-        .select("_cell", *blocks)
-    )
+    return F.broadcast(counts.where(crowded & both).select("_cell", *blocks))
 
 
 def _blocked(
@@ -132,7 +133,8 @@ def box_join(
     ``distinct`` is needed. Boxes spanning very many cells live on a coarser grid.
     Cells crowded on either side are split into blocks (``left_key`` and
     ``right_key`` decide a row's block), so the pairs of one cell spread over tasks;
-    ``block_rows=None`` leaves the split out. ``left_is_small`` promises that no left
+    ``block_rows=None`` leaves the split out. A coordinate beyond valid degrees is placed in
+    the cells at the edge: it cannot multiply a row, and its pairs are still found. ``left_is_small`` promises that no left
     box covers more than ``max_cells`` cells, as with points and fixed search radii,
     and saves a pass over the left side.
     """

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from html.entities import html5
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -13,8 +14,9 @@ from parcel_comps import schemas
 from parcel_comps.functions import scalars as S
 from parcel_comps.functions.geometry import parse_geometry, parse_point, vertex_mean
 
-# A mapping up to this many rows is broadcast; a longer one is joined by shuffle.
-_MAX_BROADCAST_ALIASES = 100_000
+
+# Python's table of HTML names; a no-break space reads as a blank here.
+_ENTITIES = {k[:-1]: v.replace("\xa0", " ") for k, v in html5.items() if k.endswith(";")}
 
 
 def standardize_type(
@@ -22,15 +24,14 @@ def standardize_type(
 ) -> DataFrame:
     """Replace raw types by their standard names; unknown ones stay, trimmed.
 
-    Blank becomes NULL. With ``keep_unknown_raw`` (the older table's rule) unknown
+    A short mapping is broadcast by Spark's own size rule. Blank becomes NULL. With ``keep_unknown_raw`` (the older table's rule) unknown
     and blank values are left exactly as they are.
     """
-    small = mapping.limit(_MAX_BROADCAST_ALIASES + 1).count() <= _MAX_BROADCAST_ALIASES
     lookup = mapping.select(
         F.col("alias").alias("_alias"), F.col("standardized").alias("_standard")
     )
     joined = df.withColumn("_alias", F.lower(S.strip(column))).join(
-        F.broadcast(lookup) if small else lookup, "_alias", "left"
+        lookup, "_alias", "left"
     )
     unknown = F.col(column) if keep_unknown_raw else S.blank_to_null(column)
     return joined.withColumn(column, F.coalesce("_standard", unknown)).select(*df.columns)
@@ -239,12 +240,33 @@ def page_text(html: Column) -> Column:
     text = F.regexp_replace(html, r"(?s)<!--.*?-->", "\n")
     text = F.regexp_replace(text, r"(?is)<(script|style)[^>]*>.*?</(script|style)\s*>", "\n")
     text = F.regexp_replace(text, r"(?s)<[^>]*>", "\n")
-    for entity, char in (
-        ("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"),
-        ("&amp;", "&"),
-    ):
-        text = F.replace(text, F.lit(entity), F.lit(char))
-    return text
+    return decode_entities(text)
+
+
+def decode_entities(text: Column) -> Column:
+    """Character references replaced: all HTML names, and decimal and hexadecimal numbers.
+
+    Text is split at "&", so every reference is looked up once and none is decoded twice.
+    """
+    names = F.map_from_arrays(F.lit(list(_ENTITIES)), F.lit(list(_ENTITIES.values())))
+    name = F.regexp_extract
+
+    def decoded(part: Column, i: Column) -> Column:
+        reference = name(part, r"^(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]*);", 1)
+        rest = F.substr(part, F.length(reference) + 2)
+        digits = F.when(reference.rlike("^#[xX]"), F.conv(F.substr(reference, F.lit(3)), 16, 10)).when(
+            reference.startswith("#"), F.substr(reference, F.lit(2))
+        ).cast("int")
+        # Numbers are written as UTF-32 and read back.
+        number = F.when(
+            (digits > 0) & (digits < 0x110000) & ~digits.between(0xD800, 0xDFFF),
+            F.decode(F.unhex(F.lpad(F.hex(digits), 8, "0")), "UTF-32"),
+        )
+        char = F.coalesce(number, F.try_element_at(names, reference))
+        whole = F.concat(F.lit("&"), part)
+        return F.when(i == 0, part).otherwise(F.coalesce(F.concat(char, rest), whole))
+
+    return F.array_join(F.transform(F.split(text, "&"), decoded), "")
 
 
 def extract_assessment(pages: DataFrame, mapping: DataFrame) -> DataFrame:

@@ -8,25 +8,17 @@ from pyspark.sql import window as W
 
 # Rows of one key a single task should take before the key is split.
 HOT_ROWS = 1_000_000
-# Length of a broadcast list of hot keys. A key ranked below it has less than
-# 1/1024 of all rows, so it needs no split however large the table is.
-MAX_HOT_KEYS = 1024
-# Ways to spread rows whose key is NULL and which can match nothing.
-NULL_SPREAD = 1024
+# A key is hot only above this share of all rows, so a list of hot keys never has more
+# than 100,000 entries, and what stays whole is below it, at any table size.
+HOT_SHARE = 100_000
 
 
 def hot_keys(df: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Keys with more than ``hot_rows`` rows and the ``_splits`` each needs, heaviest first.
-
-    At most ``MAX_HOT_KEYS`` rows, so it is small enough to broadcast.
-    """
+    """Keys with more rows than ``hot_rows`` and 1/``HOT_SHARE`` of all, with the ``_splits`` each needs."""
     counts = df.where(_complete(keys)).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    return (
-        counts.where(F.col("_n") > hot_rows)
-        .orderBy(F.col("_n").desc())
-        .limit(MAX_HOT_KEYS)
-        .select(*keys, F.ceil(F.col("_n") / F.lit(hot_rows)).cast("int").alias("_splits"))
-    )
+    share = F.coalesce(df.agg(F.count(F.lit(1))).scalar(), F.lit(0)) / HOT_SHARE
+    most = F.greatest(F.lit(float(hot_rows)), share)
+    return counts.where(F.col("_n") > most).select(*keys, F.ceil(F.col("_n") / most).cast("int").alias("_splits"))
 
 
 def _complete(keys: list[str]) -> Column:
@@ -37,8 +29,9 @@ def _complete(keys: list[str]) -> Column:
 
 
 def with_salt(df: DataFrame, hot: DataFrame, keys: list[str], spread: list[str]) -> DataFrame:
-    """Add ``_salt``: 0 for ordinary keys, a hash of ``spread`` for hot and NULL ones."""
-    splits = F.coalesce("_splits", F.when(~_complete(keys), NULL_SPREAD))
+    """Add ``_salt``: 0 for ordinary keys, a hash of ``spread`` for hot ones and, unbounded, for NULL ones."""
+    # Rows with a NULL key match nothing, so their salts need not repeat anywhere.
+    splits = F.coalesce("_splits", F.when(~_complete(keys), F.lit(2**31 - 1)))
     salt = F.coalesce(F.pmod(F.xxhash64(*spread), splits), F.lit(0)).cast("int")
     return df.join(F.broadcast(hot), keys, "left").withColumn("_salt", salt).drop("_splits")
 
@@ -51,6 +44,7 @@ def skew_join(
     how: str = "left",
     hot_rows: int = HOT_ROWS,
     count_on: DataFrame | None = None,
+    null_safe: bool = False,
 ) -> DataFrame:
     """Equi-join that splits hot keys of ``left`` over several tasks.
 
@@ -58,10 +52,18 @@ def skew_join(
     ``spread`` columns and its right rows are repeated once per split. Left rows
     with a NULL key, which otherwise all land in one task, are spread as well.
     Keys are counted on ``left``, or on ``count_on`` where a frame with at least the
-    same keys is cheaper to read. ``how`` is "left" or "inner".
+    same keys is cheaper to read. ``how`` is "left" or "inner". With ``null_safe``
+    NULL is a key like any other.
     """
     if how not in ("left", "inner"):
         raise ValueError("skew_join supports 'left' and 'inner'")
+    if null_safe:
+        # A struct of the keys is never NULL itself, and structs with equal NULL fields are equal.
+        whole = F.struct(*keys).alias("_keys")
+        tagged = left.select("*", whole)
+        counted = None if count_on is None else count_on.select(whole)
+        other = right.select(whole, *[c for c in right.columns if c not in keys])
+        return skew_join(tagged, other, ["_keys"], spread, how, hot_rows, counted).drop("_keys")
     hot = hot_keys(count_on if count_on is not None else left, keys, hot_rows)
     copies = F.sequence(F.lit(0), F.coalesce("_splits", F.lit(1)) - 1)
     repeated = right.join(F.broadcast(hot), keys, "left").withColumn("_salt", F.explode(copies))

@@ -9,8 +9,8 @@ from parcel_comps import fixed_values as fixed
 from parcel_comps.functions import scalars as S
 from parcel_comps.functions.addresses import normalize_address, street_of
 from parcel_comps.functions.distance import (
-    boundary_distance_deg,
     boundary_distance_m,
+    boundary_distances,
     point_distance_m,
 )
 from parcel_comps.functions.geometry import (
@@ -82,7 +82,7 @@ def _points_in_parcels(
     points = points.withColumn("_point_box", grid.box(lon - tol, lat - tol, lon + tol, lat + tol))
     shapes = (
         _indexed(parcels, profile)
-        .where("geometry is not null")
+        .where("box is not null")
         .select("property_id", "geometry", "box", "computed_acres")
     )
     pairs = grid.box_join(
@@ -221,7 +221,7 @@ def candidate_pairs(
     p = get_profile(profile)
     touch_m = p.touch_tol if p.touch_unit == "metres" else p.touch_tol * fixed.METRES_PER_DEGREE
     reach = max(far_m, touch_m)
-    neighbours = _indexed(parcels, p).where("geometry is not null").select(
+    neighbours = _indexed(parcels, p).where("box is not null").select(
         "property_id", "address", "city", "property_type", "assessed_value", "latitude",
         "longitude", "geometry", "box", "street", "parts", "holes", "computed_acres",
         F.col("center").alias("n_center"),
@@ -254,9 +254,7 @@ def candidate_pairs(
             similar = similar | F.col("is_land")
         keep = keep & similar & (same_street | (gap <= max(close_m, touch_m)))
     pairs = grid.box_join(
-        targets, neighbours, "_search", "box", "target_id", "property_id", condition=keep,
-        # The screen keeps every search box within a kilometre.
-        left_is_small=p.shape_screen and not keep_rejected,
+        targets, neighbours, "_search", "box", "target_id", "property_id", condition=keep
     )
     if p.shape_screen:
         # Corners of the box bound the farthest vertex; most pairs need no vertex walk.
@@ -275,21 +273,22 @@ def candidate_pairs(
             pairs = pairs.where(~F.col("too_far"))
     else:
         pairs = pairs.withColumn("too_far", F.lit(False))
-    pairs = pairs.withColumn(
-        "distance_m", boundary_distance_m("t_geometry", "geometry", center["lat"])
-    )
     if p.touch_unit == "metres":
+        pairs = pairs.withColumn(
+            "distance_m", boundary_distance_m("t_geometry", "geometry", center["lat"])
+        )
         touch = F.col("distance_m") <= p.touch_tol
     else:
-        # Boxes further apart than the tolerance need no second measurement.
-        close = F.when(
-            grid.box_gap_deg(F.col("t_box"), F.col("box")) <= p.touch_tol, F.col("t_geometry")
-        )
-        touch = F.coalesce(boundary_distance_deg(close, "geometry") <= p.touch_tol, F.lit(False))
+        # Boxes further apart than the tolerance need no measurement in degrees.
+        close = grid.box_gap_deg(F.col("t_box"), F.col("box")) <= p.touch_tol
+        pairs = pairs.withColumn(
+            "_d", boundary_distances("t_geometry", "geometry", center["lat"], close)
+        ).withColumn("distance_m", F.col("_d.metres"))
+        touch = F.coalesce(F.col("_d.degrees") <= p.touch_tol, F.lit(False))
     return (
         pairs.withColumn("touches", touch)
         .where((F.col("distance_m") <= far_m) | F.col("touches"))
-        .drop("_search", "_east", "t_geometry", "t_box", "t_center", "box", "computed_acres")
+        .drop("_search", "_east", "_d", "t_geometry", "t_box", "t_center", "box", "computed_acres")
     )
 
 
@@ -396,8 +395,9 @@ def nearby(
 ) -> DataFrame:
     """Parcels within a radius of each point (``query_id``, ``lat``, ``lon``), nearest first.
 
-    No or a non-positive radius means 300 m; more than ``max_radius_m`` is clamped,
-    which also bounds the cells one point can cover. All points are one job.
+    No or a non-positive radius means 300 m; more than ``max_radius_m`` is clamped, and
+    ``radius_used_m`` says what was searched. All points are one job. Rows come ordered
+    within a query, which stays in one task; there is no order across queries.
     """
     radius = radius_m if radius_m is not None and radius_m > 0 else fixed.DEFAULT_NEARBY_M
     radius = min(float(radius), max_radius_m)
@@ -413,20 +413,21 @@ def nearby(
     within = grid.box_gap_m(F.col("_point"), F.col("box"), F.col("_east")) <= radius
     pairs = grid.box_join(
         search,
-        indexed.where("geometry is not null"),
+        indexed.where("box is not null"),
         "_search",
         "box",
         "query_id",
         "property_id",
         condition=within,
         cell_deg=max(grid.CELL_DEG, 2 * radius / fixed.METRES_PER_DEGREE),
-        left_is_small=True,
     )
     return (
         pairs.withColumn("distance_meters", point_distance_m("geometry", "lat", "lon"))
         .where(F.col("distance_meters") <= radius)
         .drop("_search", "_east", "_point")
-        .orderBy("query_id", "distance_meters")
+        .withColumn("radius_used_m", F.lit(radius))
+        .repartition("query_id")
+        .sortWithinPartitions("query_id", "distance_meters")
     )
 
 

@@ -5,8 +5,10 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from parcel_comps import fixed_values as fixed
+from parcel_comps.functions.scalars import empty_to_null
 from parcel_comps.operators.gaps import compute_gap, gap_rows, relative_gap
 from parcel_comps.operators.lookup import find_listing, find_listings
 from parcel_comps.operators.spatial import find_comps, resolve_parcel, target_parcels
@@ -36,12 +38,15 @@ def run_gaps(
 ) -> GapRun:
     """Resolve every listing, find comps once per distinct parcel, compute all gaps.
 
-    Resolved listings and gap rows are read several times further on (distinct
-    targets, hot keys, medians), so both are materialised.
+    Resolved listings, comps and gap rows are read several times further on (distinct
+    targets, hot keys, medians, reports), so all are materialised. A listing without id
+    goes by its first address line.
     """
+    named = F.coalesce(empty_to_null(F.col("listing_id").cast("string")), F.col("address_line_1"))
+    listings = listings.withColumn("listing_id", named.cast(listings.schema["listing_id"].dataType))
     resolved = materialize(resolve_parcel(listings, parcels, profile))
     targets = target_parcels(resolved, parcels, profile)
-    comps = find_comps(targets, parcels, profile, close_m, far_m, tol, keep_rejected)
+    comps = materialize(find_comps(targets, parcels, profile, close_m, far_m, tol, keep_rejected))
     kept = comps.where("reject_reason is null") if keep_rejected else comps
     gaps = materialize(compute_gap(resolved, kept, targets, profile))
     return GapRun(resolved, targets, comps, relative_gap(gaps))

@@ -58,13 +58,15 @@ def write_features(
 def split_layers(features: DataFrame) -> DataFrame:
     """Tag features (``geometry`` JSON text) with their map layer.
 
-    Polygons and MultiPolygons share a layer and are both written as MultiPolygon.
+    Polygons and MultiPolygons share a layer and are both written as MultiPolygon. Other
+    geometries, and rows without one, are in the layer "other".
     """
     kind = F.get_json_object("geometry", "$.type")
     layer = (
         F.when(kind == "Point", "points")
         .when(kind.isin("Polygon", "MultiPolygon"), "polygons")
         .when(kind == "LineString", "lines")
+        .otherwise("other")
     )
     promoted = F.concat(
         F.lit('{"type":"MultiPolygon","coordinates":['),
@@ -77,9 +79,8 @@ def split_layers(features: DataFrame) -> DataFrame:
 
 
 def write_feature_layers(features: DataFrame, path: str) -> None:
-    """Points, polygons and lines under ``layer=..``; reading ``path`` itself gives all of them."""
-    layered = split_layers(features)
-    layered.where("layer is not null").write.partitionBy("layer").json(path)
+    """Points, polygons, lines and others under ``layer=..``; reading ``path`` itself gives all of them."""
+    split_layers(features).write.partitionBy("layer").json(path)
 
 
 def ranked_table(results: DataFrame) -> DataFrame:
