@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -15,7 +17,7 @@ from parcel_comps.operators.normalize import (
     normalize_ma,
     normalize_nh,
 )
-from parcel_comps.operators.quality import disambiguate_ids, validate_records
+from parcel_comps.operators.quality import disambiguate_ids, town_counts, validate_records
 from parcel_comps.operators.store import upsert
 
 
@@ -30,7 +32,8 @@ def normalize_parcels(
     state = state.upper()
     if state == "CT":
         rows = normalize_ct(features, mapping, town, source_date=source_date)
-        spread = [c for c in ("_file", "_pos") if c in rows.columns] or ["address", "latitude"]
+        # By content, so that an id survives other splits, other folders and other clusters.
+        spread = [c for c in rows.columns if not c.startswith("_")]
         rows = disambiguate_ids(rows, "property_id", "_OBJECTID", ["municipality"], spread)
         rows = rows.drop("_OBJECTID")
     elif state == "MA":
@@ -58,7 +61,16 @@ def link_features(features: DataFrame, assessments: DataFrame) -> DataFrame:
     )
 
 
-def ingest_parcels(
+@dataclass
+class ParcelIngest:
+    """The new table and the reports of one ingest: counts of gaps, and of rows per expected town."""
+
+    table: DataFrame
+    records: DataFrame
+    towns: DataFrame | None
+
+
+def run_parcel_ingest(
     features: DataFrame,
     state: str,
     mapping: DataFrame,
@@ -67,10 +79,15 @@ def ingest_parcels(
     town: str | Column | None = None,
     now: Column | None = None,
     source_date: Column | None = None,
-) -> DataFrame:
-    """Normalise, check and upsert the features of all towns of a state in one job."""
+    towns: DataFrame | None = None,
+) -> ParcelIngest:
+    """Normalise, check and upsert the features of all towns of a state in one job.
+
+    ``towns`` (``municipality``) lists what was expected; without it there is no town report.
+    """
     rows = normalize_parcels(features, state, mapping, town, source_date)
-    validate_records(rows)
+    records = validate_records(rows)
+    counts = None if towns is None else town_counts(rows, towns, ["municipality"])
     extra = [F.col(c) for c in order]
     full = fill_schema(rows).select("*") if not extra else rows.select(
         *[
@@ -79,7 +96,22 @@ def ingest_parcels(
         ],
         *extra,
     )
-    return upsert(target, full, ["property_id"], order, stamp="loaded_at", now=now)
+    table = upsert(target, full, ["property_id"], order, stamp="loaded_at", now=now)
+    return ParcelIngest(table, records, counts)
+
+
+def ingest_parcels(
+    features: DataFrame,
+    state: str,
+    mapping: DataFrame,
+    target: DataFrame,
+    order: list[str],
+    town: str | Column | None = None,
+    now: Column | None = None,
+    source_date: Column | None = None,
+) -> DataFrame:
+    """The table of ``run_parcel_ingest`` alone."""
+    return run_parcel_ingest(features, state, mapping, target, order, town, now, source_date).table
 
 
 def ingest_listings(
