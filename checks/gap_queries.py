@@ -198,9 +198,9 @@ SELECT query_id, property_id, round(m, 3) AS metres FROM (
 WHERE m <= {radius} AND {where}""")
 
 
-@query("nearby", _nearby_sql(5000, "true"))
+@query("nearby", _nearby_sql(400, "true"))
 def nearby(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = Sp.nearby(fx.stored_parcels(spark, sf_dir), _points(spark, sf_dir), 20_000.0)
+    found = Sp.nearby(fx.stored_parcels(spark, sf_dir), _points(spark, sf_dir), 400.0)
     return found.select("query_id", "property_id", F.round("distance_meters", 3).alias("metres"))
 
 

@@ -131,3 +131,23 @@ ENDPOINT_MAX_NEARBY_M = 1000.0
 NEW_CONSTRUCTION_YEAR = 2020
 MIN_MATCH_RATE = 0.8
 REPORT_ROWS = 15
+
+# What a parcel page is told by, and the patterns of its labelled fields.
+PAGE_MARK = "Total Market Value"
+PAGE_PATTERNS = {
+    "pid": r"PID\s*\n?\s*(\d+)",
+    "location": r"Location\s*\n+\s*(.+?)\s*\n",
+    "total_market_value": r"Total Market Value\s*\n?\s*\$?([\d,]+)",
+    "mblu": r"Mblu\s*\n?\s*([\d/ ]+)",
+    "acres": r"Size \(Acres\)\s*\n?\s*([\d.]+)",
+    "land_use": r"(?s)Land Use(.*)$",
+    "description": r"Description\s*\n+\s*(.+?)\s*\n",
+}
+
+# Texts of map popups.
+POPUP_TEXTS = {
+    "target": "<b>Target parcel</b><br>Assessed: ",
+    "no_value": "no VGSI match",
+    "used": "USED in comp",
+    "unused": "shown for context, not used",
+}

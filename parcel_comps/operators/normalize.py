@@ -282,18 +282,18 @@ def extract_assessment(pages: DataFrame, mapping: DataFrame) -> DataFrame:
     def plain(value: Column) -> Column:
         return F.replace(value, F.lit(","), F.lit(""))
 
-    after_heading = F.regexp_extract("_text", r"(?s)Land Use(.*)$", 1)
+    after_heading = F.regexp_extract("_text", fixed.PAGE_PATTERNS["land_use"], 1)
     rows = (
         pages.withColumn("_text", page_text(F.col("html")))
-        .where(F.col("_text").contains("Total Market Value"))
+        .where(F.col("_text").contains(fixed.PAGE_MARK))
         .withColumn("_land_use", after_heading)
         .select(
-            F.coalesce(found(r"PID\s*\n?\s*(\d+)"), F.col("page_id").cast("string")).alias("pid"),
-            S.strip(found(r"Location\s*\n+\s*(.+?)\s*\n")).alias("location"),
-            plain(found(r"Total Market Value\s*\n?\s*\$?([\d,]+)")).alias("total_market_value"),
-            found(r"Mblu\s*\n?\s*([\d/ ]+)").alias("mblu"),
-            found(r"Size \(Acres\)\s*\n?\s*([\d.]+)").alias("acres"),
-            S.strip(found(r"Description\s*\n+\s*(.+?)\s*\n", "_land_use")).alias("land_use_desc"),
+            F.coalesce(found(fixed.PAGE_PATTERNS["pid"]), F.col("page_id").cast("string")).alias("pid"),
+            S.strip(found(fixed.PAGE_PATTERNS["location"])).alias("location"),
+            plain(found(fixed.PAGE_PATTERNS["total_market_value"])).alias("total_market_value"),
+            found(fixed.PAGE_PATTERNS["mblu"]).alias("mblu"),
+            found(fixed.PAGE_PATTERNS["acres"]).alias("acres"),
+            S.strip(found(fixed.PAGE_PATTERNS["description"], "_land_use")).alias("land_use_desc"),
             F.lit("sequential").alias("match_source"),
         )
     )

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from parcel_comps import fixed_values as fixed
 from parcel_comps.functions.geometry import (
     first_ring_mean,
     hookline,
@@ -112,18 +113,18 @@ def map_features(run: GapRun, profile: str | Profile = "service") -> DataFrame:
     )
     assessed = F.when(
         F.coalesce("target_assessed_value", F.lit(0.0)) != 0, _money(F.col("target_assessed_value"))
-    ).otherwise(F.lit("no VGSI match"))
+    ).otherwise(F.lit(fixed.POPUP_TEXTS["no_value"]))
     shapes = run.targets.select("target_id", "t_geometry").dropDuplicates(["target_id"])
     targets = skew_join(results, shapes, ["target_id"], ["listing_id"], how="inner").select(
         "listing_id",
         *_feature(
             "target",
             to_multipolygon("t_geometry"),
-            F.concat(F.lit("<b>Target parcel</b><br>Assessed: "), assessed),
+            F.concat(F.lit(fixed.POPUP_TEXTS["target"]), assessed),
         ),
     )
-    value = F.when(F.col("value").isNotNull(), _money(F.col("value"))).otherwise("no VGSI match")
-    shown = F.when(F.col("used"), "USED in comp").otherwise("shown for context, not used")
+    value = F.when(F.col("value").isNotNull(), _money(F.col("value"))).otherwise(fixed.POPUP_TEXTS["no_value"])
+    shown = F.when(F.col("used"), fixed.POPUP_TEXTS["used"]).otherwise(fixed.POPUP_TEXTS["unused"])
     parcels = candidates.select(
         "listing_id",
         *_feature(
