@@ -7,13 +7,14 @@ a class of equal texts without any id keeps one of them.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from llm import contamination, overlap, pieces, quality, templates
-from llm.common import stored, table
+from llm.common import bounded_batches, stored, table
 from llm.queries import MODEL
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -58,12 +59,23 @@ def encode_pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return pieces.encode(docs.select("doc_id", "text"), MODEL).select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids")
 
 
+def bounded(stage: Stage) -> Stage:
+    """The stage with small Arrow batches, as its texts are long."""
+
+    @functools.wraps(stage)
+    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        bounded_batches(spark)
+        return stage(spark, docs, sf_dir)
+
+    return run
+
+
 STAGES: list[tuple[str, Stage]] = [
-    ("quality", keep_good),
-    ("line_dedup", drop_recurring_lines),
-    ("ngram_jaccard", one_of_each_class),
-    ("decontamination", drop_contaminated),
-    ("sentencepiece", encode_pieces),
+    ("quality", bounded(keep_good)),
+    ("line_dedup", bounded(drop_recurring_lines)),
+    ("ngram_jaccard", bounded(one_of_each_class)),
+    ("decontamination", bounded(drop_contaminated)),
+    ("sentencepiece", bounded(encode_pieces)),
 ]
 
 #: Trained weights and merges are beyond SQL; tests hold the stages against brute-force versions instead.

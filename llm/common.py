@@ -48,6 +48,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Rows of an Arrow batch between Spark and Python: texts are long, so fewer than Spark's default of 10,000.
+BATCH_ROWS = 1000
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Keep the session's Arrow batches small enough for two Python workers beside each executor's heap."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if int(spark.conf.get(key, "10000")) > BATCH_ROWS:
+        spark.conf.set(key, str(BATCH_ROWS))
+
+
 def fold(doc_id: Column, parts: int) -> Column:
     """crc32 of the id as text, modulo ``parts``: which rows are held out."""
     return F.crc32(doc_id.cast("string").cast("binary")) % parts

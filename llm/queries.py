@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import contamination, debruijn, language, nearest, overlap, pieces, quality, run_index, templates, toxicity
-from .common import fold, table
+from .common import bounded_batches, fold, table
 
 #: Where the public tokenizer's model lies; a parameter of the operators.
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
@@ -83,7 +84,16 @@ def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest.search(table(spark, sf_dir, "embeddings"), "vec_id % 20 = 0", 20)
 
 
-QUERIES: dict[str, Query] = {f.__name__: f for f in (
+def _bounded(query: Query) -> Query:
+    @functools.wraps(query)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        bounded_batches(spark)
+        return query(spark, sf_dir)
+
+    return run
+
+
+QUERIES: dict[str, Query] = {f.__name__: _bounded(f) for f in (
     op1_toxicity, op2_ngram_jaccard, op3_line_dedup, op4_substring_dedup, op5_quality, op6_suffix_array_dedup, op7_decontamination, op8_sentencepiece, op9_language_id,
     op10_nearest_neighbours,
 )}
