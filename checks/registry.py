@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import functools
+import re
 import tempfile
 from collections.abc import Callable
 
@@ -20,7 +21,7 @@ def with_folder(fn: Query) -> Query:
 
     @functools.wraps(fn)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        if not spark.conf.get("spark.checkpoint.dir", None) and spark.sparkContext.master.startswith("local"):
+        if not spark.conf.get("spark.checkpoint.dir", None) and re.match(r"local(\[|$)", spark.sparkContext.master):
             spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="spark-checks-"))
         return fn(spark, sf_dir)
 
