@@ -28,6 +28,8 @@ from .common import BYTE_VALUES, blocks, prefix_hash, span_hash, stored, text_bu
 
 FIELD = 0
 BLOCK_LINES = 2000
+#: Longest line whose tokens are compared by 64 bits each; few positions decide there. Those of longer lines have 32.
+SHORT_TOKENS = 8
 _DIGIT = np.zeros(256, bool)
 _DIGIT[48:58] = True
 
@@ -49,22 +51,33 @@ def parsed(buf: np.ndarray, at: np.ndarray, depth: int, deeper: int) -> tuple[np
     line_at = np.concatenate([begins, [len(buf)]]) if len(begins) else np.zeros(1, np.int64)
     tokens, own, starts, stops = word_hashes(buf, line_at)
     digits = np.concatenate([[0], np.cumsum(_DIGIT[buf])])
-    tokens = np.where(digits[stops] > digits[starts], FIELD, (tokens >> np.uint64(48)).astype(np.int64) | 1)
+    tokens = np.where(digits[stops] > digits[starts], np.uint64(FIELD), tokens | np.uint64(1))
     size = np.diff(own)
     kept = np.flatnonzero(size > 0)
-    sums = prefix_hash(tokens.astype(np.uint64) + np.uint64(3))
+    sums = prefix_hash(tokens + np.uint64(3))
     leaf = []
     for d in (depth, deeper):
         head = span_hash(sums, own[:-1][kept], own[:-1][kept] + np.minimum(size[kept], d))
         leaf.append((head ^ (size[kept].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))).view(np.int64))
     lines = span_hash(prefix_hash(BYTE_VALUES[buf]), begins[kept], ends[kept]).view(np.int64)
     text = np.searchsorted(first, kept, "right") - 1
-    return text, lines, size[kept], leaf[0], leaf[1], tokens.astype(np.uint16), own[:-1][kept]
+    return text, lines, size[kept], leaf[0], leaf[1], tokens, own[:-1][kept]
+
+
+def packed_tokens(tokens: np.ndarray) -> bytes:
+    """The token hashes of one line, 32 bits of each if it is long."""
+    if len(tokens) <= SHORT_TOKENS:
+        return tokens.tobytes()
+    return np.where(tokens == FIELD, FIELD, (tokens >> np.uint64(32)) | np.uint64(1)).astype(np.uint32).tobytes()
+
+
+def unpacked_tokens(data: bytes, size: int) -> np.ndarray:
+    return np.frombuffer(data, np.uint64 if size <= SHORT_TOKENS else np.uint32)
 
 
 def document_lines(docs: DataFrame, depth: int, deeper: int) -> DataFrame:
-    """One row for each document and different line: key, ``line``, ``leaf``, ``deep``, ``tokens`` (16-bit hashes, 0 a field)."""
-    schema = docs.select(*anchors.KEY).schema.add("line", "long").add("leaf", "long").add("deep", "long").add("tokens", "binary")
+    """One row for each document and different line: key, ``line``, ``leaf``, ``deep``, ``size`` and ``tokens`` (packed hashes, 0 a field)."""
+    schema = docs.select(*anchors.KEY).schema.add("line", "long").add("leaf", "long").add("deep", "long").add("size", "integer").add("tokens", "binary")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -79,8 +92,8 @@ def document_lines(docs: DataFrame, depth: int, deeper: int) -> DataFrame:
                 pick = order[new]
                 keys = batch.slice(lo, hi - lo).select([0, 1]).take(pa.array(text[pick]))
                 yield pa.RecordBatch.from_arrays(
-                    [*keys.columns, pa.array(line[pick]), pa.array(leaf[pick]), pa.array(deep[pick]), pa.array([tokens[s : s + n].tobytes() for s, n in zip(start[pick], size[pick], strict=True)], pa.binary())],
-                    names=[*anchors.KEY, "line", "leaf", "deep", "tokens"],
+                    [*keys.columns, pa.array(line[pick]), pa.array(leaf[pick]), pa.array(deep[pick]), pa.array(size[pick], pa.int32()), pa.array([packed_tokens(tokens[s : s + n]) for s, n in zip(start[pick], size[pick], strict=True)], pa.binary())],
+                    names=[*anchors.KEY, "line", "leaf", "deep", "size", "tokens"],
                 )
 
     return docs.mapInArrow(run, schema)
@@ -88,11 +101,11 @@ def document_lines(docs: DataFrame, depth: int, deeper: int) -> DataFrame:
 
 def cluster(lines: np.ndarray, agreement: float) -> tuple[np.ndarray, np.ndarray]:
     """The template number of each row of ``lines`` (token hashes, in order) and the templates, variable fields 0."""
-    templates = np.zeros((max(4, len(lines)), lines.shape[1]), np.uint16)
+    templates = np.zeros((max(4, len(lines)), lines.shape[1]), lines.dtype)
     own, n = np.zeros(len(lines), np.int64), 0
     for i, line in enumerate(lines):
         if n:
-            agree = ((templates[:n] == line) & (line != FIELD)).sum(axis=1) + (((templates[:n] == FIELD) & (line == FIELD)).sum(axis=1) if (line == FIELD).any() else 0)
+            agree = (templates[:n] == line).sum(axis=1)
             best = int(agree.argmax())
             if agree[best] >= agreement * len(line):
                 templates[best][templates[best] != line] = FIELD
@@ -108,43 +121,46 @@ def _template_id(leaf: int, template: np.ndarray) -> int:
 
 
 def _clustered(rows: DataFrame, agreement: float, group: list[str]) -> DataFrame:
-    """``item``, ``template`` (an id) and ``fields`` (the template) of the rows (``leaf``, ``item``, ``docs``, ``tokens``) of each group."""
+    """``item``, ``template`` (an id) and ``fields`` (the template) of the rows (``leaf``, ``item``, ``docs``, ``size``, ``tokens``) of each group."""
 
     def run(part: pa.Table) -> pa.Table:
-        items, tokens = part["item"].to_numpy(), part["tokens"].to_pylist()
+        items, sizes, tokens = part["item"].to_numpy(), part["size"].to_numpy(), part["tokens"].to_pylist()
         order = np.lexsort((items, -part["docs"].to_numpy()))
         leaf = part["leaf"][0].as_py()
         ids, fields = np.zeros(len(order), np.int64), [b""] * len(order)
         # lines of one leaf have one length, but for colliding hashes
-        for size in sorted({len(t) for t in tokens}):
-            mine = [i for i in order if len(tokens[i]) == size]
-            own, found = cluster(np.stack([np.frombuffer(tokens[i], np.uint16) for i in mine]), agreement)
+        for size in np.unique(sizes).tolist():
+            mine = [i for i in order if sizes[i] == size]
+            own, found = cluster(np.stack([unpacked_tokens(tokens[i], size) for i in mine]), agreement)
             named = [_template_id(leaf, t) for t in found]
             for i, k in zip(mine, own, strict=True):
                 ids[i], fields[i] = named[k], found[k].tobytes()
-        return pa.table({"item": items, "template": ids, "fields": pa.array(fields, pa.binary()), "leaf": part["leaf"], "docs": part["docs"]})
+        return pa.table({"item": items, "template": ids, "fields": pa.array(fields, pa.binary()), "leaf": part["leaf"], "docs": part["docs"], "size": part["size"]})
 
-    return rows.groupBy(*group).applyInArrow(run, "item long, template long, fields binary, leaf long, docs long")
+    return rows.groupBy(*group).applyInArrow(run, "item long, template long, fields binary, leaf long, docs long, size int")
 
 
 def recurring_lines(docs: DataFrame, *, min_docs: int, agreement: float, depth: int, deeper: int, block_lines: int) -> DataFrame:
     """Key and ``line`` of what goes: lines of recurring templates, outside the first document of each."""
     lines = stored(document_lines(docs, depth, deeper))
-    different = lines.groupBy("leaf", "line").agg(F.count(F.lit(1)).alias("docs"), F.first("deep").alias("deep"), F.first("tokens").alias("tokens"))
+    different = lines.groupBy("leaf", "line").agg(F.count(F.lit(1)).alias("docs"), *[F.first(c).alias(c) for c in ("deep", "size", "tokens")])
     sizes = different.groupBy("leaf").agg(F.count(F.lit(1)).alias("_n"), F.sum("docs").alias("_docs")).where(F.col("_docs") >= min_docs)
     different = stored(different.join(sizes, "leaf"))
     hot = F.col("_n") > block_lines
-    placed = different.select(
-        F.when(hot, F.col("deep")).otherwise(F.col("leaf")).alias("leaf"), F.col("line").alias("item"), "docs", "tokens", hot.alias("hot")
+    # one line, or leading tokens and nothing else: the leaf is the template
+    sole = (F.col("_n") == 1) | (F.col("size") <= depth)
+    plain = different.where(sole).select("line", F.col("leaf").alias("template"))
+    placed = different.where(~sole).select(
+        F.when(hot, F.col("deep")).otherwise(F.col("leaf")).alias("leaf"), F.col("line").alias("item"), "docs", "size", "tokens", hot.alias("hot")
     )
     deep = placed.where("hot").groupBy("leaf").agg(F.ceil(F.count(F.lit(1)) / block_lines).alias("blocks"))
     blocked = placed.where("hot").join(deep, "leaf").withColumn("block", F.pmod(F.xxhash64("item"), "blocks"))
     calm = _clustered(placed.where("not hot"), agreement, ["leaf"]).select(F.col("item").alias("line"), "template")
     part = stored(_clustered(blocked, agreement, ["leaf", "block"]))
-    merged = part.groupBy("leaf", F.col("template").alias("item")).agg(F.sum("docs").alias("docs"), F.first("fields").alias("tokens"))
+    merged = part.groupBy("leaf", F.col("template").alias("item")).agg(F.sum("docs").alias("docs"), F.first("size").alias("size"), F.first("fields").alias("tokens"))
     merged = _clustered(merged, agreement, ["leaf"]).select("item", F.col("template").alias("merged"))
     split = part.join(merged, part["template"] == merged["item"]).select(part["item"].alias("line"), F.col("merged").alias("template"))
-    named = calm.unionByName(split).join(different.select("line", "docs"), "line")
+    named = plain.unionByName(calm).unionByName(split).join(different.select("line", "docs"), "line")
     enough = named.groupBy("template").agg(F.sum("docs").alias("_docs")).where(F.col("_docs") >= min_docs).select("template")
     places = stored(lines.select(*anchors.KEY, "line").join(named.select("line", "template").join(enough, "template"), "line"))
     first = places.select("template", *anchors.KEY).distinct().groupBy("template").agg(F.count(F.lit(1)).alias("_docs"), F.min(F.struct(*anchors.KEY)).alias("first"))
