@@ -5,8 +5,8 @@ variable field). In a leaf it joins the template it agrees with most, if at leas
 positions that differ become variable fields. Templates found in at least ``min_docs`` documents are dropped from all
 but the first document (smallest id) that has them.
 
-Equal lines are one before they reach a leaf. A leaf with very many different lines is parsed some tokens deeper and in
-blocks, whose templates are merged afterwards, so no task gets an unbounded group of lines.
+Equal lines are one before they reach a leaf. A leaf with very many different lines is parsed in
+blocks by line hash, whose templates are merged afterwards across the whole leaf.
 
 Lines end at a line feed; blank lines belong to no template and stay. Null and empty texts have no lines. Very long
 lines and texts count whole. Rows equal in id and text are one document here, and lose the same lines.
@@ -45,8 +45,8 @@ def text_lines(buf: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return begins, ends, first
 
 
-def parsed(buf: np.ndarray, at: np.ndarray, depth: int, deeper: int) -> tuple[np.ndarray, ...]:
-    """Of each line that is not blank: text, hash, number of tokens, both leaf hashes; and all tokens with their offsets."""
+def parsed(buf: np.ndarray, at: np.ndarray, depth: int) -> tuple[np.ndarray, ...]:
+    """Of each line that is not blank: text, hash, number of tokens, leaf hash; and all tokens with their offsets."""
     begins, ends, first = text_lines(buf, at)
     line_at = np.concatenate([begins, [len(buf)]]) if len(begins) else np.zeros(1, np.int64)
     tokens, own, starts, stops = word_hashes(buf, line_at)
@@ -55,13 +55,11 @@ def parsed(buf: np.ndarray, at: np.ndarray, depth: int, deeper: int) -> tuple[np
     size = np.diff(own)
     kept = np.flatnonzero(size > 0)
     sums = prefix_hash(tokens + np.uint64(3))
-    leaf = []
-    for d in (depth, deeper):
-        head = span_hash(sums, own[:-1][kept], own[:-1][kept] + np.minimum(size[kept], d))
-        leaf.append((head ^ (size[kept].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))).view(np.int64))
+    head = span_hash(sums, own[:-1][kept], own[:-1][kept] + np.minimum(size[kept], depth))
+    leaf = (head ^ (size[kept].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))).view(np.int64)
     lines = span_hash(prefix_hash(BYTE_VALUES[buf]), begins[kept], ends[kept]).view(np.int64)
     text = np.searchsorted(first, kept, "right") - 1
-    return text, lines, size[kept], leaf[0], leaf[1], tokens, own[:-1][kept]
+    return text, lines, size[kept], leaf, tokens, own[:-1][kept]
 
 
 def packed_tokens(tokens: np.ndarray) -> bytes:
@@ -75,15 +73,15 @@ def unpacked_tokens(data: bytes, size: int) -> np.ndarray:
     return np.frombuffer(data, np.uint64 if size <= SHORT_TOKENS else np.uint32)
 
 
-def document_lines(docs: DataFrame, depth: int, deeper: int) -> DataFrame:
-    """One row for each document and different line: key, ``line``, ``leaf``, ``deep``, ``size`` and ``tokens`` (packed hashes, 0 a field)."""
-    schema = docs.select(*anchors.KEY).schema.add("line", "long").add("leaf", "long").add("deep", "long").add("size", "integer").add("tokens", "binary")
+def document_lines(docs: DataFrame, depth: int) -> DataFrame:
+    """One row for each document and different line: key, ``line``, ``leaf``, ``size`` and ``tokens`` (packed hashes, 0 a field)."""
+    schema = docs.select(*anchors.KEY).schema.add("line", "long").add("leaf", "long").add("size", "integer").add("tokens", "binary")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             buf, at = text_buffer(batch.column(2))
             for lo, hi in blocks(at):
-                text, line, size, leaf, deep, tokens, start = parsed(buf[at[lo] : at[hi]], at[lo : hi + 1] - at[lo], depth, deeper)
+                text, line, size, leaf, tokens, start = parsed(buf[at[lo] : at[hi]], at[lo : hi + 1] - at[lo], depth)
                 if not len(text):
                     continue
                 order = np.lexsort((line, text))
@@ -92,8 +90,8 @@ def document_lines(docs: DataFrame, depth: int, deeper: int) -> DataFrame:
                 pick = order[new]
                 keys = batch.slice(lo, hi - lo).select([0, 1]).take(pa.array(text[pick]))
                 yield pa.RecordBatch.from_arrays(
-                    [*keys.columns, pa.array(line[pick]), pa.array(leaf[pick]), pa.array(deep[pick]), pa.array(size[pick], pa.int32()), pa.array([packed_tokens(tokens[s : s + n]) for s, n in zip(start[pick], size[pick], strict=True)], pa.binary())],
-                    names=[*anchors.KEY, "line", "leaf", "deep", "size", "tokens"],
+                    [*keys.columns, pa.array(line[pick]), pa.array(leaf[pick]), pa.array(size[pick], pa.int32()), pa.array([packed_tokens(tokens[s : s + n]) for s, n in zip(start[pick], size[pick], strict=True)], pa.binary())],
+                    names=[*anchors.KEY, "line", "leaf", "size", "tokens"],
                 )
 
     return docs.mapInArrow(run, schema)
@@ -140,21 +138,18 @@ def _clustered(rows: DataFrame, agreement: float, group: list[str]) -> DataFrame
     return rows.groupBy(*group).applyInArrow(run, "item long, template long, fields binary, leaf long, docs long, size int")
 
 
-def recurring_lines(docs: DataFrame, *, min_docs: int, agreement: float, depth: int, deeper: int, block_lines: int) -> DataFrame:
+def recurring_lines(docs: DataFrame, *, min_docs: int, agreement: float, depth: int, block_lines: int) -> DataFrame:
     """Key and ``line`` of what goes: lines of recurring templates, outside the first document of each."""
-    lines = stored(document_lines(docs, depth, deeper))
-    different = lines.groupBy("leaf", "line").agg(F.count(F.lit(1)).alias("docs"), *[F.first(c).alias(c) for c in ("deep", "size", "tokens")])
+    lines = stored(document_lines(docs, depth))
+    different = lines.groupBy("leaf", "line").agg(F.count(F.lit(1)).alias("docs"), *[F.first(c).alias(c) for c in ("size", "tokens")])
     sizes = different.groupBy("leaf").agg(F.count(F.lit(1)).alias("_n"), F.sum("docs").alias("_docs")).where(F.col("_docs") >= min_docs)
     different = stored(different.join(sizes, "leaf"))
     hot = F.col("_n") > block_lines
     # one line, or leading tokens and nothing else: the leaf is the template
     sole = (F.col("_n") == 1) | (F.col("size") <= depth)
     plain = different.where(sole).select("line", F.col("leaf").alias("template"))
-    placed = different.where(~sole).select(
-        F.when(hot, F.col("deep")).otherwise(F.col("leaf")).alias("leaf"), F.col("line").alias("item"), "docs", "size", "tokens", hot.alias("hot")
-    )
-    deep = placed.where("hot").groupBy("leaf").agg(F.ceil(F.count(F.lit(1)) / block_lines).alias("blocks"))
-    blocked = placed.where("hot").join(deep, "leaf").withColumn("block", F.pmod(F.xxhash64("item"), "blocks"))
+    placed = different.where(~sole).select("leaf", F.col("line").alias("item"), "docs", "size", "tokens", hot.alias("hot"), F.ceil(F.col("_n") / block_lines).alias("blocks"))
+    blocked = placed.where("hot").withColumn("block", F.pmod(F.xxhash64("item"), "blocks"))
     calm = _clustered(placed.where("not hot"), agreement, ["leaf"]).select(F.col("item").alias("line"), "template")
     part = stored(_clustered(blocked, agreement, ["leaf", "block"]))
     merged = part.groupBy("leaf", F.col("template").alias("item")).agg(F.sum("docs").alias("docs"), F.first("size").alias("size"), F.first("fields").alias("tokens"))
@@ -168,10 +163,10 @@ def recurring_lines(docs: DataFrame, *, min_docs: int, agreement: float, depth:
     return places.join(first, "template").where(~F.struct(*anchors.KEY).eqNullSafe(F.col("first"))).select(*anchors.KEY, "line")
 
 
-def drop_recurring_lines(documents: DataFrame, *, min_docs: int = 3, agreement: float = 0.7, depth: int = 2, deeper: int = 6, block_lines: int = BLOCK_LINES, id_col: str = "doc_id", text_col: str = "text", extra: list[str] | None = None) -> DataFrame:
+def drop_recurring_lines(documents: DataFrame, *, min_docs: int = 3, agreement: float = 0.7, depth: int = 2, block_lines: int = BLOCK_LINES, id_col: str = "doc_id", text_col: str = "text", extra: list[str] | None = None) -> DataFrame:
     """For every row ``id_col``, ``n_lines``, ``n_removed``, ``kept`` (its remaining lines) and the columns ``extra``."""
     docs = anchors.keyed(documents, id_col, text_col, extra)
-    gone = recurring_lines(docs.select(*anchors.KEY, "_text"), min_docs=min_docs, agreement=agreement, depth=depth, deeper=deeper, block_lines=block_lines)
+    gone = recurring_lines(docs.select(*anchors.KEY, "_text"), min_docs=min_docs, agreement=agreement, depth=depth, block_lines=block_lines)
     texts = anchors.with_marks(docs, gone, "left")
     others = [c for c in docs.columns if c not in ("_text_hash", "_text")]
     schema = docs.select(*others).schema.add("n_lines", "long").add("n_removed", "long").add("kept", "string")
