@@ -6,7 +6,9 @@ positions that differ become variable fields. Templates found in at least ``min_
 but the first document (smallest id) that has them.
 
 Equal lines are one before they reach a leaf. A leaf with very many different lines is parsed in
-blocks by line hash, whose templates are merged afterwards across the whole leaf.
+blocks by line hash. The templates of its blocks are merged in rounds: templates that agree share the tokens of some
+part of their positions, so only those that do are compared, in groups of at most two blocks. One joins the template
+it agrees with most if that joins none itself; the rounds end when nothing joins. No task gets an unbounded group.
 
 Lines end at a line feed; blank lines belong to no template and stay. Null and empty texts have no lines. Very long
 lines and texts count whole. Rows equal in id and text are one document here, and lose the same lines.
@@ -73,9 +75,11 @@ def unpacked_tokens(data: bytes, size: int) -> np.ndarray:
     return np.frombuffer(data, np.uint64 if size <= SHORT_TOKENS else np.uint32)
 
 
-def document_lines(docs: DataFrame, depth: int) -> DataFrame:
-    """One row for each document and different line: key, ``line``, ``leaf``, ``size`` and ``tokens`` (packed hashes, 0 a field)."""
-    schema = docs.select(*anchors.KEY).schema.add("line", "long").add("leaf", "long").add("size", "integer").add("tokens", "binary")
+def document_lines(docs: DataFrame, depth: int, with_tokens: bool) -> DataFrame:
+    """One row for each document and different line: key, ``line``, ``leaf``, and if asked for ``size``, ``tokens`` (packed hashes, 0 a field)."""
+    schema = docs.select(*anchors.KEY).schema.add("line", "long").add("leaf", "long")
+    if with_tokens:
+        schema = schema.add("size", "integer").add("tokens", "binary")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -89,10 +93,11 @@ def document_lines(docs: DataFrame, depth: int) -> DataFrame:
                 new[1:] = (text[order][1:] != text[order][:-1]) | (line[order][1:] != line[order][:-1])
                 pick = order[new]
                 keys = batch.slice(lo, hi - lo).select([0, 1]).take(pa.array(text[pick]))
-                yield pa.RecordBatch.from_arrays(
-                    [*keys.columns, pa.array(line[pick]), pa.array(leaf[pick]), pa.array(size[pick], pa.int32()), pa.array([packed_tokens(tokens[s : s + n]) for s, n in zip(start[pick], size[pick], strict=True)], pa.binary())],
-                    names=[*anchors.KEY, "line", "leaf", "size", "tokens"],
-                )
+                columns = [*keys.columns, pa.array(line[pick]), pa.array(leaf[pick])]
+                if with_tokens:
+                    packed = [packed_tokens(tokens[s : s + n]) for s, n in zip(start[pick], size[pick], strict=True)]
+                    columns += [pa.array(size[pick], pa.int32()), pa.array(packed, pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
     return docs.mapInArrow(run, schema)
 
@@ -138,10 +143,121 @@ def _clustered(rows: DataFrame, agreement: float, group: list[str]) -> DataFrame
     return rows.groupBy(*group).applyInArrow(run, "item long, template long, fields binary, leaf long, docs long, size int")
 
 
+def position_parts(size: int, agreement: float, depth: int) -> list[np.ndarray]:
+    """The positions after the leading tokens in one part more than may differ: lines that agree share a whole part."""
+    differ = size
+    while size - differ < agreement * size:
+        differ -= 1
+    return np.array_split(np.arange(min(depth, size), size), differ + 1)
+
+
+def shared_parts(templates: DataFrame, agreement: float, depth: int, block_lines: int) -> DataFrame:
+    """Groups (``key``, ``p``, ``q``) of the rows of ``templates`` that share a part: ``item`` and columns.
+
+    A group is blocks ``p`` and ``q`` of what has one key; every two rows with one key are together in some group.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cuts: dict[int, list[np.ndarray]] = {}
+        for batch in batches:
+            items, keys = [], []
+            for leaf, item, size, data in zip(*(batch[c].to_pylist() for c in ("leaf", "item", "size", "tokens")), strict=True):
+                if size not in cuts:
+                    cuts[size] = position_parts(size, agreement, depth)
+                tokens = unpacked_tokens(data, size)
+                for j, at in enumerate(cuts[size]):
+                    items.append(item)
+                    keys.append(_template_id(leaf, np.concatenate([np.array([size, j], np.uint64), tokens[at].astype(np.uint64)])))
+            yield pa.RecordBatch.from_arrays([pa.array(items, pa.int64()), pa.array(keys, pa.int64())], names=["item", "key"])
+
+    keys = templates.select("leaf", "item", "size", "tokens").mapInArrow(run, "item long, key long")
+    many = keys.groupBy("key").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1").withColumn("_blocks", F.ceil(F.col("_n") / block_lines))
+    block = keys.join(many, "key").withColumn("block", F.pmod(F.xxhash64("item", "key"), "_blocks"))
+    # a single block is a group; of several, each two are one
+    other = F.when(F.col("_blocks") == 1, F.array("block")).otherwise(F.filter(F.sequence(F.lit(0).cast("long"), F.col("_blocks") - 1), lambda b: b != F.col("block")))
+    paired = block.withColumn("_o", F.explode(other)).select("key", "item", F.least("block", "_o").alias("p"), F.greatest("block", "_o").alias("q"))
+    return paired.join(templates.select("item", "docs", "size", "tokens"), "item")
+
+
+def _key_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple]]:
+    """The rows of each group (``key``, ``p``, ``q``) of sorted batches."""
+    key, rows = None, []
+    for batch in batches:
+        for row in zip(*(batch[c].to_pylist() for c in ("key", "p", "q", "item", "docs", "size", "tokens")), strict=True):
+            if row[:3] != key:
+                if len(rows) > 1:
+                    yield rows
+                key, rows = row[:3], []
+            rows.append(row[3:])
+    if len(rows) > 1:
+        yield rows
+
+
+def joins(templates: DataFrame, agreement: float, depth: int, block_lines: int) -> DataFrame:
+    """Of each template that agrees with one before it (more ``docs``, smaller ``item``): the best, ``to``, and the positions that differ."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in _key_groups(batches):
+            out: list[tuple] = []
+            rows.sort(key=lambda r: (-r[1], r[0]))
+            for size in {r[2] for r in rows}:
+                mine = [r for r in rows if r[2] == size]
+                tokens = np.stack([unpacked_tokens(r[3], size) for r in mine])
+                for i in range(1, len(mine)):
+                    agree = (tokens[:i] == tokens[i]).sum(axis=1)
+                    best = int(agree.argmax())
+                    if agree[best] >= agreement * size:
+                        out.append((mine[i][0], mine[i][1], int(-agree[best]), -mine[best][1], mine[best][0], np.flatnonzero(tokens[best] != tokens[i]).tolist()))
+            if out:
+                columns = list(zip(*out, strict=True))
+                yield pa.RecordBatch.from_arrays(
+                    [*(pa.array(c, pa.int64()) for c in columns[:5]), pa.array(columns[5], pa.list_(pa.int32()))], names=["item", "own", "agree", "docs", "to", "differ"]
+                )
+
+    groups = shared_parts(templates, agreement, depth, block_lines).select("key", "p", "q", "item", "docs", "size", "tokens")
+    found = groups.repartition("key", "p", "q").sortWithinPartitions("key", "p", "q").mapInArrow(run, "item long, own long, agree long, docs long, to long, differ array<int>")
+    best = found.groupBy("item", "own").agg(F.min(F.struct("agree", "docs", "to", "differ")).alias("m"))
+    return best.select("item", "own", "m.to", "m.differ")
+
+
+def _with_fields(templates: DataFrame) -> DataFrame:
+    """``templates`` with the positions ``fields`` (null: none) variable."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            tokens = []
+            for data, size, fields in zip(*(batch[c].to_pylist() for c in ("tokens", "size", "fields")), strict=True):
+                now = unpacked_tokens(data, size).copy()
+                now[fields or []] = FIELD
+                tokens.append(now.tobytes())
+            yield pa.RecordBatch.from_arrays([*(batch[c] for c in ("leaf", "item", "docs", "size")), pa.array(tokens, pa.binary())], names=["leaf", "item", "docs", "size", "tokens"])
+
+    return templates.mapInArrow(run, "leaf long, item long, docs long, size int, tokens binary")
+
+
+def merged_templates(templates: DataFrame, agreement: float, depth: int, block_lines: int) -> DataFrame:
+    """``item`` and ``merged`` (the template it has become) of ``templates`` (``leaf``, ``item``, ``docs``, ``size``, ``tokens``)."""
+    now = stored(templates)
+    named = now.select("item", F.col("item").alias("merged"))
+    while True:
+        best = stored(joins(now, agreement, depth, block_lines))
+        if best.isEmpty():
+            return named
+        # the first one that joins any joins one that stays, so each round merges something
+        moves = stored(best.join(best.select(F.col("item").alias("to")), "to", "left_anti"))
+        each = moves.select("to", "own", F.posexplode_outer("differ").alias("_i", "_at"))
+        grown = each.groupBy("to").agg(F.sum(F.when(F.coalesce("_i", F.lit(0)) == 0, F.col("own"))).alias("_more"), F.collect_set("_at").alias("fields"))
+        left = now.join(moves.select("item"), "item", "left_anti").join(grown.withColumnRenamed("to", "item"), "item", "left")
+        now = stored(_with_fields(left.select("leaf", "item", (F.col("docs") + F.coalesce("_more", F.lit(0))).alias("docs"), "size", "tokens", "fields")))
+        step = moves.select(F.col("item").alias("merged"), "to")
+        named = stored(named.join(step, "merged", "left").select("item", F.coalesce("to", "merged").alias("merged")))
+
+
 def recurring_lines(docs: DataFrame, *, min_docs: int, agreement: float, depth: int, block_lines: int) -> DataFrame:
     """Key and ``line`` of what goes: lines of recurring templates, outside the first document of each."""
-    lines = stored(document_lines(docs, depth))
-    different = lines.groupBy("leaf", "line").agg(F.count(F.lit(1)).alias("docs"), *[F.first(c).alias(c) for c in ("size", "tokens")])
+    # tokens are parsed anew rather than stored with each document's lines
+    lines = stored(document_lines(docs, depth, False))
+    different = document_lines(docs, depth, True).groupBy("leaf", "line").agg(F.count(F.lit(1)).alias("docs"), *[F.first(c).alias(c) for c in ("size", "tokens")])
     sizes = different.groupBy("leaf").agg(F.count(F.lit(1)).alias("_n"), F.sum("docs").alias("_docs")).where(F.col("_docs") >= min_docs)
     different = stored(different.join(sizes, "leaf"))
     hot = F.col("_n") > block_lines
@@ -153,7 +269,7 @@ def recurring_lines(docs: DataFrame, *, min_docs: int, agreement: float, depth:
     calm = _clustered(placed.where("not hot"), agreement, ["leaf"]).select(F.col("item").alias("line"), "template")
     part = stored(_clustered(blocked, agreement, ["leaf", "block"]))
     merged = part.groupBy("leaf", F.col("template").alias("item")).agg(F.sum("docs").alias("docs"), F.first("size").alias("size"), F.first("fields").alias("tokens"))
-    merged = _clustered(merged, agreement, ["leaf"]).select("item", F.col("template").alias("merged"))
+    merged = merged_templates(merged.select("leaf", "item", "docs", "size", "tokens"), agreement, depth, block_lines)
     split = part.join(merged, part["template"] == merged["item"]).select(part["item"].alias("line"), F.col("merged").alias("template"))
     named = plain.unionByName(calm).unionByName(split).join(different.select("line", "docs"), "line")
     enough = named.groupBy("template").agg(F.sum("docs").alias("_docs")).where(F.col("_docs") >= min_docs).select("template")
