@@ -180,6 +180,25 @@ def _parts(pairs: DataFrame, total: int) -> DataFrame:
     return pairs.withColumn("part", F.pmod(F.xxhash64("group", F.col("block").cast("long")), F.lit(shards)))
 
 
+def _dealt(pairs: DataFrame, member: DataFrame, extent: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``part``, ``node`` of the members of each ``group`` and of the members of the ``other`` classes that ask there.
+
+    Both sides are dealt into blocks, and each block of one meets each of the other in a part of its own. Groups of one
+    block on either side share shards.
+    """
+    asks = pairs.join(extent.select(F.col("c").alias("other"), F.col("members").alias("_m")), "other").groupBy("group").agg(F.sum("_m").alias("asks"))
+    sizes = asks.join(extent.select(F.col("c").alias("group"), "members"), "group")
+    plan = stored(sizes.select("group", *[F.ceil(F.col(c) / BLOCK_SETS).cast("int").alias(to) for c, to in (("members", "blocks"), ("asks", "turns"))], (F.col("members") + F.col("asks")).alias("n")))
+    small = F.expr("blocks = 1 AND turns = 1")
+    shards = max(1, (plan.where(small).agg(F.sum("n")).first()[0] or 0) // SHARD_SETS)
+    part = F.when(small, F.pmod(F.xxhash64("group"), F.lit(shards))).otherwise(F.xxhash64("group", "block", "turn")).alias("part")
+    own = {c: F.pmod(F.xxhash64("node"), F.col(f"{c}s")) for c in ("block", "turn")}
+    each = {c: F.explode(F.sequence(F.lit(0), F.col(f"{c}s") - 1)) for c in ("block", "turn")}
+    inside = member.withColumnRenamed("c", "group").join(plan, "group").withColumn("block", own["block"].cast("int")).withColumn("turn", each["turn"])
+    asking = pairs.join(plan, "group").join(member.withColumnRenamed("c", "other"), "other").withColumn("turn", own["turn"].cast("int")).withColumn("block", each["block"])
+    return inside.select(part, "node").distinct(), asking.select(part, "node").distinct()
+
+
 def similar_classes(documents: DataFrame, *, n: int = 4, percent: int = 85, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """For every row ``id_col``, ``n_shingles``, ``component_id`` (the smallest id reachable by links), ``text_hash`` and ``first``.
 
@@ -226,13 +245,8 @@ def similar_classes(documents: DataFrame, *, n: int = 4, percent: int = 85, id_c
         F.when(F.col("members1") > F.col("members2"), F.col("c1")).otherwise(F.col("c2")).alias("group"),
         F.when(F.col("members1") > F.col("members2"), F.col("c2")).otherwise(F.col("c1")).alias("other"),
     ))
-    member = label.select("c", "node").distinct()
-    sized = member.join(pairs.select(F.col("group").alias("c")).distinct(), "c", "left_semi")
-    counts = sized.groupBy("c").agg(F.ceil(F.count(F.lit(1)) / BLOCK_SETS).cast("int").alias("blocks"))
-    inside = sized.join(counts, "c").select(F.col("c").alias("group"), "node", F.pmod(F.xxhash64("node"), F.col("blocks")).alias("block"))
-    asking = pairs.join(counts.withColumnRenamed("c", "group"), "group").join(member.withColumnRenamed("c", "other"), "other")
-    asking = asking.select("group", "node", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"))
-    more = _search(texts, _parts(inside, total).select("part", "node").distinct(), _parts(asking, total).select("part", "node").distinct(), n, percent)
+    inside, asking = _dealt(pairs, label.select("c", "node").distinct(), extent)
+    more = _search(texts, inside, asking, n, percent)
     classes = components(links.unionByName(more))
 
     named = rows.join(classes, "node", "left").withColumn("c", F.coalesce("component", "node"))
