@@ -8,7 +8,8 @@ similarity of the shingles (weights: how often each occurs) decides.
 
 A text shorter than an item is one window. An item shorter than a shingle is one shingle,
 like a text as short, and matches only such a text: inside longer ones it would be chance. Null or empty texts and items
-match nothing. Very long texts are searched whole. Repeated rows get equal results; repeated items are each reported.
+match nothing. Very long texts are searched whole. Repeated rows get equal results; repeated items are each reported,
+and so are items without id, with a null ``item_id``.
 """
 
 from __future__ import annotations
@@ -68,7 +69,7 @@ class SizeIndex:
 
     places: int
     known: np.ndarray
-    items: list[tuple[int, Counter]]
+    items: list[tuple[int | None, Counter]]
     prints: np.ndarray
     at: np.ndarray
     near: np.ndarray
@@ -115,7 +116,7 @@ def build_index(items: list[tuple[int, str | None]], n: int) -> list[SizeIndex]:
 def matches_in(index: list[SizeIndex], every: np.ndarray, hashes: np.ndarray, similarity: float) -> list[tuple[int, int, float]]:
     """(item, start, similarity) of the best window of each item that is similar enough, in one text's shingles."""
     hit = np.flatnonzero(every[np.minimum(np.searchsorted(every, hashes), len(every) - 1)] == hashes) if len(every) else np.zeros(0, np.int64)
-    best: dict[int, tuple[float, int]] = {}
+    best: dict[int | tuple[int, int], tuple[float, int]] = {}
     for size in index if len(hit) else ():
         own = hit[size.known[np.minimum(np.searchsorted(size.known, hashes[hit]), len(size.known) - 1)] == hashes[hit]]
         if not len(own):
@@ -131,12 +132,15 @@ def matches_in(index: list[SizeIndex], every: np.ndarray, hashes: np.ndarray, si
         prints = fingerprints(hashes[lo : stop[-1]], start - lo, stop - lo)
         for w, i in zip(*size.candidates(prints), strict=True):
             item, wanted = size.items[i]
+            # an item without id stands for itself
+            item = (size.places, int(i)) if item is None else item
             found = Counter(hashes[start[w] : stop[w]].tolist())
             common = sum((found & wanted).values())
             value = common / (found.total() + wanted.total() - common)
             if value >= similarity and value > best.get(item, (0.0, 0))[0]:
                 best[item] = (value, int(start[w]))
-    return sorted((item, at, value) for item, (value, at) in best.items())
+    found = [(None if isinstance(item, tuple) else item, at, value) for item, (value, at) in best.items()]
+    return sorted(found, key=lambda m: (m[0] is None, m[0] or 0, *m[1:]))
 
 
 def _marks(rows: DataFrame, items: list[tuple[int, str | None]], n: int, similarity: float) -> DataFrame:
@@ -165,10 +169,10 @@ def find_items(documents: DataFrame, benchmark: DataFrame, *, n: int = 5, simila
     kept = [id_col, *(c for c in extra or [] if c != id_col)]
     none = F.array().cast("array<struct<item_id: bigint, start: bigint, similarity: double>>")
     rows = documents.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("_kept"), F.col(text_col).alias("_text"), none.alias("matches"))
-    items = benchmark.select(F.col(item_col).alias("i"), F.col(item_text).alias("t")).where("i is not null and t is not null")
+    items = benchmark.select(F.col(item_col).alias("i"), F.col(item_text).alias("t")).where("t is not null")
     parts = max(1, -(-items.count() // INDEX_ITEMS))
     for p in range(parts):
         # about INDEX_ITEMS rows at most: those of one residue
-        own = items.where(F.pmod(F.xxhash64("i"), F.lit(parts)) == p).orderBy("i", "t").toArrow().to_pylist()
+        own = items.where(F.pmod(F.when(F.col("i").isNull(), F.xxhash64("t")).otherwise(F.xxhash64("i")), F.lit(parts)) == p).orderBy("i", "t").toArrow().to_pylist()
         rows = _marks(rows, [(r["i"], r["t"]) for r in own], n, similarity)
     return rows.select("_kept.*", "matches")
