@@ -43,9 +43,12 @@ def drop_recurring_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 def one_of_each_class(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of five-word shingle sets that are 80 % similar: the one with the smallest id."""
     classes = overlap.similar_classes(docs.select("doc_id", "text"), n=5, percent=80)
-    first = classes.where("first").select(F.col("doc_id").alias("_i"), F.col("text_hash").alias("_h")).distinct()
-    rows = whole(docs).select("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("_hash"), "_row").dropDuplicates(["doc_id", "_hash"])
-    return rows.join(first, rows["doc_id"].eqNullSafe(F.col("_i")) & (F.col("_hash") == F.col("_h")), "left_semi").select("_row.*")
+    first = classes.where("first").select(F.col("doc_id").alias("_i"), F.col("text_hash").alias("_h"), (F.col("n_shingles") == 0).alias("_empty")).distinct()
+    rows = whole(docs).select("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("_hash"), "_row")
+    kept = rows.join(first, rows["doc_id"].eqNullSafe(F.col("_i")) & (F.col("_hash") == F.col("_h")))
+    # texts without words are copies of nothing
+    one = kept.where("not _empty").dropDuplicates(["doc_id", "_hash"])
+    return kept.where("_empty").unionByName(one).select("_row.*")
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
