@@ -6,9 +6,11 @@ import re
 import tempfile
 import uuid
 from collections.abc import Iterator
+from typing import Any
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -87,6 +89,22 @@ def stored(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+class Sent:
+    """A value that executors get once. It is pickled with the code of its class, so they need no copy of this package."""
+
+    def __init__(self, spark: SparkSession, value: Any):
+        self._packed = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+
+    def __getstate__(self) -> dict[str, Any]:
+        return {"_packed": self._packed}
+
+    @property
+    def value(self) -> Any:
+        if "_value" not in self.__dict__:
+            self._value = cloudpickle.loads(self._packed.value)
+        return self._value
+
+
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijective scrambler of 64-bit values."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import contamination, debruijn, language, nearest, overlap, pieces, quality, run_index, templates, toxicity
+from . import contamination, debruijn, language, nearest, overlap, periods, pieces, quality, run_index, templates, toxicity, warc, whitening
 from .common import bounded_batches, fold, table
 
 #: Where the public tokenizer's model lies; a parameter of the operators.
@@ -84,6 +84,36 @@ def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest.search(table(spark, sf_dir, "embeddings"), "vec_id % 20 = 0", 20)
 
 
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector on the first 32 principal components of the table, at unit variance."""
+    return whitening.whiten(table(spark, sf_dir, "embeddings"), components=32, scale=64.0, offset=1_000_000)
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's periodic runs of words, after a period was planted in a tenth of the documents."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", periods.rewritten("text", "doc_id").alias("text"))
+    found = periods.find_runs(docs, min_length=24, exponent=3)
+    # of two exponents as exact fractions the larger one; runs come by start, then period, and the earlier one stays
+    better = F.aggregate(
+        F.slice("runs", F.lit(2), F.greatest(F.size("runs") - 1, F.lit(0))), F.col("runs")[0],
+        lambda best, r: F.when(r["length"] * best["period"] > best["length"] * r["period"], r).otherwise(best),
+    )
+    best = F.when(F.size("runs") > 0, better)
+    lines = F.array_join(F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))), "")
+    return found.withColumn("_best", best).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "_best.start", "_best.length", "_best.period",
+        F.floor(1000 * F.col("_best.length") / F.col("_best.period")).alias("exponent_milli"),
+        F.sha2(lines.cast("binary"), 256).alias("runs_sha256"), F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
+def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page as the WARC archives tell it that it was written to."""
+    folder = warc.archive_folder(spark)
+    warc.write_archives(table(spark, sf_dir, "pages"), folder, least=0)
+    return warc.read_archives(spark, folder).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def _bounded(query: Query) -> Query:
     @functools.wraps(query)
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -95,6 +125,19 @@ def _bounded(query: Query) -> Query:
 
 QUERIES: dict[str, Query] = {f.__name__: _bounded(f) for f in (
     op1_toxicity, op2_ngram_jaccard, op3_line_dedup, op4_substring_dedup, op5_quality, op6_suffix_array_dedup, op7_decontamination, op8_sentencepiece, op9_language_id,
-    op10_nearest_neighbours,
+    op10_nearest_neighbours, op11_whitening, op12_periodic_runs, op13_warc,
 )}
-ORACLES: dict[str, str] = {}
+
+#: SHA-1 is 40 hexadecimal digits: each five of them are four digits of base 32.
+_BASE32 = " || ".join(
+    f"substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((('0x' || substr(sha, {5 * group + 1}, 5))::INT >> {shift}) & 31) + 1, 1)" for group in range(8) for shift in (15, 10, 5, 0)
+)
+OP13_SQL = f"""
+with payload as (select page_id, coalesce(html, '') as html, sha1(coalesce(html, '')) as sha from pages),
+judged as (select *, max(page_id) over (partition by html) as response_id from payload)
+select page_id, strlen(html)::bigint as payload_bytes, {_BASE32} as payload_digest,
+    case when page_id is not distinct from response_id then 'response' else 'revisit' end as record_type,
+    case when page_id is not distinct from response_id then null else response_id end as refers_to
+from judged
+"""
+ORACLES: dict[str, str] = {"op13_warc": OP13_SQL}
