@@ -16,6 +16,7 @@ from parcel_comps import fixed_values as fixed
 from parcel_comps.functions.geometry import rectangle
 from parcel_comps.operators.spatial import index_parcels
 from parcel_comps.operators.store import cache_requests
+from parcel_comps.operators.tiles import ParcelTiles, write_tiles
 from parcel_comps.plans.checkpoints import shared_folder
 
 STREETS = ["OAK", "Elm", "Mountain View", "St. Mary's"]
@@ -372,3 +373,13 @@ def stored_parcels(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stored_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _stored(spark, sf_dir, "listings", lambda: listings(spark, sf_dir))
+
+
+def parcel_tiles(spark: SparkSession, sf_dir: str) -> ParcelTiles:
+    """The parcels as an ingest stores them by place, once per session."""
+    key = (spark.sparkContext.applicationId, f"{sf_dir}/parcel_tiles")
+    if key not in _STORED:
+        path = scratch(spark)
+        write_tiles(index_parcels(parcels(spark, sf_dir)), path)
+        _STORED[key] = path
+    return ParcelTiles.read(spark, _STORED[key])

@@ -20,6 +20,7 @@ from parcel_comps.operators import quality as Q
 from parcel_comps.operators import store as P
 from parcel_comps.operators.spatial import eligible_listings
 from parcel_comps.plans.ingest import ingest_listings, ingest_parcels, link_features, normalize_parcels
+from parcel_comps.plans.versions import VersionedTable
 from parcel_comps.sources import readers as R
 from parcel_comps.sources import writers as Wr
 
@@ -561,17 +562,29 @@ def _listing_batches(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataF
     return stored, batch
 
 
-@query("upsert", fx.with_frames("""
+_UPSERT_SQL = fx.with_frames("""
 SELECT listing_id, CASE WHEN fresh THEN price + 1e0 + CASE WHEN o % 10 = 1 THEN 1e0 ELSE 0e0 END ELSE price END AS price,
        CASE WHEN fresh THEN '2024-02-01' ELSE '2024-01-01' END AS stamped
 FROM (SELECT *, (o % 2 = 1 OR o % 6 = 0) AND o % 45 <> 0 AND o % 35 <> 0 AS fresh FROM listings)
-WHERE o % 2 = 0 OR fresh"""))
+WHERE o % 2 = 0 OR fresh""")
+
+
+@query("upsert", _UPSERT_SQL)
 def upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     stored, batch = _listing_batches(spark, sf_dir)
     out = P.upsert(stored, batch, ["listing_id"], ["copy"], stamp="fetched_at", now=now())
     return out.select("listing_id", "price", F.date_format("fetched_at", "yyyy-MM-dd").alias("stamped"))
 
 
+# The same update as a new version of a stored table, of which only the parts in use are rewritten.
+@query("upsert_version", _UPSERT_SQL)
+def upsert_version(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stored, batch = _listing_batches(spark, sf_dir)
+    table = VersionedTable.create(stored, fx.scratch(spark), ["listing_id"], buckets=16)
+    out = table.merge(batch, ["copy"], stamp="fetched_at", now=now()).read()
+    return out.select("listing_id", "price", F.date_format("fetched_at", "yyyy-MM-dd").alias("stamped"))
+
+
 @query("ingest_listings", fx.with_frames("""
 SELECT listing_id, CASE WHEN fresh THEN price ELSE -1e0 END AS price FROM (
   SELECT *, status = 'Active' AND state = 'NH' AND property_type IN ('Single Family', 'Land') AS fresh FROM listings)

@@ -374,6 +374,34 @@ def gap_for_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("listing_id", "target_id", F.round("gap", 4).alias("gap"), "comp_count")
 
 
+# --- the same searches over the table stored by place ---------------------------------------------
+
+
+@query("stored_gap_for_listing", sql("SELECT listing_id, target_id, round(gap, 4) AS gap, comp_count FROM results WHERE listing_id = 'L77'"))
+def stored_gap_for_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = Rc.gap_for_listing(fx.stored_listings(spark, sf_dir), fx.parcel_tiles(spark, sf_dir), "L77")
+    return out.select("listing_id", "target_id", F.round("gap", 4).alias("gap"), "comp_count")
+
+
+@query("stored_find_comps", sql("""
+SELECT target_id, property_id, round(d, 3) AS metres, found_via FROM comps"""))
+def stored_find_comps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = Rc.run_gaps(fx.stored_listings(spark, sf_dir), fx.parcel_tiles(spark, sf_dir)).comps
+    return found.select("target_id", "property_id", F.round("distance_m", 3).alias("metres"), joined("found_via").alias("found_via"))
+
+
+@query("stored_resolve_parcel", sql("SELECT listing_id, target_id, resolve_method FROM resolved", "batch"))
+def stored_resolve_parcel(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = Sp.resolve_parcel(fx.stored_listings(spark, sf_dir), fx.parcel_tiles(spark, sf_dir), "batch")
+    return found.select("listing_id", "target_id", "resolve_method")
+
+
+@query("stored_nearby", _nearby_sql(400, "true"))
+def stored_nearby(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = Sp.nearby(fx.parcel_tiles(spark, sf_dir), _points(spark, sf_dir), 400.0)
+    return found.select("query_id", "property_id", F.round("distance_meters", 3).alias("metres"))
+
+
 # One state is recomputed over a table that holds a stale row for every listing.
 @query("recompute", sql("""
 SELECT l.listing_id, coalesce(r.has_comps, false) AS has_comps, CASE WHEN r.listing_id IS NULL THEN -1 ELSE r.comp_count END AS comp_count,

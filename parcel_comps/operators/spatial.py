@@ -19,18 +19,30 @@ from parcel_comps.functions.geometry import (
     centroid,
     contains_point,
     farthest_vertex_m,
+    first_ring_mean,
     hole_count,
     part_count,
 )
 from parcel_comps.operators import grid
 from parcel_comps.operators.linkage import unique_index
 from parcel_comps.operators.skew import skew_join
+from parcel_comps.operators.tiles import ParcelTiles
 from parcel_comps.profiles import Profile, get_profile
 
 # A point meets only the parcels of its own cell, so cells about the size of a large
 # lot keep the number of tested pairs low.
 _POINT_CELL_DEG = 0.002
 
+# A frame of parcels, or a stored table of which only tiles in use are read.
+Parcels = DataFrame | ParcelTiles
+
+
+def shape_key(geometry: str) -> Column:
+    """128 bits of a polygon's content: parcels with one polygon share it."""
+    halves = [F.lpad(F.hex(h), 16, "0") for h in (F.xxhash64(geometry), F.xxhash64(F.lit(1), geometry))]
+    return F.when(F.col(geometry).isNotNull(), F.concat(*halves))
+
+
 # Measures of a parcel that the spatial operators use, for both rule sets.
 INDEX_COLUMNS = {
     "box": lambda g: bounding_box(g),
@@ -39,6 +51,8 @@ INDEX_COLUMNS = {
     "net_acres": lambda g: area_acres(g, subtract_holes=True),
     "parts": lambda g: part_count(g),
     "holes": lambda g: hole_count(g),
+    "marker": lambda g: first_ring_mean(g),
+    "shape_id": lambda g: shape_key(g),
     "street_ascii": lambda g: street_of(normalize_address("address")),
     "street_unicode": lambda g: street_of(normalize_address("address", True), True),
 }
@@ -56,11 +70,36 @@ def index_parcels(parcels: DataFrame, geometry: str = "geometry") -> DataFrame:
     )
 
 
-def _indexed(parcels: DataFrame, profile: Profile) -> DataFrame:
-    """Indexed parcels with the profile's ``computed_acres`` and ``street``."""
+def attributes_of(parcels: Parcels) -> DataFrame:
+    """Indexed parcels without their polygons."""
+    if isinstance(parcels, ParcelTiles):
+        return parcels.attributes
     if not set(INDEX_COLUMNS) <= set(parcels.columns):
         parcels = index_parcels(parcels)
-    return parcels.withColumns(
+    return parcels.drop("geometry")
+
+
+def shapes_of(parcels: Parcels) -> DataFrame:
+    """``shape_id`` and ``geometry``, each polygon once."""
+    if isinstance(parcels, ParcelTiles):
+        return parcels.shapes.select("shape_id", "geometry")
+    if "shape_id" not in parcels.columns:
+        parcels = parcels.withColumn("shape_id", shape_key("geometry"))
+    return parcels.where("shape_id is not null").select("shape_id", "geometry").dropDuplicates(["shape_id"])
+
+
+def with_shape(df: DataFrame, shapes: DataFrame, key: str, name: str, how: str = "inner") -> DataFrame:
+    """``df`` with the polygon of the shape ``key`` as ``name``: polygons move only to rows that are left."""
+    return df.join(shapes.select(F.col("shape_id").alias(key), F.col("geometry").alias(name)), key, how)
+
+
+def _near(parcels: Parcels, search: DataFrame, box: str) -> Parcels:
+    return parcels.near(search, box) if isinstance(parcels, ParcelTiles) else parcels
+
+
+def _indexed(parcels: Parcels, profile: Profile) -> DataFrame:
+    """Indexed parcels with the profile's ``computed_acres`` and ``street``."""
+    return attributes_of(parcels).withColumns(
         {
             "computed_acres": F.col("net_acres" if profile.net_of_holes else "gross_acres"),
             "street": F.col("street_unicode" if profile.unicode_words else "street_ascii"),
@@ -72,24 +111,34 @@ def eligible_listings(listings: DataFrame) -> DataFrame:
     return listings.where(F.col("property_type").isin(fixed.LISTING_TYPES))
 
 
-def _points_in_parcels(
-    points: DataFrame, key: str | list[str], parcels: DataFrame, profile: Profile
-) -> DataFrame:
-    """Pairs of points (``_lon``, ``_lat``) and the parcels that contain them."""
+def _with_point_box(points: DataFrame, profile: Profile) -> DataFrame:
     # The tolerance is in plain degrees on both axes, so a box of it is exact.
     tol = F.lit(profile.contain_tol_deg * (1 + 1e-9))
     lon, lat = F.col("_lon"), F.col("_lat")
-    points = points.withColumn("_point_box", grid.box(lon - tol, lat - tol, lon + tol, lat + tol))
-    shapes = (
+    return points.withColumn("_point_box", grid.box(lon - tol, lat - tol, lon + tol, lat + tol))
+
+
+def _points_in_boxes(
+    points: DataFrame, key: str | list[str], parcels: Parcels, profile: Profile
+) -> tuple[DataFrame, DataFrame]:
+    """Pairs of points (``_lon``, ``_lat``) and parcels whose box has them, and the shapes to test them with."""
+    points = _with_point_box(points, profile)
+    parcels = _near(parcels, points, "_point_box")
+    boxes = (
         _indexed(parcels, profile)
         .where("box is not null")
-        .select("property_id", "geometry", "box", "computed_acres")
+        .select("property_id", "shape_id", "box", "computed_acres")
     )
     pairs = grid.box_join(
-        points, shapes, "_point_box", "box", key, "property_id",
+        points, boxes, "_point_box", "box", key, "property_id",
         cell_deg=_POINT_CELL_DEG, left_is_small=True,
     )
-    return pairs.where(contains_point("geometry", "_lon", "_lat", profile.contain_tol_deg))
+    return pairs, shapes_of(parcels)
+
+
+def _contained(pairs: DataFrame, shapes: DataFrame, profile: Profile) -> DataFrame:
+    placed = with_shape(pairs, shapes, "shape_id", "geometry")
+    return placed.where(contains_point("geometry", "_lon", "_lat", profile.contain_tol_deg))
 
 
 def _search_tasks(df: DataFrame) -> int:
@@ -108,16 +157,17 @@ def _points(listings: DataFrame, *columns: str) -> DataFrame:
 
 
 def containing_parcels(
-    listings: DataFrame, parcels: DataFrame, profile: str | Profile = "service"
+    listings: DataFrame, parcels: Parcels, profile: str | Profile = "service"
 ) -> DataFrame:
     """Every (``listing_id``, ``property_id``) whose parcel contains the listing's point."""
     points = _points(listings, "listing_id")
-    pairs = _points_in_parcels(points, "listing_id", parcels, get_profile(profile))
-    return pairs.select("listing_id", "property_id", "computed_acres")
+    pairs, shapes = _points_in_boxes(points, "listing_id", parcels, get_profile(profile))
+    found = _contained(pairs, shapes, get_profile(profile))
+    return found.select("listing_id", "property_id", "computed_acres")
 
 
 def resolve_parcel(
-    listings: DataFrame, parcels: DataFrame, profile: str | Profile = "service"
+    listings: DataFrame, parcels: Parcels, profile: str | Profile = "service"
 ) -> DataFrame:
     """Each listing with its own parcel: ``target_id`` and ``resolve_method``.
 
@@ -131,11 +181,11 @@ def resolve_parcel(
         listings = eligible_listings(listings)
     spot = ["_lon", "_lat"]
     spots = _points(listings).distinct().repartition(_search_tasks(listings), *spot)
-    smallest = (
-        _points_in_parcels(spots, spot, parcels, p)
-        .groupBy(*spot)
-        .agg(F.min(F.struct("computed_acres", "property_id")).alias("_best"))
-    )
+    pairs, shapes = _points_in_boxes(spots, spot, parcels, p)
+    # Parcels with one polygon (condos) are one candidate, and one test.
+    best = F.min(F.struct("computed_acres", "property_id")).alias("_best")
+    candidates = pairs.groupBy(*spot, "shape_id").agg(best)
+    smallest = _contained(candidates, shapes, p).groupBy(*spot).agg(F.min("_best").alias("_best"))
     fits = S.plausible_size(F.col("_best.computed_acres"), "lot_size", p.zero_lot_is_missing)
     placed = listings.withColumns({"_lon": F.col("longitude"), "_lat": F.col("latitude")})
     found = skew_join(placed, smallest, spot, ["listing_id"]).withColumn(
@@ -147,7 +197,7 @@ def resolve_parcel(
     found = found.withColumn("resolve_method", F.coalesce(method, F.lit("unresolved")))
     if p.address_fallback:
         index = unique_index(
-            parcels.select(F.col("property_id").alias("_by_address"), "address"),
+            attributes_of(parcels).select(F.col("property_id").alias("_by_address"), "address"),
             normalize_address("address", p.unicode_words),
             "_address",
         ).select("_address", "_by_address")
@@ -176,7 +226,7 @@ def _acres(profile: Profile, side: str) -> Column:
 
 
 def target_parcels(
-    resolved: DataFrame, parcels: DataFrame, profile: str | Profile = "service"
+    resolved: DataFrame, parcels: Parcels, profile: str | Profile = "service"
 ) -> DataFrame:
     """The distinct parcels that listings resolved to, ready for ``find_comps``.
 
@@ -191,21 +241,24 @@ def target_parcels(
         .distinct()
         .repartition(_search_tasks(resolved), "target_id")
     )
-    shapes = _indexed(parcels, p).select(
+    if isinstance(parcels, ParcelTiles) and not p.address_fallback:
+        # Without a match by address every target holds its listing's point.
+        parcels = _near(parcels, _with_point_box(_points(resolved.where("target_id is not null")), p), "_point_box")
+    measured = _indexed(parcels, p).select(
         F.col("property_id").alias("target_id"),
-        F.col("geometry").alias("t_geometry"),
+        F.col("shape_id").alias("t_shape"),
         F.col("box").alias("t_box"),
         F.col("center").alias("t_center"),
         F.col("street").alias("t_street"),
         _acres(p, "target").alias("t_acres"),
         F.col("assessed_value").alias("t_assessed_value"),
     )
-    return wanted.join(shapes, "target_id")
+    return wanted.join(measured, "target_id")
 
 
 def candidate_pairs(
     targets: DataFrame,
-    parcels: DataFrame,
+    parcels: Parcels,
     profile: str | Profile = "service",
     far_m: float = fixed.FAR_RADIUS_M,
     close_m: float = fixed.CLOSE_RADIUS_M,
@@ -221,16 +274,6 @@ def candidate_pairs(
     p = get_profile(profile)
     touch_m = p.touch_tol if p.touch_unit == "metres" else p.touch_tol * fixed.METRES_PER_DEGREE
     reach = max(far_m, touch_m)
-    neighbours = _indexed(parcels, p).where("box is not null").select(
-        "property_id", "address", "city", "property_type", "assessed_value", "latitude",
-        "longitude", "geometry", "box", "street", "parts", "holes", "computed_acres",
-        F.col("center").alias("n_center"),
-        _acres(p, "neighbour").alias("acres"),
-    )
-    if not keep_rejected:
-        neighbours = neighbours.where(_reject_neighbour(p).isNull())
-        if not p.skip_size_for_land:
-            neighbours = neighbours.where(F.col("acres") > 0)
     center = F.col("t_center")
     search = grid.widen(F.col("t_box"), reach, center["lat"])
     if p.shape_screen and not keep_rejected:
@@ -245,6 +288,18 @@ def candidate_pairs(
     targets = targets.withColumn("_search", search).withColumn(
         "_east", grid.metres_east(center["lat"])
     )
+    # The own polygons of the targets lie near them too.
+    parcels = _near(parcels, targets.select(F.explode(F.array("_search", "t_box")).alias("_box")), "_box")
+    neighbours = _indexed(parcels, p).where("box is not null").select(
+        "property_id", "address", "city", "property_type", "assessed_value", "latitude",
+        "longitude", "shape_id", "marker", "box", "street", "parts", "holes", "computed_acres",
+        F.col("center").alias("n_center"),
+        _acres(p, "neighbour").alias("acres"),
+    )
+    if not keep_rejected:
+        neighbours = neighbours.where(_reject_neighbour(p).isNull())
+        if not p.skip_size_for_land:
+            neighbours = neighbours.where(F.col("acres") > 0)
     gap = grid.box_gap_m(F.col("t_box"), F.col("box"), F.col("_east"))
     keep = (F.col("target_id") != F.col("property_id")) & (gap <= reach)
     same_street = (F.col("street") != "") & (F.col("street") == F.col("t_street"))
@@ -256,6 +311,8 @@ def candidate_pairs(
     pairs = grid.box_join(
         targets, neighbours, "_search", "box", "target_id", "property_id", condition=keep
     )
+    shapes = shapes_of(parcels)
+    pairs = with_shape(with_shape(pairs, shapes, "t_shape", "t_geometry"), shapes, "shape_id", "geometry")
     if p.shape_screen:
         # Corners of the box bound the farthest vertex; most pairs need no vertex walk.
         dx = F.greatest(
@@ -288,7 +345,7 @@ def candidate_pairs(
     return (
         pairs.withColumn("touches", touch)
         .where((F.col("distance_m") <= far_m) | F.col("touches"))
-        .drop("_search", "_east", "_d", "t_geometry", "t_box", "t_center", "box", "computed_acres")
+        .drop("_search", "_east", "_d", "t_geometry", "geometry", "t_shape", "t_box", "t_center", "box", "computed_acres")
     )
 
 
@@ -367,7 +424,7 @@ def classify_comps(
 
 def find_comps(
     targets: DataFrame,
-    parcels: DataFrame,
+    parcels: Parcels,
     profile: str | Profile = "service",
     close_m: float = fixed.CLOSE_RADIUS_M,
     far_m: float = fixed.FAR_RADIUS_M,
@@ -387,7 +444,7 @@ def find_comps(
 
 
 def nearby(
-    parcels: DataFrame,
+    parcels: Parcels,
     points: DataFrame,
     radius_m: float | None = None,
     types: list[str] | None = None,
@@ -401,15 +458,14 @@ def nearby(
     """
     radius = radius_m if radius_m is not None and radius_m > 0 else fixed.DEFAULT_NEARBY_M
     radius = min(float(radius), max_radius_m)
-    indexed = parcels if "box" in parcels.columns else parcels.withColumn(
-        "box", bounding_box("geometry")
-    )
-    if types:
-        indexed = indexed.where(F.col("property_type").isin(types))
     lat, lon = F.col("lat"), F.col("lon")
     search = points.where("lat is not null and lon is not null").withColumn(
         "_search", grid.widen(grid.point_box(lon, lat), radius, lat)
     ).withColumn("_east", grid.metres_east(lat)).withColumn("_point", grid.point_box(lon, lat))
+    parcels = _near(parcels, search, "_search")
+    indexed = attributes_of(parcels)
+    if types:
+        indexed = indexed.where(F.col("property_type").isin(types))
     within = grid.box_gap_m(F.col("_point"), F.col("box"), F.col("_east")) <= radius
     pairs = grid.box_join(
         search,
@@ -422,7 +478,8 @@ def nearby(
         cell_deg=max(grid.CELL_DEG, 2 * radius / fixed.METRES_PER_DEGREE),
     )
     return (
-        pairs.withColumn("distance_meters", point_distance_m("geometry", "lat", "lon"))
+        with_shape(pairs, shapes_of(parcels), "shape_id", "geometry")
+        .withColumn("distance_meters", point_distance_m("geometry", "lat", "lon"))
         .where(F.col("distance_meters") <= radius)
         .drop("_search", "_east", "_point")
         .withColumn("radius_used_m", F.lit(radius))
@@ -432,7 +489,7 @@ def nearby(
 
 
 def endpoint_nearby(
-    parcels: DataFrame,
+    parcels: Parcels,
     points: DataFrame,
     radius_m: float | None = None,
     types: list[str] | None = None,

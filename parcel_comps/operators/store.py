@@ -43,7 +43,18 @@ def upsert(
     set on every row written. ``keep`` names columns an update must not touch, with
     their value for new rows. The result is a new frame; write it as a new snapshot.
     """
-    fresh = last_wins(with_keys(updates, keys), keys, order)
+    return merged(target, last_wins(with_keys(updates, keys), keys, order), keys, stamp, now, keep)
+
+
+def merged(
+    target: DataFrame,
+    fresh: DataFrame,
+    keys: list[str],
+    stamp: str | None = None,
+    now: Column | None = None,
+    keep: dict[str, Column] | None = None,
+) -> DataFrame:
+    """``upsert`` of rows that have each key once."""
     if stamp:
         fresh = fresh.withColumn(stamp, now if now is not None else F.current_timestamp())
     if keep:
@@ -110,10 +121,14 @@ def cache_entries(
     )
 
 
+def cache_counters() -> dict[str, Column]:
+    """What an upsert of the cache leaves alone, with the values of new entries."""
+    return {"hit_count": F.lit(0), "last_hit_at": F.lit(None).cast("timestamp")}
+
+
 def save_cache(cache: DataFrame, entries: DataFrame, order: list[str]) -> DataFrame:
     """Upsert that leaves the hit counters of existing entries alone."""
-    keep = {"hit_count": F.lit(0), "last_hit_at": F.lit(None).cast("timestamp")}
-    return upsert(cache, entries, schemas.CACHE_KEY, order, keep=keep)
+    return upsert(cache, entries, schemas.CACHE_KEY, order, keep=cache_counters())
 
 
 def cache_lookup(requests: DataFrame, cache: DataFrame, now: Column, spread: list[str]) -> DataFrame:

@@ -18,7 +18,7 @@ from parcel_comps.operators.normalize import (
     normalize_nh,
 )
 from parcel_comps.operators.quality import disambiguate_ids, town_counts, validate_records
-from parcel_comps.operators.store import upsert
+from parcel_comps.plans.versions import Table, upsert_into
 
 
 def normalize_parcels(
@@ -65,7 +65,7 @@ def link_features(features: DataFrame, assessments: DataFrame) -> DataFrame:
 class ParcelIngest:
     """The new table and the reports of one ingest: counts of gaps, and of rows per expected town."""
 
-    table: DataFrame
+    table: Table
     records: DataFrame
     towns: DataFrame | None
 
@@ -74,7 +74,7 @@ def run_parcel_ingest(
     features: DataFrame,
     state: str,
     mapping: DataFrame,
-    target: DataFrame,
+    target: Table,
     order: list[str],
     town: str | Column | None = None,
     now: Column | None = None,
@@ -83,6 +83,8 @@ def run_parcel_ingest(
 ) -> ParcelIngest:
     """Normalise, check and upsert the features of all towns of a state in one job.
 
+    A stored ``target`` (``VersionedTable``) gets a new version, in which only the parts of these towns are rewritten.
+
     ``towns`` (``municipality``) lists what was expected; without it there is no town report.
     """
     rows = normalize_parcels(features, state, mapping, town, source_date)
@@ -96,7 +98,7 @@ def run_parcel_ingest(
         ],
         *extra,
     )
-    table = upsert(target, full, ["property_id"], order, stamp="loaded_at", now=now)
+    table = upsert_into(target, full, ["property_id"], order, stamp="loaded_at", now=now)
     return ParcelIngest(table, records, counts)
 
 
@@ -104,26 +106,26 @@ def ingest_parcels(
     features: DataFrame,
     state: str,
     mapping: DataFrame,
-    target: DataFrame,
+    target: Table,
     order: list[str],
     town: str | Column | None = None,
     now: Column | None = None,
     source_date: Column | None = None,
-) -> DataFrame:
+) -> Table:
     """The table of ``run_parcel_ingest`` alone."""
     return run_parcel_ingest(features, state, mapping, target, order, town, now, source_date).table
 
 
 def ingest_listings(
     raw: DataFrame,
-    target: DataFrame,
+    target: Table,
     source: str,
     order: list[str],
     state: str,
     city: str | None = None,
     types: list[str] | None = None,
     now: Column | None = None,
-) -> DataFrame:
+) -> Table:
     """Upsert the active listings of landed provider pages."""
     rows = normalize_listing(active_listings(raw, state, city, types), source)
-    return upsert(target, rows, ["listing_id"], order, stamp="fetched_at", now=now)
+    return upsert_into(target, rows, ["listing_id"], order, stamp="fetched_at", now=now)

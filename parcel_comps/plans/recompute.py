@@ -11,9 +11,9 @@ from parcel_comps import fixed_values as fixed
 from parcel_comps.functions.scalars import empty_to_null
 from parcel_comps.operators.gaps import compute_gap, gap_rows, relative_gap
 from parcel_comps.operators.lookup import find_listing, find_listings
-from parcel_comps.operators.spatial import find_comps, resolve_parcel, target_parcels
-from parcel_comps.operators.store import upsert
+from parcel_comps.operators.spatial import Parcels, find_comps, resolve_parcel, shapes_of, target_parcels
 from parcel_comps.plans.checkpoints import materialize
+from parcel_comps.plans.versions import Table, upsert_into
 from parcel_comps.profiles import Profile
 
 
@@ -25,11 +25,13 @@ class GapRun:
     targets: DataFrame
     comps: DataFrame
     results: DataFrame
+    #: Polygons by ``shape_id``, for reports; all those of the parcels given.
+    shapes: DataFrame
 
 
 def run_gaps(
     listings: DataFrame,
-    parcels: DataFrame,
+    parcels: Parcels,
     profile: str | Profile = "service",
     close_m: float = fixed.CLOSE_RADIUS_M,
     far_m: float = fixed.FAR_RADIUS_M,
@@ -49,11 +51,11 @@ def run_gaps(
     comps = materialize(find_comps(targets, parcels, profile, close_m, far_m, tol, keep_rejected))
     kept = comps.where("reject_reason is null") if keep_rejected else comps
     gaps = materialize(compute_gap(resolved, kept, targets, profile))
-    return GapRun(resolved, targets, comps, relative_gap(gaps))
+    return GapRun(resolved, targets, comps, relative_gap(gaps), shapes_of(parcels))
 
 
 def gap_for_listing(
-    listings: DataFrame, parcels: DataFrame, listing_id: str, profile: str | Profile = "service"
+    listings: DataFrame, parcels: Parcels, listing_id: str, profile: str | Profile = "service"
 ) -> DataFrame:
     """The gap of one listing; no row if it does not exist or resolve."""
     return run_gaps(find_listing(listings, listing_id), parcels, profile).results.drop(
@@ -63,19 +65,19 @@ def gap_for_listing(
 
 def recompute(
     listings: DataFrame,
-    parcels: DataFrame,
-    gap_results: DataFrame,
+    parcels: Parcels,
+    gap_results: Table,
     state: str,
     city: str | None = None,
     zip_code: str | None = None,
     property_type: str | None = None,
     profile: str | Profile = "service",
-) -> tuple[DataFrame, DataFrame]:
+) -> tuple[Table, DataFrame]:
     """Recompute the matching listings; returns (new gap table, results of this run).
 
     Relative gaps are taken within the listings recomputed together.
     """
     wanted = find_listings(listings, state, city, zip_code, property_type)
     results = run_gaps(wanted, parcels, profile).results
-    updated = upsert(gap_results, gap_rows(results), ["listing_id"], ["computed_at"])
+    updated = upsert_into(gap_results, gap_rows(results), ["listing_id"], ["computed_at"])
     return updated, results

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from parcel_comps import fixed_values as fixed
 from parcel_comps.functions.geometry import (
-    first_ring_mean,
     hookline,
     point_geojson,
     to_multipolygon,
@@ -15,12 +14,18 @@ from parcel_comps.functions.geometry import (
 from parcel_comps.functions.scalars import lot_size_similar, round2, unit_style_address
 from parcel_comps.operators.gaps import used_comps
 from parcel_comps.operators.skew import skew_join
+from parcel_comps.operators.spatial import with_shape
 from parcel_comps.plans.recompute import GapRun
 from parcel_comps.profiles import Profile, get_profile
 
 
-def listing_candidates(run: GapRun, profile: str | Profile = "service") -> DataFrame:
-    """One row per (listing, candidate), with ``used``, ``size_ok`` and marker position."""
+def _is_land(profile: Profile) -> Column:
+    land = F.coalesce(F.col("property_type") == "Land", F.lit(False))
+    return (land if profile.skip_size_for_land else F.lit(False)).alias("is_land")
+
+
+def target_candidates(run: GapRun, profile: str | Profile = "service") -> DataFrame:
+    """One row per (target, candidate), with ``used``, ``size_ok`` and marker position; no polygons yet."""
     p = get_profile(profile)
     size_ok = lot_size_similar(round2("t_acres"), round2("acres"))
     if p.skip_size_for_land:
@@ -28,7 +33,7 @@ def listing_candidates(run: GapRun, profile: str | Profile = "service") -> DataF
     comps = run.comps
     if "reject_reason" in comps.columns:
         comps = comps.where("reject_reason is null")
-    per_target = comps.select(
+    return comps.select(
         "target_id", "is_land", "property_id",
         F.col("address").alias("comp_address"),
         F.col("raw_type").alias("land_use_desc"),
@@ -39,38 +44,47 @@ def listing_candidates(run: GapRun, profile: str | Profile = "service") -> DataF
         used_comps(comps, p).alias("used"),
         "comp_eligible",
         unit_style_address("address").alias("has_unit_style_address"),
-        first_ring_mean("geometry").alias("marker"),
+        "marker",
         "distance_m",
-        F.col("geometry").alias("comp_geometry"),
+        "shape_id",
     )
-    land = F.coalesce(F.col("property_type") == "Land", F.lit(False))
+
+
+def listing_candidates(run: GapRun, profile: str | Profile = "service") -> DataFrame:
+    """``target_candidates`` of every listing, beside its place."""
     listings = run.resolved.where("target_id is not null").select(
-        "listing_id", "target_id", (land if p.skip_size_for_land else F.lit(False)).alias("is_land"),
-        "longitude", "latitude",
+        "listing_id", "target_id", _is_land(get_profile(profile)), "longitude", "latitude",
     )
     return skew_join(
-        listings, per_target, ["target_id", "is_land"], ["listing_id"], how="inner"
+        listings, target_candidates(run, profile), ["target_id", "is_land"], ["listing_id"], how="inner"
     ).drop("is_land", "target_id")
 
 
 def report_frame(run: GapRun, profile: str | Profile = "service") -> DataFrame:
-    """Per listing: the target, every candidate used or not, and the summary or the error."""
+    """Per listing: the target, every candidate used or not, and the summary or the error.
+
+    Candidates and their polygons are gathered once for each target, however many listings it has.
+    """
     candidate = F.struct(
         F.col("property_id").alias("pid"), F.col("comp_address").alias("address"),
         "land_use_desc", "acres", "size_ok", "value", "found_via", "used",
         F.col("marker.lat").alias("lat"), F.col("marker.lon").alias("lon"),
         to_multipolygon("comp_geometry").alias("geometry"),
     )
-    # One listing's own neighbours: bounded by what lies within the search radius.
-    candidates = listing_candidates(run, profile).groupBy("listing_id").agg(
+    key = ["target_id", "is_land"]
+    drawn = with_shape(target_candidates(run, profile), run.shapes, "shape_id", "comp_geometry", "left")
+    # One target's own neighbours: bounded by what lies within the search radius.
+    candidates = drawn.groupBy(*key).agg(
         F.array_sort(F.collect_list(F.struct("property_id", candidate.alias("c")))).alias("_all")
     )
+    listed = run.results.withColumn("is_land", _is_land(get_profile(profile)))
+    joined = skew_join(listed, candidates, key, ["listing_id"], count_on=run.resolved.select("target_id", _is_land(get_profile(profile))))
     target = F.struct(
         F.col("address_line_1").alias("address"), "property_type", "price", "square_footage",
         "year_built", "latitude", "longitude", "target_acres", "target_assessed_value",
     )
     summary = F.struct("comp_count", "comp_median", "comp_min", "comp_max", "gap", "gap_pct")
-    return run.results.join(candidates, "listing_id", "left").select(
+    return joined.select(
         "listing_id",
         target.alias("target"),
         "error",
@@ -114,7 +128,9 @@ def map_features(run: GapRun, profile: str | Profile = "service") -> DataFrame:
     assessed = F.when(
         F.coalesce("target_assessed_value", F.lit(0.0)) != 0, _money(F.col("target_assessed_value"))
     ).otherwise(F.lit(fixed.POPUP_TEXTS["no_value"]))
-    shapes = run.targets.select("target_id", "t_geometry").dropDuplicates(["target_id"])
+    shapes = run.targets.select("target_id", "t_shape").dropDuplicates(["target_id"])
+    # A target without a polygon is drawn as a feature without one.
+    shapes = with_shape(shapes, run.shapes, "t_shape", "t_geometry", "left")
     targets = skew_join(results, shapes, ["target_id"], ["listing_id"], how="inner").select(
         "listing_id",
         *_feature(
@@ -125,7 +141,7 @@ def map_features(run: GapRun, profile: str | Profile = "service") -> DataFrame:
     )
     value = F.when(F.col("value").isNotNull(), _money(F.col("value"))).otherwise(fixed.POPUP_TEXTS["no_value"])
     shown = F.when(F.col("used"), fixed.POPUP_TEXTS["used"]).otherwise(fixed.POPUP_TEXTS["unused"])
-    parcels = candidates.select(
+    parcels = with_shape(candidates, run.shapes, "shape_id", "comp_geometry", "left").select(
         "listing_id",
         *_feature(
             F.when(F.col("used"), "used").otherwise("excluded"),
