@@ -320,14 +320,14 @@ def variants_sql(expr: str) -> str:
 
 
 VARIANTS_SQL = """
-SELECT k, array_to_string([original] || list_filter(
-         [v FOR v, i IN spellings IF list_position(spellings, v) = i], lambda v: v <> spellings[1]), '|') AS variants
-FROM (SELECT k, t AS original, {spellings} AS spellings FROM (SELECT k, {text} AS t FROM lots)) WHERE original IS NOT NULL"""
+SELECT k, CASE WHEN original IS NOT NULL THEN array_to_string([original] || list_filter(
+         [v FOR v, i IN spellings IF list_position(spellings, v) = i], lambda v: v <> spellings[1]), '|') END AS variants
+FROM (SELECT k, t AS original, {spellings} AS spellings FROM (SELECT k, {text} AS t FROM lots))"""
 
 
 @query("address_variants", fx.with_frames(VARIANTS_SQL.format(spellings=variants_sql("t"), text=_TEXT)))
 def address_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = fx.lots(spark, sf_dir).select("k", F.expr(_TEXT).alias("t")).where("t is not null")
+    rows = fx.lots(spark, sf_dir).select("k", F.expr(_TEXT).alias("t"))
     return rows.select("k", joined(A.address_variants("t")).alias("variants"))
 
 

@@ -259,13 +259,14 @@ _LONG = {v: k for k, v in fixed.STREET_WORDS.items()}
 _SEARCH_SQL = f"""
 spelled AS (
   SELECT k, address, array_to_string({fx.swap_sql(fx.words_sql('address'), _LONG)}, ' ') AS spelled_out
-  FROM lots WHERE trim(address) <> ''
+  FROM lots
 ),
+asked AS (SELECT * FROM spelled WHERE trim(address) <> ''),
 results AS (
-  SELECT address AS query, 0 AS position, address || ' EXT' AS value, k * 10 AS id FROM spelled WHERE k % 3 > 0
-  UNION ALL SELECT address, 1, address || ' NORTH', k * 10 + 1 FROM spelled WHERE k % 3 = 2
-  UNION ALL SELECT address, 2, upper(address), k * 10 + 2 FROM spelled WHERE k % 3 = 2 AND k % 2 = 0
-  UNION ALL SELECT spelled_out, 0, spelled_out, k * 10 + 5 FROM spelled WHERE k % 3 = 2 AND k % 5 = 0 AND spelled_out <> address
+  SELECT address AS query, 0 AS position, address || ' EXT' AS value, k * 10 AS id FROM asked WHERE k % 3 > 0
+  UNION ALL SELECT address, 1, address || ' NORTH', k * 10 + 1 FROM asked WHERE k % 3 = 2
+  UNION ALL SELECT address, 2, upper(address), k * 10 + 2 FROM asked WHERE k % 3 = 2 AND k % 2 = 0
+  UNION ALL SELECT spelled_out, 0, spelled_out, k * 10 + 5 FROM asked WHERE k % 3 = 2 AND k % 5 = 0 AND spelled_out <> address
 ),
 variants AS (
   SELECT address, unnest(vs) AS variant, generate_subscripts(vs, 1) AS no FROM (
@@ -292,7 +293,7 @@ lookups AS (
 
 
 def _lookups(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = fx.lots(spark, sf_dir).where("trim(address) <> ''").select("k", "address")
+    rows = fx.lots(spark, sf_dir).select("k", "address")
     words = F.split(F.regexp_replace(F.upper("address"), r"[^\w\s]", " "), r"\s+")
     long = F.create_map(*[F.lit(x) for pair in _LONG.items() for x in pair])
     spelled = F.array_join(F.filter(F.transform(words, lambda w: F.coalesce(F.try_element_at(long, w), w)),
@@ -305,7 +306,8 @@ def _lookups(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.expr("k % 3 = 2 AND k % 5 = 0 AND spelled_out <> address"),
                F.expr("struct(spelled_out AS query, 0 AS position, spelled_out AS value, k * 10 + 5 AS id)")),
     ))
-    return K.choose_lookup(rows, rows.select(F.inline(answers)))
+    # Nobody asks the search service for a blank address.
+    return K.choose_lookup(rows, rows.where("trim(address) <> ''").select(F.inline(answers)))
 
 
 @query("choose_lookup", fx.with_frames("SELECT address, status, id, via, candidates FROM lookups", _SEARCH_SQL))
@@ -314,8 +316,8 @@ def choose_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("lookup_report", fx.with_frames("""
-SELECT s.status, count(l.address) AS lookups FROM (VALUES ('ok'), ('ambiguous'), ('no_match')) s(status)
-LEFT JOIN lookups l USING (status) GROUP BY s.status""", _SEARCH_SQL))
+SELECT s.status, count(l.status) AS lookups FROM (VALUES ('ok'), ('ambiguous'), ('no_match')) s(status)
+LEFT JOIN lookups l ON l.status = s.status GROUP BY s.status""", _SEARCH_SQL))
 def lookup_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return K.lookup_report(_lookups(spark, sf_dir))
 
@@ -357,22 +359,26 @@ def page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("extract_assessment", fx.with_frames("""
-SELECT CASE WHEN k % 6 = 0 THEN CAST(k AS VARCHAR) ELSE CAST(50000 + k AS VARCHAR) END AS pid, trim(address) AS location,
+SELECT CASE WHEN k % 6 = 0 THEN CAST(k AS VARCHAR) ELSE CAST(50000 + k AS VARCHAR) END AS pid,
+       -- an empty field gives the label that follows it
+       CASE WHEN trim(address) = '' THEN 'Mblu' ELSE trim(address) END AS location,
        CAST(1000000 + k AS VARCHAR) AS total_market_value, CAST(k % 9 AS VARCHAR) || '.25' AS acres,
        CASE coalesce(raw_type, 'Odd Use') WHEN 'one fam' THEN 'Single Family' WHEN 'Single Family Residential' THEN 'Single Family'
             WHEN 'vacant land' THEN 'Vacant Land' ELSE coalesce(raw_type, 'Odd Use') END AS land_use_desc,
        k || '/ 12/ 000/00 ' AS mblu
-FROM lots WHERE k % 8 <> 0 AND address IS NOT NULL AND trim(address) <> ''"""))
+FROM lots WHERE k % 8 <> 0
+UNION ALL SELECT CAST(page_id AS VARCHAR), NULL, NULL, NULL, NULL, NULL FROM pages WHERE contains(""" + _strip_sql("html") + ", 'Total Market Value')"))
 def extract_assessment(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = fx.lots(spark, sf_dir).where("trim(address) <> ''")
+    rows = fx.lots(spark, sf_dir)
     value = "substr(CAST(1000000 + k AS STRING), 1, 1) || ',' || substr(CAST(1000000 + k AS STRING), 2, 3) || ',' || substr(CAST(1000000 + k AS STRING), 5, 3)"
     html = f"""'<html><head><style>p {{}}</style><script>Location = 1;</script></head><body><!-- x --><h1>Description</h1>
-      <p>wrong</p><span>Location</span><b> ' || address || ' </b><table><tr><td>Mblu</td><td>' || k || '/ 12/ 000/00 A</td></tr>'
+      <p>wrong</p>' || coalesce('<span>Location</span><b> ' || address || ' </b>', '') || '<table><tr><td>Mblu</td><td>' || k || '/ 12/ 000/00 A</td></tr>'
       || CASE WHEN k % 8 <> 0 THEN '<td>Total Market Value</td><td>$' || {value} || '</td>' ELSE '' END
       || CASE WHEN k % 6 <> 0 THEN '<td>PID</td><td>' || (50000 + k) || '</td>' ELSE '' END
       || '<h2>Land Use</h2><td>Size (Acres)</td><td>' || k % 9 || '.25</td><td>Description</td><td>' || coalesce(raw_type, 'Odd Use')
       || '</td></body></html>'"""
-    pages = rows.selectExpr("k AS page_id", f"{html} AS html")
+    # The given pages are read as well; they are no parcel records.
+    pages = rows.selectExpr("k AS page_id", f"{html} AS html").unionAll(fx.table(spark, sf_dir, "pages").select("page_id", "html"))
     out = N.extract_assessment(pages, R.type_mapping(spark))
     return out.select("pid", "location", "total_market_value", "acres", "land_use_desc", "mblu")
 

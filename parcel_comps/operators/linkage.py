@@ -135,7 +135,8 @@ def choose_lookup(addresses: DataFrame, results: DataFrame) -> DataFrame:
     place in the answer, from 0), ``value`` and ``id``. The earliest variant that has
     a candidate with exactly its own normalised text, or has only one candidate,
     decides. Failing that the first candidate of the first answered variant is taken
-    as ambiguous, with up to five candidate texts; no answer at all is no_match.
+    as ambiguous, with up to five candidate texts; no answer at all is no_match, and so
+    is a missing address.
     """
     exact = normalize_address("value", unicode=True) == normalize_address("query", unicode=True)
     texts = F.collect_list(F.when(F.col("position") < 5, F.struct("position", "value")))
@@ -154,8 +155,8 @@ def choose_lookup(addresses: DataFrame, results: DataFrame) -> DataFrame:
             F.col("_texts").alias("texts"),
         ).alias("answer"),
     )
-    variants = addresses.select("address").where("address is not null").distinct().select(
-        "address", F.posexplode(address_variants("address")).alias("variant_no", "variant")
+    variants = addresses.select("address").distinct().select(
+        "address", F.posexplode_outer(address_variants("address")).alias("variant_no", "variant")
     )
     answered = skew_join(variants, per_query, ["variant"], ["address"])
     best = answered.groupBy("address").agg(
