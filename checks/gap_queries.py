@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from checks import fixtures as fx
 from checks.frame_queries import now
@@ -178,6 +179,32 @@ def box_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+# On the ellipsoid a rectangle's area is its width times the difference of authalic latitudes.
+_E2 = "0.006694379990141316e0"
+_E = "0.08181919084262149e0"
+_AUTHALIC = "(sin(radians({y})) / (1 - _E2 * power(sin(radians({y})), 2)) - ln((1 - _E * sin(radians({y}))) / (1 + _E * sin(radians({y})))) / (2 * _E)) * (1 - _E2)"
+
+
+@query("area_acres_wgs84", fx.with_frames(f"""
+SELECT property_id, round((radians(x1) - radians(x0)) * ({_AUTHALIC.format(y='y1')} - {_AUTHALIC.format(y='y0')}) * 6378137e0 * 6378137e0 / 2 / 4046.8564224e0, 4) AS acres
+FROM parcels""".replace("_E2", _E2).replace("_E", _E)))
+def area_acres_wgs84(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fx.stored_parcels(spark, sf_dir).select("property_id", F.round("net_acres_wgs84", 4).alias("acres"))
+
+
+@query("nearby_wgs84", fx.with_frames(f"""
+SELECT query_id, property_id, round(m, 3) AS metres FROM (
+  SELECT query_id, property_id,
+         sqrt(power(greatest(0e0, x0 - lon, lon - x1) * cos(radians(lat)) * 111319.49079327358e0 / sqrt(w), 2)
+         + power(greatest(0e0, y0 - lat, lat - y1) * 111319.49079327358e0 * (1 - {_E2}) / (w * sqrt(w)), 2)) AS m
+  FROM parcels, (SELECT *, 1 - {_E2} * power(sin(radians(lat)), 2) AS w FROM (
+    SELECT s_suppkey AS query_id, -71.5e0 + (s_suppkey % 40) * 0.0012e0 + 0.0004e0 AS lon, 43.0e0 + (s_suppkey // 3 % 50) * 0.0008e0 + 0.0003e0 AS lat FROM supplier)))
+WHERE m <= 400"""))
+def nearby_wgs84(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = Sp.nearby(fx.stored_parcels(spark, sf_dir), _points(spark, sf_dir), 400.0, earth="wgs84")
+    return found.select("query_id", "property_id", F.round("distance_meters", 3).alias("metres"))
+
+
 # One query point per supplier, somewhere on the lot grid.
 _POINT_LON = "-71.5e0 + (s_suppkey % 40) * 0.0012e0 + 0.0004e0"
 _POINT_LAT = "43.0e0 + (s_suppkey {div} 3 % 50) * 0.0008e0 + 0.0003e0"
@@ -249,6 +276,12 @@ FROM results WHERE has_comps {"" if profile == "service" else "AND property_type
         ranked = Gp.rank_gaps(run(spark, sf_dir, profile).results, profile)
         return ranked.select("listing_id", "property_type", "rank")
 
+    @query(f"place_gaps_{profile}", sql(f"""
+SELECT listing_id, property_type, row_number() OVER (PARTITION BY property_type ORDER BY gap DESC NULLS LAST, listing_id) AS place
+FROM results WHERE has_comps {"" if profile == "service" else "AND property_type IN ('Single Family', 'Land')"}""", profile))
+    def places(spark: SparkSession, sf_dir: str) -> DataFrame:
+        return Gp.place_gaps(run(spark, sf_dir, profile).results, profile).select("listing_id", "property_type", "place")
+
     @query(f"report_frame_{profile}", sql("""
 SELECT r.listing_id, CASE WHEN has_comps THEN NULL ELSE 'no_comps' END AS error, round(gap_pct, 6) AS gap_pct,
        count(c.property_id) AS candidates, count(u.property_id) AS used, round(coalesce(sum(c.assessed_value), 0), 2) AS total_value
@@ -348,7 +381,11 @@ def rank_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query("write_ranked_csv", sql("""
-SELECT address_line_1 AS address, property_type, round(gap, 3) AS gap, comp_count, year_built, CAST(NULL AS DOUBLE) AS recent_sale_price
+SELECT row_number() OVER (ORDER BY property_type = 'Single Family', gap DESC NULLS LAST, listing_id) AS place,
+       address_line_1 AS address, property_type, year_built, round(target_assessed_value, 2) AS target_assessed_value,
+       CAST(NULL AS DOUBLE) AS recent_sale_price, round(price, 2) AS price, round(comp_median, 3) AS comp_median, comp_count,
+       round(comp_min, 2) AS comp_min, round(comp_max, 2) AS comp_max, round(gap, 3) AS gap, round(gap_pct, 5) AS gap_pct,
+       round(relative_gap_pct, 5) AS relative_gap_pct
 FROM results WHERE has_comps AND property_type IN ('Single Family', 'Land')""", "batch"))
 def ranked_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = fx.scratch(spark)
@@ -356,10 +393,12 @@ def ranked_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     Wr.write_ranked_csv(results, folder)
     schema = ", ".join(f"{n} {'string' if n in ('address', 'property_type') else 'double'}" for n in Wr.RANKED_COLUMNS)
     back = spark.read.option("header", True).schema(schema).csv(folder)
-    return back.select(
-        "address", "property_type", F.round("gap", 3).alias("gap"), F.col("comp_count").cast("int").alias("comp_count"),
-        F.col("year_built").cast("int").alias("year_built"), "recent_sale_price",
-    )
+    # Files follow each other by name, lines by their place in the file; the report is small enough for one window.
+    lines = back.withColumns({"_file": F.col("_metadata.file_name"), "_start": F.col("_metadata.file_block_start"), "_line": F.monotonically_increasing_id()})
+    place = F.row_number().over(Window.orderBy("_file", "_start", "_line")).cast("bigint").alias("place")
+    cents = {n: F.round(n, d).alias(n) for d, names in ((2, ("target_assessed_value", "price", "comp_min", "comp_max")), (3, ("comp_median", "gap")), (5, ("gap_pct", "relative_gap_pct"))) for n in names}
+    whole = {n: F.col(n).cast("int").alias(n) for n in ("comp_count", "year_built")}
+    return lines.select(place, *[(cents | whole).get(n, F.col(n)) for n in Wr.RANKED_COLUMNS])
 
 
 @query("recompute_summary", sql("""

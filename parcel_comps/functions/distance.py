@@ -17,7 +17,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from parcel_comps import fixed_values as fixed
+from parcel_comps.functions.geodesy import scale_at
 from parcel_comps.functions.geometry import contains_point, nearest_side
 from parcel_comps.functions.scalars import ColumnOrName, col
 
@@ -165,16 +165,14 @@ def _measure_both(a: pa.Array, b: pa.Array, sx: pa.Array, sy: pa.Array, near: pa
 _both_udf = _measure_both.asNondeterministic()
 
 
-def boundary_distances(a: ColumnOrName, b: ColumnOrName, ref_lat: ColumnOrName, near: Column) -> Column:
+def boundary_distances(a: ColumnOrName, b: ColumnOrName, ref_lat: ColumnOrName, near: Column, earth: str = "flat") -> Column:
     """Struct of ``metres`` and, where ``near`` holds, ``degrees``: both from one pass over the batch."""
-    east = F.cos(F.radians(col(ref_lat))) * fixed.METRES_PER_DEGREE
-    return _both_udf(col(a), col(b), east, F.lit(fixed.METRES_PER_DEGREE), near)
+    return _both_udf(col(a), col(b), *scale_at(ref_lat, earth), near)
 
 
-def boundary_distance_m(a: ColumnOrName, b: ColumnOrName, ref_lat: ColumnOrName) -> Column:
-    """Metres between two polygons, 0 where they meet, scaled at ``ref_lat``."""
-    east = F.cos(F.radians(col(ref_lat))) * fixed.METRES_PER_DEGREE
-    return _distance_udf(col(a), col(b), east, F.lit(fixed.METRES_PER_DEGREE))
+def boundary_distance_m(a: ColumnOrName, b: ColumnOrName, ref_lat: ColumnOrName, earth: str = "flat") -> Column:
+    """Metres between two polygons, 0 where they meet, scaled at ``ref_lat`` (``geodesy.scale_at``)."""
+    return _distance_udf(col(a), col(b), *scale_at(ref_lat, earth))
 
 
 def boundary_distance_deg(a: ColumnOrName, b: ColumnOrName) -> Column:
@@ -182,10 +180,9 @@ def boundary_distance_deg(a: ColumnOrName, b: ColumnOrName) -> Column:
     return _distance_udf(col(a), col(b), F.lit(1.0), F.lit(1.0))
 
 
-def point_distance_m(g: ColumnOrName, lat: ColumnOrName, lon: ColumnOrName) -> Column:
+def point_distance_m(g: ColumnOrName, lat: ColumnOrName, lon: ColumnOrName, earth: str = "flat") -> Column:
     """Metres from a point to a polygon, 0 inside it; NULL without sides to measure. No Python."""
-    east = F.cos(F.radians(col(lat))) * fixed.METRES_PER_DEGREE
-    gap = nearest_side(g, lon, lat, east, F.lit(fixed.METRES_PER_DEGREE))
+    gap = nearest_side(g, lon, lat, *scale_at(lat, earth))
     return F.when(contains_point(g, lon, lat), F.lit(0.0)).otherwise(gap)
 
 

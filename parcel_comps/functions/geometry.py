@@ -117,7 +117,7 @@ def vertices(g: ColumnOrName) -> Column:
     return F.flatten(F.flatten(col(g)))
 
 
-def _sum(values: Column) -> Column:
+def sum_of(values: Column) -> Column:
     return F.aggregate(values, F.lit(0.0), lambda acc, v: acc + v)
 
 
@@ -168,15 +168,15 @@ def _sides(ring: Column) -> tuple[Column, Column]:
     return F.slice(ring, 1, n), F.slice(ring, 2, n)
 
 
-def _ring_area(ring: Column) -> Column:
-    """Unsigned area of a ring in square degrees."""
+def ring_area(ring: Column) -> Column:
+    """Unsigned area of a ring in squares of its unit (degrees)."""
     origin = F.get(ring, F.lit(0))
     crosses = F.zip_with(
         *_sides(ring),
         lambda p, q: (p["x"] - origin["x"]) * (q["y"] - origin["y"])
         - (q["x"] - origin["x"]) * (p["y"] - origin["y"]),
     )
-    return F.abs(_sum(crosses)) / 2.0
+    return F.abs(sum_of(crosses)) / 2.0
 
 
 def area_acres(g: ColumnOrName, subtract_holes: bool = False) -> Column:
@@ -188,14 +188,14 @@ def area_acres(g: ColumnOrName, subtract_holes: bool = False) -> Column:
 
     def part_area(part: Column) -> Column:
         outer = F.get(part, F.lit(0))
-        degrees = _ring_area(outer)
+        degrees = ring_area(outer)
         if subtract_holes:
             holes = F.slice(part, 2, F.greatest(F.size(part) - 1, F.lit(0)))
-            degrees = degrees - _sum(F.transform(holes, _ring_area))
+            degrees = degrees - sum_of(F.transform(holes, ring_area))
         east = F.cos(F.radians(_mean_of(outer, "y")))
         return F.coalesce(degrees * east * scale, F.lit(0.0))
 
-    return _sum(F.transform(col(g), part_area)) / F.lit(fixed.SQM_PER_ACRE)
+    return sum_of(F.transform(col(g), part_area)) / F.lit(fixed.SQM_PER_ACRE)
 
 
 def _moments(ring: Column, sign: Column) -> Column:

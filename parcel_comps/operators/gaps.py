@@ -10,7 +10,7 @@ from pyspark.sql import window as W
 
 from parcel_comps import fixed_values as fixed
 from parcel_comps.functions import scalars as S
-from parcel_comps.operators.skew import group_median, skew_join, value_ranks
+from parcel_comps.operators.skew import group_median, row_numbers, skew_join, value_ranks
 from parcel_comps.profiles import Profile, get_profile
 
 
@@ -118,6 +118,15 @@ def rank_gaps(results: DataFrame, profile: str | Profile = "service") -> DataFra
     return skew_join(ranked, ranks, ["property_type", "_gap"], ["listing_id"], null_safe=True).drop("_gap")
 
 
+def place_gaps(results: DataFrame, profile: str | Profile = "service") -> DataFrame:
+    """Results with comps and their ``place`` per property type: largest gap first, ties by listing id, missing gaps last."""
+    p = get_profile(profile)
+    ranked = results.where("has_comps")
+    if p.eligible_listings_only:
+        ranked = ranked.where(F.col("property_type").isin(fixed.LISTING_TYPES))
+    return row_numbers(ranked, "property_type", [F.col("gap").desc_nulls_last(), F.col("listing_id").asc_nulls_last()], "place")
+
+
 def without_comps(results: DataFrame) -> DataFrame:
     """The unranked rest: results with no usable comps."""
     return results.where(~F.col("has_comps"))

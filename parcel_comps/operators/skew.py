@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import window as W
 
+from parcel_comps.plans.checkpoints import materialize
+
 # Rows of one key a single task should take before the key is split.
 HOT_ROWS = 1_000_000
 # A key is hot only above this share of all rows, so a list of hot keys never has more
@@ -107,6 +109,24 @@ def value_ranks(df: DataFrame, group: str, value: str) -> DataFrame:
     )
 
 
+def row_numbers(df: DataFrame, group: str, order: list[Column], name: str = "row") -> DataFrame:
+    """``df`` with its rows numbered from 1 in each group, in the order given, which must be total.
+
+    Rows are range-partitioned by group and order, and stored, so that all further steps see the same partitions; each
+    is numbered by itself, on top of the rows of its group in the partitions before it. A group of any size spreads over many tasks.
+    """
+    keys = [F.col(group).asc_nulls_first(), *order]
+    placed = materialize(df.repartitionByRange(*keys).withColumn("_part", F.spark_partition_id()))
+    counts = placed.groupBy(group, "_part").agg(F.count(F.lit(1)).alias("_n"))
+    # a row for each group and partition
+    earlier = W.Window.partitionBy(group).orderBy("_part").rowsBetween(W.Window.unboundedPreceding, -1)
+    before = counts.select(F.col(group).alias("_g"), F.col("_part").alias("_p"), F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    inside = W.Window.partitionBy("_part", group).orderBy(*order)
+    numbered = placed.withColumn("_at", F.row_number().over(inside))
+    joined = numbered.join(before, F.col(group).eqNullSafe(F.col("_g")) & (F.col("_part") == F.col("_p")))
+    return joined.select(*df.columns, (F.col("_before") + F.col("_at")).alias(name))
+
+
 def group_median(df: DataFrame, group: str, value: str, name: str = "median") -> DataFrame:
     """Exact median per group (mean of the two middle values), for groups of any size."""
     ranks = value_ranks(df, group, value)

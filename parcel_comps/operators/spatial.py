@@ -13,6 +13,7 @@ from parcel_comps.functions.distance import (
     boundary_distances,
     point_distance_m,
 )
+from parcel_comps.functions.geodesy import FLAT_EXCESS, area_acres_wgs84
 from parcel_comps.functions.geometry import (
     area_acres,
     bounding_box,
@@ -49,6 +50,8 @@ INDEX_COLUMNS = {
     "center": lambda g: centroid(g),
     "gross_acres": lambda g: area_acres(g),
     "net_acres": lambda g: area_acres(g, subtract_holes=True),
+    "gross_acres_wgs84": lambda g: area_acres_wgs84(g),
+    "net_acres_wgs84": lambda g: area_acres_wgs84(g, subtract_holes=True),
     "parts": lambda g: part_count(g),
     "holes": lambda g: hole_count(g),
     "marker": lambda g: first_ring_mean(g),
@@ -99,9 +102,10 @@ def _near(parcels: Parcels, search: DataFrame, box: str) -> Parcels:
 
 def _indexed(parcels: Parcels, profile: Profile) -> DataFrame:
     """Indexed parcels with the profile's ``computed_acres`` and ``street``."""
+    kind, on = "net" if profile.net_of_holes else "gross", "_wgs84" if profile.earth == "wgs84" else ""
     return attributes_of(parcels).withColumns(
         {
-            "computed_acres": F.col("net_acres" if profile.net_of_holes else "gross_acres"),
+            "computed_acres": F.col(f"{kind}_acres{on}"),
             "street": F.col("street_unicode" if profile.unicode_words else "street_ascii"),
         }
     )
@@ -273,7 +277,9 @@ def candidate_pairs(
     """
     p = get_profile(profile)
     touch_m = p.touch_tol if p.touch_unit == "metres" else p.touch_tol * fixed.METRES_PER_DEGREE
-    reach = max(far_m, touch_m)
+    # Boxes are compared on the flat earth, which may show a little more than the ellipsoid's metres.
+    excess = FLAT_EXCESS if p.earth == "wgs84" else 1.0
+    reach = max(far_m, touch_m) * excess
     center = F.col("t_center")
     search = grid.widen(F.col("t_box"), reach, center["lat"])
     if p.shape_screen and not keep_rejected:
@@ -307,7 +313,7 @@ def candidate_pairs(
         similar = S.lot_size_similar("t_acres", "acres", tol)
         if p.skip_size_for_land:
             similar = similar | F.col("is_land")
-        keep = keep & similar & (same_street | (gap <= max(close_m, touch_m)))
+        keep = keep & similar & (same_street | (gap <= max(close_m, touch_m) * excess))
     pairs = grid.box_join(
         targets, neighbours, "_search", "box", "target_id", "property_id", condition=keep
     )
@@ -332,14 +338,14 @@ def candidate_pairs(
         pairs = pairs.withColumn("too_far", F.lit(False))
     if p.touch_unit == "metres":
         pairs = pairs.withColumn(
-            "distance_m", boundary_distance_m("t_geometry", "geometry", center["lat"])
+            "distance_m", boundary_distance_m("t_geometry", "geometry", center["lat"], p.earth)
         )
         touch = F.col("distance_m") <= p.touch_tol
     else:
         # Boxes further apart than the tolerance need no measurement in degrees.
         close = grid.box_gap_deg(F.col("t_box"), F.col("box")) <= p.touch_tol
         pairs = pairs.withColumn(
-            "_d", boundary_distances("t_geometry", "geometry", center["lat"], close)
+            "_d", boundary_distances("t_geometry", "geometry", center["lat"], close, p.earth)
         ).withColumn("distance_m", F.col("_d.metres"))
         touch = F.coalesce(F.col("_d.degrees") <= p.touch_tol, F.lit(False))
     return (
@@ -449,6 +455,7 @@ def nearby(
     radius_m: float | None = None,
     types: list[str] | None = None,
     max_radius_m: float = fixed.MAX_NEARBY_M,
+    earth: str = "flat",
 ) -> DataFrame:
     """Parcels within a radius of each point (``query_id``, ``lat``, ``lon``), nearest first.
 
@@ -459,14 +466,15 @@ def nearby(
     radius = radius_m if radius_m is not None and radius_m > 0 else fixed.DEFAULT_NEARBY_M
     radius = min(float(radius), max_radius_m)
     lat, lon = F.col("lat"), F.col("lon")
+    reach = radius * FLAT_EXCESS if earth == "wgs84" else radius
     search = points.where("lat is not null and lon is not null").withColumn(
-        "_search", grid.widen(grid.point_box(lon, lat), radius, lat)
+        "_search", grid.widen(grid.point_box(lon, lat), reach, lat)
     ).withColumn("_east", grid.metres_east(lat)).withColumn("_point", grid.point_box(lon, lat))
     parcels = _near(parcels, search, "_search")
     indexed = attributes_of(parcels)
     if types:
         indexed = indexed.where(F.col("property_type").isin(types))
-    within = grid.box_gap_m(F.col("_point"), F.col("box"), F.col("_east")) <= radius
+    within = grid.box_gap_m(F.col("_point"), F.col("box"), F.col("_east")) <= reach
     pairs = grid.box_join(
         search,
         indexed.where("box is not null"),
@@ -475,11 +483,11 @@ def nearby(
         "query_id",
         "property_id",
         condition=within,
-        cell_deg=max(grid.CELL_DEG, 2 * radius / fixed.METRES_PER_DEGREE),
+        cell_deg=max(grid.CELL_DEG, 2 * reach / fixed.METRES_PER_DEGREE),
     )
     return (
         with_shape(pairs, shapes_of(parcels), "shape_id", "geometry")
-        .withColumn("distance_meters", point_distance_m("geometry", "lat", "lon"))
+        .withColumn("distance_meters", point_distance_m("geometry", "lat", "lon", earth))
         .where(F.col("distance_meters") <= radius)
         .drop("_search", "_east", "_point")
         .withColumn("radius_used_m", F.lit(radius))

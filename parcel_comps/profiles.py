@@ -40,6 +40,8 @@ class Profile:
     unicode_words: bool
     # compute_gap re-checks lot size on acres rounded to two decimals.
     recheck_size: bool
+    # "flat": one length of a degree everywhere; "wgs84": lot sizes and distances on the ellipsoid.
+    earth: str = "flat"
 
 
 SERVICE = Profile(
