@@ -17,6 +17,7 @@ from parcel_comps.operators import lookup as L
 from parcel_comps.operators import spatial as Sp
 from parcel_comps.operators.linkage import merge_reasons
 from parcel_comps.operators.normalize import fill_schema
+from parcel_comps.plans import incremental as Ic
 from parcel_comps.plans import recompute as Rc
 from parcel_comps.plans import reports as Rp
 from parcel_comps.sources import writers as Wr
@@ -413,6 +414,19 @@ def gap_for_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("listing_id", "target_id", F.round("gap", 4).alias("gap"), "comp_count")
 
 
+# An older snapshot: some parcels are missing, some worth less; some listings are missing, some dearer.
+@query("recompute_changes", sql("""
+SELECT listing_id, target_id, has_comps, comp_count, round(gap, 4) AS gap, round(relative_gap_pct, 6) AS relative_gap_pct FROM results"""))
+def recompute_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    parcels, listings = fx.stored_parcels(spark, sf_dir), fx.stored_listings(spark, sf_dir)
+    h, g = F.pmod(F.xxhash64("property_id"), F.lit(500)), F.pmod(F.xxhash64("listing_id"), F.lit(300))
+    old_parcels = parcels.where(h != 0).withColumn("assessed_value", F.when(h == 1, F.col("assessed_value") / 2).otherwise(F.col("assessed_value")))
+    old_listings = listings.where(g != 0).withColumn("price", F.when(g == 1, F.col("price") + 1000).otherwise(F.col("price")))
+    stored = Rc.materialize(Rc.run_gaps(old_listings, old_parcels).results)
+    out = Ic.recompute_changes(stored, old_listings, listings, old_parcels, parcels).results
+    return out.select("listing_id", "target_id", "has_comps", "comp_count", F.round("gap", 4).alias("gap"), r6("relative_gap_pct").alias("relative_gap_pct"))
+
+
 # --- the same searches over the table stored by place ---------------------------------------------
 
 

@@ -160,6 +160,11 @@ def _points(listings: DataFrame, *columns: str) -> DataFrame:
     )
 
 
+def point_boxes(listings: DataFrame, profile: Profile, *columns: str) -> DataFrame:
+    """``columns`` and ``_point_box``: the listing's point, as wide as the profile's tolerance."""
+    return _with_point_box(_points(listings, *columns), profile).drop("_lon", "_lat")
+
+
 def containing_parcels(
     listings: DataFrame, parcels: Parcels, profile: str | Profile = "service"
 ) -> DataFrame:

@@ -29,6 +29,12 @@ class GapRun:
     shapes: DataFrame
 
 
+def named_listings(listings: DataFrame) -> DataFrame:
+    """Listings without id under their first address line."""
+    named = F.coalesce(empty_to_null(F.col("listing_id").cast("string")), F.col("address_line_1"))
+    return listings.withColumn("listing_id", named.cast(listings.schema["listing_id"].dataType))
+
+
 def run_gaps(
     listings: DataFrame,
     parcels: Parcels,
@@ -44,9 +50,7 @@ def run_gaps(
     targets, hot keys, medians, reports), so all are materialised. A listing without id
     goes by its first address line.
     """
-    named = F.coalesce(empty_to_null(F.col("listing_id").cast("string")), F.col("address_line_1"))
-    listings = listings.withColumn("listing_id", named.cast(listings.schema["listing_id"].dataType))
-    resolved = materialize(resolve_parcel(listings, parcels, profile))
+    resolved = materialize(resolve_parcel(named_listings(listings), parcels, profile))
     targets = target_parcels(resolved, parcels, profile)
     comps = materialize(find_comps(targets, parcels, profile, close_m, far_m, tol, keep_rejected))
     kept = comps.where("reject_reason is null") if keep_rejected else comps
