@@ -21,6 +21,7 @@ from parcel_comps.operators import store as P
 from parcel_comps.operators.spatial import eligible_listings
 from parcel_comps.plans.ingest import ingest_listings, ingest_parcels, link_features, normalize_parcels
 from parcel_comps.plans.versions import VersionedTable
+from parcel_comps.sources import collections as Rl
 from parcel_comps.sources import readers as R
 from parcel_comps.sources import writers as Wr
 
@@ -386,9 +387,8 @@ def extract_assessment(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- files ------------------------------------------------------------------------------------------
 
 
-@query("read_features", fx.with_frames("""
-SELECT k, k % 500 AS pos, n_name AS town, 'MultiPolygon' AS kind FROM lots"""))
-def read_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _feature_pages(spark: SparkSession, sf_dir: str) -> list[str]:
+    """Files of FeatureCollections."""
     rows = fx.lots(spark, sf_dir).select(
         "k", F.expr("k div 500").alias("page"),
         _doc(to_multipolygon(fx.rectangle("x0", "y0", "x1", "y1")), F.struct("k", "n_name")).alias("feature"),
@@ -400,8 +400,10 @@ def read_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = fx.scratch(spark)
     docs.select("page", text.alias("value")).write.partitionBy("page").text(folder)
     files = [f"{folder}/page={r.page}" for r in spark.read.text(folder).select("page").distinct().collect()]
-    found = [f for d in files for f in R.expand_paths(spark, d, [".txt"])]
-    features = R.read_features(spark, found)
+    return [f for d in files for f in R.expand_paths(spark, d, [".txt"])]
+
+
+def _feature_rows(features: DataFrame) -> DataFrame:
     props = F.from_json("properties", "k bigint, n_name string")
     return features.select(
         props["k"].alias("k"), F.col("_pos").alias("pos"), props["n_name"].alias("town"),
@@ -409,6 +411,20 @@ def read_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+_FEATURE_SQL = fx.with_frames("""
+SELECT k, k % 500 AS pos, n_name AS town, 'MultiPolygon' AS kind FROM lots""")
+
+
+@query("read_features", _FEATURE_SQL)
+def read_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _feature_rows(R.read_features(spark, _feature_pages(spark, sf_dir)))
+
+
+@query("read_large_features", _FEATURE_SQL)
+def read_large_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _feature_rows(Rl.read_large_features(spark, _feature_pages(spark, sf_dir)))
+
+
 @query("write_features", fx.with_frames("""
 SELECT property_id, municipality, assessed_value, lower(municipality) AS town, round(x0, 6) AS x FROM parcels"""))
 def write_features(spark: SparkSession, sf_dir: str) -> DataFrame:
