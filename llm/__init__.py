@@ -7,5 +7,5 @@ import sys
 
 from pyspark import cloudpickle
 
-# Executors get these modules with the tasks, so they need no installed copy.
+# Executors get these modules with the tasks and with what ``common.Sent`` carries, so they need no installed copy.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])

@@ -6,6 +6,7 @@ import re
 import tempfile
 import uuid
 from collections.abc import Iterator
+from dataclasses import dataclass
 from typing import Any
 
 import numpy as np
@@ -89,11 +90,18 @@ def stored(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+@dataclass(frozen=True)
+class Packed:
+    """A value that was pickled on an executor; the driver passes it on without unpacking it."""
+
+    data: bytes
+
+
 class Sent:
     """A value that executors get once. It is pickled with the code of its class, so they need no copy of this package."""
 
     def __init__(self, spark: SparkSession, value: Any):
-        self._packed = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+        self._packed = spark.sparkContext.broadcast(value.data if isinstance(value, Packed) else cloudpickle.dumps(value))
 
     def __getstate__(self) -> dict[str, Any]:
         return {"_packed": self._packed}

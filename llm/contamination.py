@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import BYTE_VALUES, blocks, class_spans, prefix_hash, span_hash, text_buffer
+from .common import BYTE_VALUES, Sent, blocks, class_spans, prefix_hash, span_hash, text_buffer
 
 BLOCKS = 8
 RADIUS = 24
@@ -147,7 +147,7 @@ def _marks(rows: DataFrame, items: list[tuple[int, str | None]], n: int, similar
     """``rows`` (``_kept``, ``_text``, ``matches``) with the matches of these items added."""
     index = build_index(items, n)
     every = np.unique(np.concatenate([s.known for s in index])) if index else np.zeros(0, np.uint64)
-    sent = rows.sparkSession.sparkContext.broadcast((index, every))
+    sent = Sent(rows.sparkSession, (index, every))
     fields = pa.list_(pa.struct([("item_id", pa.int64()), ("start", pa.int64()), ("similarity", pa.float64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

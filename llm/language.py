@@ -20,6 +20,8 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .common import Sent
+
 LETTERS = regex.compile(r"\p{L}[\p{L}\p{M}]*")
 LONGEST = 5
 DISCOUNT = 0.4
@@ -140,7 +142,7 @@ def predict_language(documents: DataFrame, model: Model, *, text_col: str = "tex
     """``id_col``, ``extra``, ``lang_pred`` and ``score`` (the winner's share, 0 to 1) for every row."""
     kept = [id_col, *(c for c in extra or [] if c != id_col)]
     rows = documents.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("_kept"), F.col(text_col).alias("_text"))
-    sent = documents.sparkSession.sparkContext.broadcast(model)
+    sent = Sent(documents.sparkSession, model)
     schema = rows.select("_kept").schema.add("lang_pred", "string").add("score", "double")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

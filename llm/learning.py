@@ -7,14 +7,15 @@ from typing import Any
 
 import numpy as np
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import blocks, text_buffer
+from .common import Packed, Sent, blocks, text_buffer
 
 
-def training_sample(documents: DataFrame, labels: DataFrame, label: str, learn: Column, per_class: int, id_col: str, text_col: str) -> list[tuple[str, int]]:
-    """Texts and labels of at most ``per_class`` rows of each label, taken in the order of a hash of the id.
+def training_sample(documents: DataFrame, labels: DataFrame, label: str, learn: Column, per_class: int, id_col: str, text_col: str) -> DataFrame:
+    """``_id``, ``_y``, ``_text`` of at most ``per_class`` rows of each label, taken in the order of a hash of the id.
 
     ``learn`` selects the rows that may be learnt from, by ``labels`` columns alone. Rows whose label is neither
     0 nor 1 do not count, and an id labelled twice counts once, with the larger label.
@@ -31,8 +32,21 @@ def training_sample(documents: DataFrame, labels: DataFrame, label: str, learn:
     # at most 2 * per_class rows of two numbers: a proven bound
     few = F.broadcast(picked[0].unionAll(picked[1]))
     rows = documents.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text")).join(few, "_id")
-    found = rows.groupBy("_id").agg(F.first("_y").alias("_y"), F.max("_text").alias("_text")).orderBy("_id").toArrow()
-    return list(zip((t or "" for t in found["_text"].to_pylist()), found["_y"].to_pylist(), strict=True))
+    return rows.groupBy("_id").agg(F.first("_y").alias("_y"), F.max("_text").alias("_text"))
+
+
+def trained(sample: DataFrame, train: Callable[[list[str], list[int]], Any]) -> Packed:
+    """The model of a bounded ``training_sample``, trained in one task, so that no text reaches the driver."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = sorted((r for batch in batches for r in zip(*(batch[c].to_pylist() for c in ("_id", "_y", "_text")), strict=True)), key=lambda r: r[0])
+        model = train([r[2] or "" for r in rows], [r[1] for r in rows])
+        yield pa.RecordBatch.from_arrays([pa.array([cloudpickle.dumps(model)], pa.binary())], names=["model"])
+
+    # a lost executor repeats the task; sorting makes the model the same
+    found = sample.repartition(1).mapInArrow(run, "model binary").first()
+    # without labelled rows no task has anything to train on
+    return Packed(bytes(found["model"]) if found else cloudpickle.dumps(train([], [])))
 
 
 class Adam:
@@ -85,7 +99,7 @@ def score_table(documents: DataFrame, id_col: str, text_col: str, model: Any, sc
     """
     kept = [id_col, *(c for c in extra or [] if c != id_col)]
     rows = documents.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("_kept"), F.col(text_col).alias("_text"))
-    sent = documents.sparkSession.sparkContext.broadcast(model)
+    sent = Sent(documents.sparkSession, model)
     schema = rows.select("_kept").schema.add("score", "double")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

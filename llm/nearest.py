@@ -1,7 +1,7 @@
 """Approximate nearest neighbours by inner product: probed lists with an adaptive dimension scan.
 
 Vectors are dealt to the list of their nearest centroid (k-means on a bounded sample; every row is indexed). A query
-probes the lists whose centroids promise most. In each list, vectors are rotated at random and compared block by block
+probes the lists whose centroids promise most, and further ones until these hold ``k`` candidates. In each list, vectors are rotated at random and compared block by block
 of columns: after each block a hypothesis test asks whether a vector with this partial product could still reach the
 k-th best found, and abandons it if not. What remains is scored exactly, in double precision, on the original vectors.
 
@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import stored
+from .common import Sent, stored
 
 LIST_ROWS = 500
 BLOCK_ROWS = 4096
@@ -42,6 +42,8 @@ class Index:
     centroids: np.ndarray
     probes: int
     rows: int
+    #: Rows of each list; set once all rows are dealt.
+    sizes: np.ndarray | None = None
 
 
 def _matrix(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
@@ -113,6 +115,26 @@ def scan(x: np.ndarray, ids: np.ndarray, rotated: np.ndarray, norms: np.ndarray,
     return ids[alive][order], exact[order]
 
 
+def _chunks(centroids: np.ndarray, homes: dict[int, int]) -> list[tuple[int, int, int]]:
+    """For each first list of some query: its chunk and over how many chunks its queries spread.
+
+    Lists follow each other along the direction in which centroids vary most.
+    """
+    away = centroids - centroids.mean(axis=0)
+    line = away @ np.linalg.svd(away, full_matrices=False)[2][0]
+    out, at, filled = [], 0, 0
+    for home in sorted(homes, key=lambda h: line[h]):
+        n = homes[home]
+        parts = -(-n // CHUNK_QUERIES)
+        if filled and filled + n > CHUNK_QUERIES:
+            at, filled = at + 1, 0
+        out.append((home, at, parts))
+        filled += n
+        if parts > 1:
+            at, filled = at + parts, 0
+    return out
+
+
 def search(vectors: DataFrame, is_query: str, k: int = 20, *, id_col: str = "vec_id", vector_col: str = "embedding") -> DataFrame:
     """``query_id``, ``rank``, ``id_col`` and ``score`` of the ``k`` nearest found for each row where ``is_query`` (SQL) holds."""
     spark = vectors.sparkSession
@@ -121,36 +143,54 @@ def search(vectors: DataFrame, is_query: str, k: int = 20, *, id_col: str = "vec
     index = fit(rows, k)
     if index is None:
         return spark.createDataFrame([], f"query_id long, rank int, {id_col} long, score double")
-    sent = spark.sparkContext.broadcast(index)
+    sent = Sent(spark, index)
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             own = nearest_centroid(_matrix(batch["v"]), sent.value.centroids) if len(batch) else np.zeros(0, np.int64)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(own.astype(np.int32))], names=["id", "v", "list"])
 
+    dealt = stored(rows.mapInArrow(assign, "id long, v array<double>, list int"))
+    # one row for each list: at most ``most_lists``
+    sizes = dealt.groupBy("list").agg(F.count(F.lit(1)).alias("n"), F.ceil(F.count(F.lit(1)) / BLOCK_ROWS).cast("int").alias("blocks"))
+    counted = {r["list"]: r["n"] for r in sizes.collect()}
+    index.sizes = np.array([counted.get(i, 0) for i in range(len(index.centroids))])
+    full = Sent(spark, index)
+
     def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if len(batch):
-                order = np.argsort(-(_matrix(batch["v"]) @ sent.value.centroids.T), axis=1)[:, : sent.value.probes]
-                every = batch.take(pa.array(np.repeat(np.arange(len(batch)), order.shape[1])))
-                places = np.tile(np.arange(order.shape[1], dtype=np.int32), len(batch))
-                yield pa.RecordBatch.from_arrays([*every.columns, pa.array(order.ravel().astype(np.int32)), pa.array(places)], names=["id", "v", "list", "order"])
-
-    asked = rows.where(F.expr(is_query.replace(id_col, "id"))).groupBy("id").agg(F.min("v").alias("v"))
-    dealt = stored(rows.mapInArrow(assign, "id long, v array<double>, list int"))
-    probes = stored(asked.mapInArrow(probe, "id long, v array<double>, list int, order int"))
-    # one row for each list: at most ``most_lists``
-    sizes = dealt.groupBy("list").agg(F.ceil(F.count(F.lit(1)) / BLOCK_ROWS).cast("int").alias("blocks"))
+                here = full.value
+                order = np.argsort(-(_matrix(batch["v"]) @ here.centroids.T), axis=1)
+                # on until there are k candidates besides the query's own rows
+                reached = np.cumsum(here.sizes[order], axis=1) >= k + batch["copies"].to_numpy()[:, None]
+                depth = np.where(reached.any(axis=1), reached.argmax(axis=1) + 1, order.shape[1])
+                depth = np.minimum(np.maximum(depth, here.probes), order.shape[1])
+                row = np.repeat(np.arange(len(batch)), depth)
+                place = np.arange(len(row)) - np.repeat(np.cumsum(depth) - depth, depth)
+                yield pa.RecordBatch.from_arrays(
+                    [batch["id"].take(pa.array(row)), pa.array(order[row, place].astype(np.int32)), pa.array(place.astype(np.int32)), pa.array(order[row, 0].astype(np.int32))],
+                    names=["id", "list", "order", "home"],
+                )
+
+    asked = stored(rows.where(F.expr(is_query.replace(id_col, "id"))).groupBy("id").agg(F.min("v").alias("v"), F.count(F.lit(1)).alias("copies")))
+    probes = stored(asked.mapInArrow(probe, "id long, list int, order int, home int"))
     bins = max(1, -(-index.rows // BIN_ROWS))
-    chunks = max(1, -(-probes.select("id").distinct().count() // CHUNK_QUERIES))
+    # queries whose first lists lie near each other share a chunk, so a chunk meets few bins
+    homes = {r["home"]: r["count"] for r in probes.where("order = 0").groupBy("home").count().collect()}
+    chunk_of = spark.createDataFrame(_chunks(index.centroids, homes), "home int, first int, parts int")
     bin_of = F.pmod(F.xxhash64("list", "block"), F.lit(bins)).cast("int").alias("bin")
     left = dealt.join(F.broadcast(sizes), "list").withColumn("block", F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int"))
-    left = left.select(bin_of, F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))).alias("chunk"), "id", "v", "list")
-    right = probes.join(F.broadcast(sizes), "list").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    right = right.select("id", "v", "order", "list", bin_of).distinct().groupBy("id", "bin").agg(
-        F.first("v").alias("v"), F.sort_array(F.collect_list(F.struct("order", "list"))).getField("list").alias("lists")
+    right = probes.join(F.broadcast(chunk_of), "home").join(F.broadcast(sizes), "list").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    chunk = (F.col("first") + F.pmod(F.xxhash64("id"), F.col("parts"))).cast("int").alias("chunk")
+    right = right.select("id", "order", "list", bin_of, chunk).distinct().groupBy("id", "bin", "chunk").agg(
+        F.sort_array(F.collect_list(F.struct("order", "list"))).getField("list").alias("lists")
     )
-    right = right.select("bin", F.pmod(F.xxhash64("id"), F.lit(chunks)).cast("int").alias("chunk"), "id", "v", "lists")
+    right = stored(right)
+    # a vector goes to the chunks that have a query for its list; at most lists x blocks x chunks short rows say which
+    met = right.select(F.col("bin").alias("bin"), F.col("chunk").alias("chunk"), F.explode("lists").alias("list")).distinct()
+    left = left.select(bin_of, "id", "v", "list").join(met, ["bin", "list"]).select("bin", "chunk", "id", "v", "list")
+    right = right.join(asked.select("id", "v"), "id").select("bin", "chunk", "id", "v", "lists")
 
     def compare(here: pa.Table, asking: pa.Table) -> pa.Table:
         out: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []

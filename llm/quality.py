@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 
 from .common import BYTE_VALUES, blocks, class_spans, prefix_hash, span_hash, text_buffer
-from .learning import Adam, best_cut, moved, score_table, sigmoid, training_sample
+from .learning import Adam, best_cut, moved, score_table, sigmoid, trained, training_sample
 
 PASSAGE = 48
 MEASURES = 10
@@ -177,5 +177,5 @@ def score_quality(documents: DataFrame, labels: DataFrame, learn: Column, *, lab
     ``per_class`` bounds the labelled rows of each class that are trained on; ``learn`` says which may be used.
     """
     sample = training_sample(documents, labels, label, learn, per_class, id_col, text_col)
-    model = train([t for t, _ in sample], [y for _, y in sample], cut)
+    model = trained(sample, lambda texts, marks: train(texts, marks, cut))
     return score_table(documents, id_col, text_col, model, score_block, extra)

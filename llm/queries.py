@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from . import contamination, debruijn, language, nearest, overlap, periods, pieces, quality, run_index, templates, toxicity, warc, whitening
 from .common import bounded_batches, fold, table
+from .oracles import ORACLES as ORACLES
 
 #: Where the public tokenizer's model lies; a parameter of the operators.
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
@@ -21,14 +22,14 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's toxicity; learnt from labelled rows outside fold 0 of 5."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     scored = toxicity.score_toxicity(docs, table(spark, sf_dir, "labels"), fold(F.col("_id"), 5) != 0)
-    return scored.select("doc_id", (fold(F.col("doc_id"), 5) == 0).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+    return scored.select("doc_id", F.coalesce(fold(F.col("doc_id"), 5) == 0, F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
 def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's quality; learnt from labelled rows outside fold 2 of 4."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     scored = quality.score_quality(docs, table(spark, sf_dir, "labels"), fold(F.col("_id"), 4) != 2)
-    return scored.select("doc_id", (fold(F.col("doc_id"), 4) == 2).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+    return scored.select("doc_id", F.coalesce(fold(F.col("doc_id"), 4) == 2, F.lit(False)).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
 
 
 def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -76,7 +77,7 @@ def op9_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     model = language.train(docs, fold(F.col("doc_id"), 4) != 2)
     found = language.predict_language(docs.select("doc_id", "text"), model)
-    return found.select("doc_id", (fold(F.col("doc_id"), 4) == 2).alias("held_out"), "lang_pred", "score")
+    return found.select("doc_id", F.coalesce(fold(F.col("doc_id"), 4) == 2, F.lit(False)).alias("held_out"), "lang_pred", "score")
 
 
 def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -127,17 +128,3 @@ QUERIES: dict[str, Query] = {f.__name__: _bounded(f) for f in (
     op1_toxicity, op2_ngram_jaccard, op3_line_dedup, op4_substring_dedup, op5_quality, op6_suffix_array_dedup, op7_decontamination, op8_sentencepiece, op9_language_id,
     op10_nearest_neighbours, op11_whitening, op12_periodic_runs, op13_warc,
 )}
-
-#: SHA-1 is 40 hexadecimal digits: each five of them are four digits of base 32.
-_BASE32 = " || ".join(
-    f"substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((('0x' || substr(sha, {5 * group + 1}, 5))::INT >> {shift}) & 31) + 1, 1)" for group in range(8) for shift in (15, 10, 5, 0)
-)
-OP13_SQL = f"""
-with payload as (select page_id, coalesce(html, '') as html, sha1(coalesce(html, '')) as sha from pages),
-judged as (select *, max(page_id) over (partition by html) as response_id from payload)
-select page_id, strlen(html)::bigint as payload_bytes, {_BASE32} as payload_digest,
-    case when page_id is not distinct from response_id then 'response' else 'revisit' end as record_type,
-    case when page_id is not distinct from response_id then null else response_id end as refers_to
-from judged
-"""
-ORACLES: dict[str, str] = {"op13_warc": OP13_SQL}
