@@ -686,8 +686,19 @@ def save_cache(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- lookups --------------------------------------------------------------------------------------------
 
 
-@query("find_listings", fx.with_frames("""
-SELECT listing_id, listed_date FROM listings WHERE upper(state) = 'NH' AND upper(city) = 'NATION_4' AND upper(property_type) = 'LAND'"""))
+_FIND_SQL = fx.with_frames("""
+SELECT listing_id, listed_date FROM listings WHERE upper(state) = 'NH' AND upper(city) = 'NATION_4' AND upper(property_type) = 'LAND'""")
+
+
+# The same over a table stored with folded keys.
+@query("find_stored_listings", _FIND_SQL)
+def find_stored_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = fx.scratch(spark)
+    L.write_for_lookups(fx.listings(spark, sf_dir), folder, ["state", "city", "property_type"])
+    return L.find_listings(spark.read.parquet(folder), "nh", "nation_4", " ", "land").select("listing_id", "listed_date")
+
+
+@query("find_listings", _FIND_SQL)
 def find_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return L.find_listings(fx.listings(spark, sf_dir), "nh", "nation_4", " ", "land").select("listing_id", "listed_date")
 

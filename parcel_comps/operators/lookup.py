@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from parcel_comps.operators.gaps import top_n_per_type
 
+_FOLDED = "_folded"
 _GAP_COLUMNS = [
     "target_assessed_value", "comp_median", "comp_min", "comp_max", "comp_count", "gap",
     "gap_pct", "relative_gap_pct",
@@ -17,8 +18,27 @@ def _given(value: str | None) -> bool:
     return value is not None and value.strip() != ""
 
 
-def _same(column: str, value: str) -> Column:
-    return F.upper(column) == F.upper(F.lit(value))
+def _same(df: DataFrame, column: str, value: str) -> Column:
+    """Equality whatever the case; by the stored folded key, which scans can skip by, where there is one."""
+    key = f"{column}{_FOLDED}"
+    return (F.col(key) if key in df.columns else F.upper(column)) == F.upper(F.lit(value))
+
+
+def _plain(df: DataFrame) -> DataFrame:
+    return df.drop(*[c for c in df.columns if c.endswith(_FOLDED)])
+
+
+def write_for_lookups(df: DataFrame, path: str, columns: list[str]) -> None:
+    """Store a table with folded keys of ``columns``, sorted by them and with bloom filters over them.
+
+    Look-ups on the stored table compare the keys, so row groups without a value are not read.
+    """
+    keys = [f"{c}{_FOLDED}" for c in columns]
+    folded = df.withColumns({k: F.upper(c) for k, c in zip(keys, columns, strict=True)})
+    writer = folded.repartitionByRange(*keys).sortWithinPartitions(*keys).write
+    for key in keys:
+        writer = writer.option(f"parquet.bloom.filter.enabled#{key}", True)
+    writer.parquet(path)
 
 
 def find_listings(
@@ -29,14 +49,14 @@ def find_listings(
     property_type: str | None = None,
 ) -> DataFrame:
     """Listings of a state, newest first. Blank options are no predicate; zip is exact."""
-    found = listings.where(_same("state", state))
+    found = listings.where(_same(listings, "state", state))
     if _given(city):
-        found = found.where(_same("city", city))
+        found = found.where(_same(found, "city", city))
     if _given(zip_code):
         found = found.where(F.col("zip_code") == zip_code)
     if _given(property_type):
-        found = found.where(_same("property_type", property_type))
-    return found.orderBy(F.col("listed_date").desc_nulls_last())
+        found = found.where(_same(found, "property_type", property_type))
+    return _plain(found).orderBy(F.col("listed_date").desc_nulls_last())
 
 
 def find_listing(listings: DataFrame, listing_id: str) -> DataFrame:
@@ -52,15 +72,15 @@ def find_property_values(
     property_type: str | None = None,
 ) -> DataFrame:
     """Parcel values of a state by id, without the geometry column."""
-    found = parcels.where(_same("state", state))
+    found = parcels.where(_same(parcels, "state", state))
     for column, value in (("municipality", municipality), ("city", city)):
         if _given(value):
-            found = found.where(_same(column, value))
+            found = found.where(_same(found, column, value))
     if _given(zip_code):
         found = found.where(F.col("zip") == zip_code)
     if _given(property_type):
-        found = found.where(_same("property_type", property_type))
-    return found.drop("geometry").orderBy("property_id")
+        found = found.where(_same(found, "property_type", property_type))
+    return _plain(found.drop("geometry")).orderBy("property_id")
 
 
 def distinct_state_city(listings: DataFrame) -> DataFrame:
