@@ -6,7 +6,7 @@ when every two neighbouring pieces, encoded alone, stay those two pieces. So uni
 models add 0 for allowed neighbours and minus infinity for others; both are max-plus products of transfer matrices.
 
 Ordinary texts fall into units that no piece crosses (mostly words), each a product with a single state at either end,
-kept in a bounded cache. Giant texts are cut into chunks anywhere. Each chunk yields the transfer matrix from the states
+kept in a bounded cache; short units of a merge-based model are merged, which gives the one path that is allowed. Giant texts are cut into chunks anywhere. Each chunk yields the transfer matrix from the states
 at its start to those at its end; the matrices of a text are combined in order, the best states are traced back from
 chunk to chunk, and every chunk is then traced on its own.
 
@@ -17,28 +17,56 @@ same score a unigram model gives one with the longest last piece; in a giant tex
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import regex
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType
 from sentencepiece import sentencepiece_model_pb2
 
 from . import anchors
-from .common import stored
+from .common import BYTE_VALUES, blocks, prefix_hash, span_hash, stored, text_buffer
 
 SPACE = "▁"
 #: Key of a state after which any piece may follow: a unit's start, or a character without a piece.
 FREE = -1
+NEVER = float("inf")
+#: Longest unit that is merged pair by pair, which takes a time that grows with its square; longer ones are scanned.
+MERGED_CHARS = 64
 CACHED_UNITS = 120_000
+#: Units of the table by hash, some 30 bytes each.
+CACHED_HASHES = 600_000
 CACHED_PAIRS = 300_000
 State = tuple[int, int]
 Transfer = dict[State, dict[State, float]]
 
 
+class UnitTable:
+    """The ids of units by the hash of their bytes: arrays, so that very many take little memory."""
+
+    def __init__(self) -> None:
+        self.hashes, self.start, self.size, self.flat = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int32)
+
+    def find(self, hashes: np.ndarray) -> np.ndarray:
+        """The place of each hash, or -1."""
+        if not len(self.hashes):
+            return np.full(len(hashes), -1)
+        at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
+        return np.where(self.hashes[at] == hashes, at, -1)
+
+    def add(self, hashes: np.ndarray, packed: list[bytes]) -> None:
+        size = np.array([len(p) // 4 for p in packed], np.int64)
+        start = len(self.flat) + np.cumsum(size) - size
+        self.flat = np.concatenate([self.flat, np.frombuffer(b"".join(packed), np.int32)])
+        order = np.argsort(np.concatenate([self.hashes, hashes]), kind="stable")
+        for name, more in (("hashes", hashes), ("start", start), ("size", size)):
+            setattr(self, name, np.concatenate([getattr(self, name), more])[order])
+
+
 class Pieces:
     """A SentencePiece model of type unigram or BPE without text normalisation, from the bytes of its file."""
 
@@ -58,6 +86,7 @@ class Pieces:
         # to 20 binary places, so that sums are exact and equal in any order
         self.scores = [round(p.score * 2**20) / 2**20 for p in proto.pieces]
         self.vocab = {p.piece: i for i, p in enumerate(proto.pieces) if p.type == 1}
+        self.costs = {p.piece: -s for p, s in zip(proto.pieces, self.scores, strict=True) if p.type == 1}
         self.unknown = next(i for i, p in enumerate(proto.pieces) if p.type == 2)
         self.bytes = [i for i, p in enumerate(proto.pieces) if p.type == 6]
         self.hidden = {i for i, p in enumerate(proto.pieces) if p.type in (2, 3)}
@@ -66,31 +95,42 @@ class Pieces:
         #: What a longer piece may start with.
         self.starts = {p[:i] for p in self.vocab for i in range(1, len(p))}
         chars = {c for p in self.vocab for c in p}
-        self.units = regex.compile(f"{SPACE}*[^{SPACE}\n]+|{SPACE}+|\n" if "\n" not in chars else f"{SPACE}*[^{SPACE}]+|{SPACE}+")
+        self.units = re.compile(f"{SPACE}*[^{SPACE}\n]+|{SPACE}+|\n" if "\n" not in chars else f"{SPACE}*[^{SPACE}]+|{SPACE}+")
+        #: Whether units are spaces and what follows them, and whether a line feed is a unit.
+        self.words, self.lines = True, "\n" not in chars
+        self.table = UnitTable()
         if any(SPACE in p.lstrip(SPACE) for p in self.vocab):
-            self.units = regex.compile(r"(?s).+")
+            self.words = False
+            self.units = re.compile(r"(?s).+")
         self.allowed: dict[tuple[int, int], bool] = {}
         #: Ids of whole units as packed 32-bit numbers, and for unigram models their scores.
         self.cache: dict[str, bytes] = {}
         self.unit_scores: dict[str, float] = {}
+        self._spelling: tuple[np.ndarray, np.ndarray] | None = None
+        self._pairs: tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray] | None = None
 
     def normal(self, text: str) -> str:
         if self.squeeze:
-            text = regex.sub(" +", " ", text).strip(" ")
+            text = re.sub(" +", " ", text).strip(" ")
         return (" " + text if self.prefix and text else text).replace(" ", SPACE)
 
     def merged(self, text: str) -> list[str]:
         """The pieces that merging gives: always the best scored pair, the leftmost of equals."""
-        parts = list(text)
-        while True:
-            best, at = None, -1
-            for i in range(len(parts) - 1):
-                piece = self.vocab.get(parts[i] + parts[i + 1])
-                if piece is not None and (best is None or self.scores[piece] > best):
-                    best, at = self.scores[piece], i
-            if best is None:
-                return parts
+        parts, cost = list(text), self.costs.get
+        # what merging each part with the next one costs
+        pairs = [cost(a + b, NEVER) for a, b in zip(parts, parts[1:], strict=False)]
+        while pairs:
+            best = min(pairs)
+            if best == NEVER:
+                break
+            at = pairs.index(best)
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
+            del pairs[at]
+            if at:
+                pairs[at - 1] = cost(parts[at - 1] + parts[at], NEVER)
+            if at < len(pairs):
+                pairs[at] = cost(parts[at] + parts[at + 1], NEVER)
+        return parts
 
     def may_follow(self, key: int, piece: int) -> bool:
         known = self.allowed.get((key, piece))
@@ -166,7 +206,7 @@ class Pieces:
                 self.cache.clear()
                 self.unit_scores.clear()
             if self.bpe:
-                ids = self.spelled(text, self._only_path(text))
+                ids = self._merged_ids(text) if len(text) <= MERGED_CHARS else self.spelled(text, self._only_path(text))
             else:
                 n = len(text)
                 nodes = self.sweep(text, {(0, FREE): 0.0}, 0, n, n)
@@ -181,6 +221,94 @@ class Pieces:
         self.unit(text)
         return self.unit_scores[text]
 
+    def _merged_ids(self, text: str) -> list[int]:
+        """A short BPE unit's ids by the merges themselves: what the only allowed path spells too."""
+        out: list[int] = []
+        for part in self.merged(text):
+            piece = self.vocab.get(part)
+            if piece is not None:
+                out.append(piece)
+            elif len(self.bytes) == 256:
+                out += [self.bytes[b] for b in part.encode()]
+            else:
+                out.append(self.unknown)
+        return out
+
+    def _pair_table(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Symbol of each character (-1: in no piece), and sorted keys of two symbols with the piece they merge to and its cost.
+
+        A symbol is a piece's id, or a further number for a character that only longer pieces have.
+        """
+        if self._pairs is None:
+            symbol = dict(self.vocab)
+            for c in sorted({c for p in self.vocab for c in p}):
+                symbol.setdefault(c, len(self.names) + len(symbol))
+            of_char = np.full(0x110000, -1, np.int64)
+            for text, s in symbol.items():
+                if len(text) == 1:
+                    of_char[ord(text)] = s
+            rows = []
+            for piece, i in self.vocab.items():
+                for k in range(1, len(piece)):
+                    a, b = symbol.get(piece[:k]), symbol.get(piece[k:])
+                    if a is not None and b is not None:
+                        rows.append((a << 32 | b, i, self.costs[piece]))
+            rows.sort()
+            self._pairs = of_char, np.array([r[0] for r in rows], np.int64), np.array([r[1] for r in rows], np.int64), np.array([r[2] for r in rows], np.float64)
+        return self._pairs
+
+    def merge_many(self, units: list[str]) -> list[bytes]:
+        """Packed ids of short BPE units: each round merges the best pair, the leftmost of equals, of every unit at once."""
+        of_char, keys, made, costs = self._pair_table()
+        if not len(keys):
+            return [np.array(self._merged_ids(u), np.int32).tobytes() for u in units]
+
+        def price(left: np.ndarray, right: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+            key = np.where((left < 0) | (right < 0), -1, left << 32 | right)
+            at = np.minimum(np.searchsorted(keys, key), len(keys) - 1)
+            hit = keys[at] == key
+            return np.where(hit, costs[at], NEVER), made[at]
+
+        symbols = of_char[np.frombuffer("".join(units).encode("utf-32-le"), np.uint32)]
+        unit = np.repeat(np.arange(len(units)), [len(u) for u in units])
+        cost, piece = price(symbols[:-1], symbols[1:])
+        cost, piece = np.append(cost, NEVER), np.append(piece, 0)
+        cost[:-1][unit[1:] != unit[:-1]] = NEVER
+        done: list[tuple[np.ndarray, np.ndarray]] = []
+        while len(unit):
+            starts = np.flatnonzero(np.append(True, unit[1:] != unit[:-1]))
+            best = np.repeat(np.minimum.reduceat(cost, starts), np.diff(np.append(starts, len(unit))))
+            over = best == NEVER
+            if over.any():
+                done.append((unit[over], symbols[over]))
+                going = ~over
+                unit, symbols, cost, piece, best = unit[going], symbols[going], cost[going], piece[going], best[going]
+                if not len(unit):
+                    break
+            at = np.flatnonzero(cost == best)
+            at = at[np.append(True, unit[at[1:]] != unit[at[:-1]])]
+            symbols[at] = piece[at]
+            stay = np.ones(len(unit), bool)
+            stay[at + 1] = False
+            # a merged part meets new neighbours on both sides
+            place = np.cumsum(stay) - 1
+            unit, symbols, cost, piece = unit[stay], symbols[stay], cost[stay], piece[stay]
+            at = place[at]
+            fresh = np.concatenate([at, at[at > 0] - 1])
+            fresh_next = np.minimum(fresh + 1, len(unit) - 1)
+            new_cost, piece[fresh] = price(symbols[fresh], symbols[fresh_next])
+            cost[fresh] = np.where((fresh_next > fresh) & (unit[fresh] == unit[fresh_next]), new_cost, NEVER)
+        unit, symbols = (np.concatenate(c) for c in zip(*done, strict=True))
+        order = np.argsort(unit, kind="stable")
+        unit, symbols = unit[order], symbols[order]
+        ends = 4 * np.cumsum(np.bincount(unit, minlength=len(units)))
+        packed = symbols.astype(np.int32).tobytes()
+        out = [packed[a:b] for a, b in zip([0, *ends[:-1].tolist()], ends.tolist(), strict=True)]
+        # characters without a piece of their own
+        for i in np.unique(unit[(symbols < 0) | (symbols >= len(self.names))]).tolist():
+            out[i] = np.array(self._merged_ids(units[i]), np.int32).tobytes()
+        return out
+
     def _only_path(self, text: str) -> list[tuple[int, int]]:
         """A BPE unit's steps. From a single state, at most one allowed path leads to each place, so one key is kept."""
         n, vocab, starts, allowed = len(text), self.vocab, self.starts, self.allowed
@@ -226,6 +354,62 @@ class Pieces:
         packed = b"".join([cache.get(u) or unit(u) for u in self.units.findall(self.normal(text or ""))])
         return self.joined(np.frombuffer(packed, np.int32))
 
+    def encode_all(self, texts: pa.Array) -> pa.Array:
+        """``encode`` of many texts as lists: each different unit is looked up once, new ones are merged together."""
+        if not self.bpe or self.squeeze or not self.words or len(self.bytes) != 256:
+            return _lists([self.encode(t) for t in texts.to_pylist()])
+        texts = pc.fill_null(texts, "")
+        if self.prefix:
+            texts = pc.if_else(pc.equal(pc.binary_length(texts), 0), texts, pc.binary_join_element_wise(" ", texts, ""))
+        buf, at = text_buffer(texts)
+        mark = np.frombuffer(SPACE.encode(), np.uint8)
+        ids, sizes = [], [np.zeros(1, np.int64)]
+        for lo, hi in blocks(at):
+            part, bounds = buf[at[lo] : at[hi]], at[lo : hi + 1] - at[lo]
+            if len(part) > 2 and ((part[:-2] == mark[0]) & (part[1:-1] == mark[1]) & (part[2:] == mark[2])).any():
+                # a text with the mark itself; its characters stand for spaces
+                rows = [self.encode(t) for t in texts.slice(lo, hi - lo).to_pylist()] if not self.prefix else [self.encode(t[1:]) for t in texts.slice(lo, hi - lo).to_pylist()]
+                ids += rows
+                sizes.append(np.array([len(r) for r in rows]))
+                continue
+            found, count = self._block_ids(part, bounds)
+            ids.append(found)
+            sizes.append(count)
+        offsets = np.cumsum(np.concatenate(sizes)).astype(np.int32)
+        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([np.zeros(0, np.int32), *ids])))
+
+    def _block_ids(self, buf: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of a block of texts, and how many each text has. A unit starts at a text, at a space after something else, around a line feed."""
+        if not len(buf):
+            return np.zeros(0, np.int32), np.zeros(len(at) - 1, np.int64)
+        space = buf == 32
+        begin = np.zeros(len(buf), bool)
+        begin[at[:-1][np.diff(at) > 0]] = True
+        begin[1:] |= space[1:] & ~space[:-1]
+        if self.lines:
+            feed = buf == 10
+            begin |= feed
+            begin[1:] |= feed[:-1]
+        starts = np.flatnonzero(begin)
+        ends = np.append(starts[1:], len(buf))
+        different, where, own = np.unique(span_hash(prefix_hash(BYTE_VALUES[buf]), starts, ends), return_index=True, return_inverse=True)
+        known = self.table.find(different)
+        if (known < 0).any():
+            if len(self.table.hashes) + (known < 0).sum() > CACHED_HASHES:
+                self.table = UnitTable()
+                known = self.table.find(different)
+            new = known < 0
+            data = buf.tobytes()
+            units = [data[a:b].decode().replace(" ", SPACE) for a, b in zip(starts[where[new]].tolist(), ends[where[new]].tolist(), strict=True)]
+            short = [u for u in units if len(u) <= MERGED_CHARS]
+            merged = iter(self.merge_many(short) if short else [])
+            self.table.add(different[new], [next(merged) if len(u) <= MERGED_CHARS else self.unit(u) for u in units])
+            known = self.table.find(different)
+        first, size = self.table.start[known][own], self.table.size[known][own]
+        done = np.cumsum(size)
+        ids = self.table.flat[np.repeat(first - (done - size), size) + np.arange(done[-1])]
+        return ids, np.diff(np.append(0, done)[np.searchsorted(starts, at)])
+
     def decode(self, ids: list[int]) -> str:
         out, raw = [], bytearray()
         low = self.bytes[0] if self.bytes else 0
@@ -243,6 +427,40 @@ class Pieces:
         text = "".join(out).replace(SPACE, " ")
         return text[1:] if self.prefix and text.startswith(" ") else text
 
+    def spelling(self) -> tuple[np.ndarray, np.ndarray]:
+        """The bytes of all pieces, one after another with spaces for their marks, and where each starts."""
+        if self._spelling is None:
+            low = self.bytes[0] if self.bytes else 0
+            names = [
+                b"" if i in self.hidden else bytes([i - low]) if self.bytes and low <= i < low + 256 else name.replace(SPACE, " ").encode()
+                for i, name in enumerate(self.names)
+            ]
+            self._spelling = np.frombuffer(b"".join(names), np.uint8), np.concatenate([[0], np.cumsum([len(n) for n in names])])
+        return self._spelling
+
+    def decode_all(self, ids: np.ndarray, offsets: np.ndarray) -> list[str] | pa.Array:
+        """The texts of rows of ids: pieces are copied as arrays; rows whose bytes are no text are decoded one by one."""
+        letters, at = self.spelling()
+        begin, size = at[ids], np.diff(at)[ids]
+        if self.prefix:
+            # the first piece with letters of each row loses the space in front
+            shown = np.flatnonzero(size)
+            place = np.searchsorted(shown, offsets[:-1])
+            first = shown[np.minimum(place, len(shown) - 1)] if len(shown) else shown
+            first = first[(place < len(shown)) & (first < offsets[1:])] if len(shown) else first
+            first = first[letters[begin[first]] == 32]
+            begin[first] += 1
+            size[first] -= 1
+        ends = np.concatenate([[0], np.cumsum(size)])
+        taken = letters[np.repeat(begin - ends[:-1], size) + np.arange(ends[-1])]
+        bounds = ends[offsets].astype(np.int32)
+        texts = pa.Array.from_buffers(pa.string(), len(offsets) - 1, [None, pa.py_buffer(bounds), pa.py_buffer(taken)])
+        try:
+            texts.validate(full=True)
+        except pa.ArrowInvalid:
+            return [self.decode(ids[a:b].tolist()) for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
+        return texts
+
     # chunks of giant texts: ``text`` has up to ``longest`` characters of its neighbours on both sides
 
     def parts(self, text: str, begin: int, stop: int) -> tuple[int, int, list[str], int, int]:
@@ -445,7 +663,7 @@ def encode(documents: DataFrame, model_path: str, *, giant_chars: int = 50_000,
         for batch in batches:
             for lo in range(0, len(batch), 500):
                 part = batch.slice(lo, 500)
-                ids = _lists([here.encode(t) for t in part["_text"].to_pylist()])
+                ids = here.encode_all(part["_text"])
                 yield pa.RecordBatch.from_arrays([part["_kept"], ids], names=["_kept", "ids"])
 
     plain = small.mapInArrow(run, schema).select("_kept.*", "ids")
@@ -466,8 +684,14 @@ def decode(encoded: DataFrame, model_path: str, *, ids_col: str = "ids") -> Data
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = _model(sent.value)
         for batch in batches:
-            texts = [None if x is None else model.decode(x) for x in batch.column(place).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], names=[*batch.schema.names, "decoded"])
+            for lo in range(0, len(batch), 500):
+                part = batch.slice(lo, 500)
+                own = part.column(place)
+                # a null row has no ids; its text is null again
+                sizes = np.concatenate([[0], np.cumsum(pc.fill_null(pc.list_value_length(own), 0).to_numpy(zero_copy_only=False))])
+                texts = model.decode_all(own.flatten().to_numpy(zero_copy_only=False).astype(np.int64), sizes)
+                texts = pc.if_else(own.is_valid(), pa.array(texts, pa.string()) if isinstance(texts, list) else texts, pa.scalar(None, pa.string()))
+                yield pa.RecordBatch.from_arrays([*part.columns, texts], names=[*part.schema.names, "decoded"])
 
     return encoded.mapInArrow(run, schema)
 
