@@ -1,11 +1,12 @@
-"""Long repeated word spans by de Bruijn compaction.
-
-Windows of ``window`` words are the edges of a de Bruijn graph whose nodes are the windows one word shorter. Edges that
-share a sampled anchor (``anchors``) lie on one path; where all occurrences of a path have the same content it has no
-branch and stays one compacted row through every join. Only paths that branch are opened into their single edges,
-whose multiplicities are counted and joined back; the repeated ones close into paths again. An opened path is verified
-at its source coordinates: the words that stand there must give its hash. By their coordinates, paths of one text that
-touch or overlap become its long repeated spans. Paths and edges are told apart by 128 bits, anchor and own hash.
+"""Long repeated word spans over the edges of a de Bruijn graph.
+
+Windows of ``window`` words are the edges of a de Bruijn graph whose nodes are the windows one word shorter. Consecutive
+edges that share a sampled anchor (``anchors``) are one run. These runs stand in for compacted paths: node degrees are not
+counted and path ends not joined, as what is removed depends on the edges' counts alone. Where all runs of an anchor have one
+content, that stays one row through every join. Runs of other anchors are opened into their single edges,
+whose multiplicities are counted and joined back; the repeated ones close into runs again. An opened run is verified
+at its source coordinates: the words that stand there must give its hash. By their coordinates, runs of one text that
+touch or overlap become its long repeated spans. Runs and edges are told apart by 128 bits, anchor and own hash.
 
 Words are runs without ASCII white space, unchanged. Null and empty texts have no words. Texts shorter than the window
 never match. Repeated rows are copies of each other and match whole; so do equal windows within one text.
