@@ -11,8 +11,12 @@ from pyspark.sql import window as W
 from parcel_comps import fixed_values as fixed
 from parcel_comps.functions import scalars as S
 from parcel_comps.operators.skew import group_median, row_numbers, skew_join, value_ranks
+from parcel_comps.plans.checkpoints import materialize
 from parcel_comps.profiles import Profile, get_profile
 
+# Medians that are broadcast to the results; more are joined by shuffles.
+FEW_GROUPS = 10_000
+
 
 def used_comps(comps: DataFrame, profile: str | Profile = "service") -> Column:
     """Does a comp count towards the median: a valued home of comparable size?"""
@@ -81,8 +85,13 @@ def relative_gap(results: DataFrame, scope: str = "property_type") -> DataFrame:
     The median is over exactly the rows given, so what is ranked together is the
     caller's choice.
     """
-    medians = group_median(results.where("has_comps"), scope, "gap_pct", "_group_median")
-    joined = skew_join(results, medians, [scope], ["listing_id"], null_safe=True)
+    medians = materialize(group_median(results.where("has_comps"), scope, "gap_pct", "_group_median"))
+    if medians.limit(FEW_GROUPS + 1).count() <= FEW_GROUPS:
+        # Few medians go to the results, which then stay where they are.
+        few = F.broadcast(medians.withColumnRenamed(scope, "_scope"))
+        joined = results.join(few, F.col(scope).eqNullSafe(F.col("_scope")), "left")
+    else:
+        joined = skew_join(results, medians, [scope], ["listing_id"], null_safe=True)
     relative = F.when(F.col("has_comps"), F.col("gap_pct") - F.col("_group_median"))
     return joined.withColumn("relative_gap_pct", relative).select(
         *results.columns, "relative_gap_pct"

@@ -28,12 +28,16 @@ from parcel_comps.operators import grid
 from parcel_comps.operators.linkage import unique_index
 from parcel_comps.operators.skew import skew_join
 from parcel_comps.operators.tiles import ParcelTiles
+from parcel_comps.plans.checkpoints import materialize
 from parcel_comps.profiles import Profile, get_profile
 
 # A point meets only the parcels of its own cell, so cells about the size of a large
 # lot keep the number of tested pairs low.
 _POINT_CELL_DEG = 0.002
 
+# Polygons of up to this many vertices go through the box join with their rows; larger ones join the pairs that are left.
+LIGHT_VERTICES = 256
+
 # A frame of parcels, or a stored table of which only tiles in use are read.
 Parcels = DataFrame | ParcelTiles
 
@@ -96,6 +100,38 @@ def with_shape(df: DataFrame, shapes: DataFrame, key: str, name: str, how: str =
     return df.join(shapes.select(F.col("shape_id").alias(key), F.col("geometry").alias(name)), key, how)
 
 
+def _vertices(geometry: str) -> Column:
+    return F.aggregate(F.flatten(geometry), F.lit(0), lambda n, ring: n + F.size(ring))
+
+
+def _shaped_pairs(targets: DataFrame, neighbours: DataFrame, parcels: Parcels, keep: Column) -> DataFrame:
+    """Pairs by boxes with both polygons, ``t_geometry`` and ``geometry``.
+
+    There are many times more pairs than parcels, so a small polygon goes to its cells with its row, and no pair is shuffled
+    for it. A large one would be repeated in every cell; its pairs are found without it, and it joins them afterwards.
+    """
+    shapes = shapes_of(parcels)
+
+    def paired(left: DataFrame, right: DataFrame) -> DataFrame:
+        return grid.box_join(left, right, "_search", "box", "target_id", "property_id", condition=keep)
+
+    every = parcels.shapes if isinstance(parcels, ParcelTiles) else parcels
+    if "shape_id" not in every.columns:
+        every = shapes
+    heavy = every.where(_vertices("geometry") > LIGHT_VERTICES).select("shape_id")
+    some_heavy = not heavy.isEmpty()
+    if not some_heavy:
+        return paired(with_shape(targets, shapes, "t_shape", "t_geometry"), with_shape(neighbours, shapes, "shape_id", "geometry"))
+    heavy = materialize(heavy.distinct())
+    t_heavy = heavy.withColumnRenamed("shape_id", "t_shape")
+    light = shapes.join(heavy, "shape_id", "left_anti")
+    last = paired(targets.join(t_heavy, "t_shape", "left_semi"), neighbours).unionByName(
+        paired(targets.join(t_heavy, "t_shape", "left_anti"), neighbours.join(heavy, "shape_id", "left_semi"))
+    )
+    last = with_shape(with_shape(last, shapes, "t_shape", "t_geometry"), shapes, "shape_id", "geometry")
+    return paired(with_shape(targets, light, "t_shape", "t_geometry"), with_shape(neighbours, light, "shape_id", "geometry")).unionByName(last)
+
+
 def _near(parcels: Parcels, search: DataFrame, box: str) -> Parcels:
     return parcels.near(search, box) if isinstance(parcels, ParcelTiles) else parcels
 
@@ -319,11 +355,7 @@ def candidate_pairs(
         if p.skip_size_for_land:
             similar = similar | F.col("is_land")
         keep = keep & similar & (same_street | (gap <= max(close_m, touch_m) * excess))
-    pairs = grid.box_join(
-        targets, neighbours, "_search", "box", "target_id", "property_id", condition=keep
-    )
-    shapes = shapes_of(parcels)
-    pairs = with_shape(with_shape(pairs, shapes, "t_shape", "t_geometry"), shapes, "shape_id", "geometry")
+    pairs = _shaped_pairs(targets, neighbours, parcels, keep)
     if p.shape_screen:
         # Corners of the box bound the farthest vertex; most pairs need no vertex walk.
         dx = F.greatest(

@@ -46,12 +46,12 @@ def run_gaps(
 ) -> GapRun:
     """Resolve every listing, find comps once per distinct parcel, compute all gaps.
 
-    Resolved listings, comps and gap rows are read several times further on (distinct
+    Resolved listings, targets, comps and gap rows are read several times further on (distinct
     targets, hot keys, medians, reports), so all are materialised. A listing without id
     goes by its first address line.
     """
     resolved = materialize(resolve_parcel(named_listings(listings), parcels, profile))
-    targets = target_parcels(resolved, parcels, profile)
+    targets = materialize(target_parcels(resolved, parcels, profile))
     comps = materialize(find_comps(targets, parcels, profile, close_m, far_m, tol, keep_rejected))
     kept = comps.where("reject_reason is null") if keep_rejected else comps
     gaps = materialize(compute_gap(resolved, kept, targets, profile))
