@@ -51,12 +51,16 @@ def target_candidates(run: GapRun, profile: str | Profile = "service") -> DataFr
 
 
 def listing_candidates(run: GapRun, profile: str | Profile = "service") -> DataFrame:
-    """``target_candidates`` of every listing, beside its place."""
+    """``target_candidates`` of every listing, beside its place, with ``comp_geometry``.
+
+    Polygons join the candidates of each target, not those of each listing, of which there are many times more.
+    """
+    drawn = with_shape(target_candidates(run, profile), run.shapes, "shape_id", "comp_geometry", "left")
     listings = run.resolved.where("target_id is not null").select(
         "listing_id", "target_id", _is_land(get_profile(profile)), "longitude", "latitude",
     )
     return skew_join(
-        listings, target_candidates(run, profile), ["target_id", "is_land"], ["listing_id"], how="inner"
+        listings, drawn, ["target_id", "is_land"], ["listing_id"], how="inner"
     ).drop("is_land", "target_id")
 
 
@@ -141,7 +145,7 @@ def map_features(run: GapRun, profile: str | Profile = "service") -> DataFrame:
     )
     value = F.when(F.col("value").isNotNull(), _money(F.col("value"))).otherwise(fixed.POPUP_TEXTS["no_value"])
     shown = F.when(F.col("used"), fixed.POPUP_TEXTS["used"]).otherwise(fixed.POPUP_TEXTS["unused"])
-    parcels = with_shape(candidates, run.shapes, "shape_id", "comp_geometry", "left").select(
+    parcels = candidates.select(
         "listing_id",
         *_feature(
             F.when(F.col("used"), "used").otherwise("excluded"),
