@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from checks import fixtures as fx
 from checks.frame_queries import now
@@ -17,6 +16,7 @@ from parcel_comps.operators import lookup as L
 from parcel_comps.operators import spatial as Sp
 from parcel_comps.operators.linkage import merge_reasons
 from parcel_comps.operators.normalize import fill_schema
+from parcel_comps.operators.skew import row_numbers
 from parcel_comps.plans import incremental as Ic
 from parcel_comps.plans import recompute as Rc
 from parcel_comps.plans import reports as Rp
@@ -281,7 +281,9 @@ FROM results WHERE has_comps {"" if profile == "service" else "AND property_type
 SELECT listing_id, property_type, row_number() OVER (PARTITION BY property_type ORDER BY gap DESC NULLS LAST, listing_id) AS place
 FROM results WHERE has_comps {"" if profile == "service" else "AND property_type IN ('Single Family', 'Land')"}""", profile))
     def places(spark: SparkSession, sf_dir: str) -> DataFrame:
-        return Gp.place_gaps(run(spark, sf_dir, profile).results, profile).select("listing_id", "property_type", "place")
+        # Places are stored with the rows given, so only the columns in use are.
+        results = run(spark, sf_dir, profile).results.select("listing_id", "property_type", "has_comps", "gap")
+        return Gp.place_gaps(results, profile).select("listing_id", "property_type", "place")
 
     @query(f"report_frame_{profile}", sql("""
 SELECT r.listing_id, CASE WHEN has_comps THEN NULL ELSE 'no_comps' END AS error, round(gap_pct, 6) AS gap_pct,
@@ -394,9 +396,10 @@ def ranked_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     Wr.write_ranked_csv(results, folder)
     schema = ", ".join(f"{n} {'string' if n in ('address', 'property_type') else 'double'}" for n in Wr.RANKED_COLUMNS)
     back = spark.read.option("header", True).schema(schema).csv(folder)
-    # Files follow each other by name, lines by their place in the file; the report is small enough for one window.
-    lines = back.withColumns({"_file": F.col("_metadata.file_name"), "_start": F.col("_metadata.file_block_start"), "_line": F.monotonically_increasing_id()})
-    place = F.row_number().over(Window.orderBy("_file", "_start", "_line")).cast("bigint").alias("place")
+    # Files follow each other by name, lines by their place in the file.
+    lines = back.withColumns({"_all": F.lit(0), "_file": F.col("_metadata.file_name"), "_start": F.col("_metadata.file_block_start"), "_line": F.monotonically_increasing_id()})
+    lines = row_numbers(lines, "_all", [F.col("_file"), F.col("_start"), F.col("_line")], "place")
+    place = F.col("place").cast("bigint").alias("place")
     cents = {n: F.round(n, d).alias(n) for d, names in ((2, ("target_assessed_value", "price", "comp_min", "comp_max")), (3, ("comp_median", "gap")), (5, ("gap_pct", "relative_gap_pct"))) for n in names}
     whole = {n: F.col(n).cast("int").alias(n) for n in ("comp_count", "year_built")}
     return lines.select(place, *[(cents | whole).get(n, F.col(n)) for n in Wr.RANKED_COLUMNS])
