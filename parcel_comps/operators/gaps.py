@@ -31,14 +31,29 @@ def used_comps(comps: DataFrame, profile: str | Profile = "service") -> Column:
 def comp_statistics(comps: DataFrame, profile: str | Profile = "service") -> DataFrame:
     """Median, extremes, count and ids of the used comps of each target parcel."""
     used = comps.where(used_comps(comps, profile))
-    return used.groupBy("target_id", "is_land").agg(
-        F.median("assessed_value").alias("comp_median"),
-        F.min("assessed_value").alias("comp_min"),
-        F.max("assessed_value").alias("comp_max"),
-        F.count(F.lit(1)).cast("int").alias("comp_count"),
+    gathered = used.groupBy("target_id", "is_land").agg(
         F.array_sort(F.collect_list("property_id")).alias("comp_property_ids"),
         F.array_sort(F.collect_list("assessed_value")).alias("comp_values"),
     )
+    n = F.size("comp_values")
+
+    def at(place: Column) -> Column:
+        return F.element_at("comp_values", place.cast("int"))
+
+    half = [at(F.floor((n + k) / 2)).cast("double") * 0.5 for k in (1, 2)]
+    return gathered.select(
+        "target_id", "is_land", (half[0] + half[1]).alias("comp_median"), at(F.lit(1)).alias("comp_min"), at(n).alias("comp_max"),
+        n.alias("comp_count"), "comp_property_ids", "comp_values",
+    )
+
+
+def target_statistics(comps: DataFrame, targets: DataFrame, profile: str | Profile = "service") -> DataFrame:
+    """``comp_statistics`` of every target, beside its own value and size."""
+    values = targets.select(
+        "target_id", "is_land", F.col("t_assessed_value").alias("target_assessed_value"),
+        F.col("t_acres").alias("target_acres"),
+    )
+    return values.join(comp_statistics(comps, profile), ["target_id", "is_land"], "left")
 
 
 def compute_gap(
@@ -55,28 +70,27 @@ def compute_gap(
     """
     p = get_profile(profile)
     land = F.coalesce(F.col("property_type") == "Land", F.lit(False))
-    listings = resolved.where("target_id is not null").withColumn("target_is_land", land)
-    listings = listings.withColumn(
-        "is_land", F.col("target_is_land") if p.skip_size_for_land else F.lit(False)
-    )
-    values = targets.select(
-        "target_id", "is_land", F.col("t_assessed_value").alias("target_assessed_value"),
-        F.col("t_acres").alias("target_acres"),
-    )
-    per_target = values.join(comp_statistics(comps, p), ["target_id", "is_land"], "left")
-    joined = skew_join(listings, per_target, ["target_id", "is_land"], ["listing_id"])
+    listings = resolved.where("target_id is not null").withColumn("is_land", land if p.skip_size_for_land else F.lit(False))
+    per_target = target_statistics(comps, targets, p)
+    return gap_columns(skew_join(listings, per_target, ["target_id", "is_land"], ["listing_id"]), p).drop("is_land")
+
+
+def gap_columns(joined: DataFrame, profile: str | Profile = "service") -> DataFrame:
+    """The gap of each listing from the statistics beside it."""
+    p = get_profile(profile)
     price = F.nullif("price", F.lit(0.0)) if p.name == "batch" else F.col("price")
     gap = F.col("comp_median") - price
     has_comps = F.col("comp_count").isNotNull()
     return joined.withColumns(
         {
+            "target_is_land": F.coalesce(F.col("property_type") == "Land", F.lit(False)),
             "has_comps": has_comps,
             "comp_count": F.coalesce("comp_count", F.lit(0)),
             "gap": gap,
             "gap_pct": F.try_divide(gap, F.col("price")) * 100.0,
             "error": F.when(~has_comps, F.lit("no_comps")),
         }
-    ).drop("is_land")
+    )
 
 
 def relative_gap(results: DataFrame, scope: str = "property_type") -> DataFrame:

@@ -13,6 +13,8 @@ HOT_ROWS = 1_000_000
 # A key is hot only above this share of all rows, so a list of hot keys never has more
 # than 100,000 entries, and what stays whole is below it, at any table size.
 HOT_SHARE = 100_000
+# Value bands in the middle of their groups that are broadcast; more are joined by shuffles.
+FEW_BANDS = 20_000
 
 
 def hot_keys(df: DataFrame, keys: list[str], hot_rows: int = HOT_ROWS) -> DataFrame:
@@ -47,6 +49,7 @@ def skew_join(
     hot_rows: int = HOT_ROWS,
     count_on: DataFrame | None = None,
     null_safe: bool = False,
+    counts: DataFrame | None = None,
 ) -> DataFrame:
     """Equi-join that splits hot keys of ``left`` over several tasks.
 
@@ -55,17 +58,14 @@ def skew_join(
     with a NULL key, which otherwise all land in one task, are spread as well.
     Keys are counted on ``left``, or on ``count_on`` where a frame with at least the
     same keys is cheaper to read. ``how`` is "left" or "inner". With ``null_safe``
-    NULL is a key like any other.
+    NULL is a key like any other, and ``counts`` may give the number ``_n`` of left rows of each key.
     """
     if how not in ("left", "inner"):
         raise ValueError("skew_join supports 'left' and 'inner'")
     if null_safe:
-        # A struct of the keys is never NULL itself, and structs with equal NULL fields are equal.
-        whole = F.struct(*keys).alias("_keys")
-        tagged = left.select("*", whole)
-        counted = None if count_on is None else count_on.select(whole)
-        other = right.select(whole, *[c for c in right.columns if c not in keys])
-        return skew_join(tagged, other, ["_keys"], spread, how, hot_rows, counted).drop("_keys")
+        if counts is None:
+            counts = (left if count_on is None else count_on).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+        return _null_safe_join(left, right, keys, spread, how, hot_rows, counts)
     hot = hot_keys(count_on if count_on is not None else left, keys, hot_rows)
     copies = F.sequence(F.lit(0), F.coalesce("_splits", F.lit(1)) - 1)
     repeated = right.join(F.broadcast(hot), keys, "left").withColumn("_salt", F.explode(copies))
@@ -73,6 +73,35 @@ def skew_join(
     return salted.join(repeated.drop("_splits"), [*keys, "_salt"], how).drop("_salt")
 
 
+def _null_safe_join(
+    left: DataFrame, right: DataFrame, keys: list[str], spread: list[str], how: str, hot_rows: int, counts: DataFrame
+) -> DataFrame:
+    names = [f"_key{n}" for n in range(len(keys))]
+
+    def other(df: DataFrame) -> DataFrame:
+        return df.select(*[F.col(k).alias(n) for k, n in zip(keys, names)], *[c for c in df.columns if c not in keys])
+
+    def meet(mine: list[str], theirs: list[str]) -> Column:
+        same = F.lit(True)
+        for a, b in zip(mine, theirs):
+            same = same & F.col(a).eqNullSafe(F.col(b))
+        return same
+
+    share = F.coalesce(counts.agg(F.sum("_n")).scalar(), F.lit(0)) / HOT_SHARE
+    most = F.greatest(F.lit(float(hot_rows)), share)
+    hot = F.broadcast(other(counts.where(F.col("_n") > most).select(*keys, F.ceil(F.col("_n") / most).cast("int").alias("_splits"))))
+    salt = F.pmod(F.xxhash64(*spread), F.coalesce("_splits", F.lit(1))).cast("int")
+    salted = left.join(hot, meet(keys, names), "left").withColumn("_salt", salt).drop(*names, "_splits")
+    copies = F.explode(F.sequence(F.lit(0), F.coalesce("_splits", F.lit(1)) - 1)).alias("_copy")
+    repeated = other(right.join(hot, meet(keys, names), "left").select(*right.columns, copies))
+    return salted.join(repeated, meet([*keys, "_salt"], [*names, "_copy"]), how).drop("_salt", "_copy", *names)
+
+
+def _band(value: str) -> Column:
+    """A monotone function of the value alone; at most ~370,000 bands per group."""
+    return (F.signum(F.col(value)) * F.floor(F.log1p(F.abs(F.col(value))) * 256.0)).cast("int")
+
+
 def value_ranks(df: DataFrame, group: str, value: str) -> DataFrame:
     """Distinct values per group with the number of rows that sort below and above them.
 
@@ -85,11 +114,7 @@ def value_ranks(df: DataFrame, group: str, value: str) -> DataFrame:
         df.where(F.col(value).isNotNull())
         .groupBy(group, value)
         .agg(F.count(F.lit(1)).alias("n"))
-        # A monotone function of the value alone; at most ~370,000 bands per group.
-        .withColumn(
-            "_band",
-            (F.signum(F.col(value)) * F.floor(F.log1p(F.abs(F.col(value))) * 256.0)).cast("int"),
-        )
+        .withColumn("_band", _band(value))
     )
     bands = counted.groupBy(group, "_band").agg(F.sum("n").alias("_in_band"))
     by_band = W.Window.partitionBy(group).orderBy("_band")
@@ -128,13 +153,28 @@ def row_numbers(df: DataFrame, group: str, order: list[Column], name: str = "row
 
 
 def group_median(df: DataFrame, group: str, value: str, name: str = "median") -> DataFrame:
-    """Exact median per group (mean of the two middle values), for groups of any size."""
-    ranks = value_ranks(df, group, value)
-    total = F.col("n_below") + F.col("n") + F.col("n_above")
+    """Exact median per group (mean of the two middle values), for groups of any size.
+
+    Rows are counted by value bands first; then only the values of the one or two bands that hold the middle move. The
+    list of these bands is broadcast up to ``FEW_BANDS`` of them.
+    """
+    rows = df.where(F.col(value).isNotNull()).select(F.col(group), F.col(value), _band(value).alias("_band"))
+    by_band, whole = W.Window.partitionBy(group).orderBy("_band"), W.Window.partitionBy(group)
+    bands = rows.groupBy(group, "_band").agg(F.count(F.lit(1)).alias("_in")).select(
+        F.col(group).alias("_g"), F.col("_band").alias("_b"), "_in", (F.sum("_in").over(by_band) - F.col("_in")).alias("_before"),
+        F.sum("_in").over(whole).alias("_total"),
+    )
+    first, last = F.floor((F.col("_total") - 1) / 2.0), F.floor(F.col("_total") / 2.0)
+    middle = materialize(bands.where((F.col("_before") <= last) & (first < F.col("_before") + F.col("_in"))).drop("_in"))
+    if middle.limit(FEW_BANDS + 1).count() <= FEW_BANDS:
+        middle = F.broadcast(middle)
+    held = rows.join(middle, F.col(group).eqNullSafe(F.col("_g")) & (F.col("_band") == F.col("_b")))
+    counted = held.groupBy(group, "_band", value, "_before", "_total").agg(F.count(F.lit(1)).alias("n"))
+    inside = W.Window.partitionBy(group, "_band").orderBy(value)
+    counted = counted.withColumn("_below", F.col("_before") + F.sum("n").over(inside) - F.col("n"))
 
     def at(position: Column) -> Column:
-        here = (F.col("n_below") <= position) & (position < F.col("n_below") + F.col("n"))
+        here = (F.col("_below") <= position) & (position < F.col("_below") + F.col("n"))
         return F.max(F.when(here, F.col(value)))
 
-    low, high = at(F.floor((total - 1) / 2.0)), at(F.floor(total / 2.0))
-    return ranks.groupBy(group).agg(((low + high) / 2.0).alias(name))
+    return counted.groupBy(group).agg(((at(first) + at(last)) / 2.0).alias(name))

@@ -35,6 +35,9 @@ from parcel_comps.profiles import Profile, get_profile
 # lot keep the number of tested pairs low.
 _POINT_CELL_DEG = 0.002
 
+# Twice the default: a search of 250 m covers two or three such cells, and its polygon is repeated in each.
+_PAIR_CELL_DEG = 2 * grid.CELL_DEG
+
 # Polygons of up to this many vertices go through the box join with their rows; larger ones join the pairs that are left.
 LIGHT_VERTICES = 256
 
@@ -113,7 +116,7 @@ def _shaped_pairs(targets: DataFrame, neighbours: DataFrame, parcels: Parcels, k
     shapes = shapes_of(parcels)
 
     def paired(left: DataFrame, right: DataFrame) -> DataFrame:
-        return grid.box_join(left, right, "_search", "box", "target_id", "property_id", condition=keep)
+        return grid.box_join(left, right, "_search", "box", "target_id", "property_id", condition=keep, cell_deg=_PAIR_CELL_DEG)
 
     every = parcels.shapes if isinstance(parcels, ParcelTiles) else parcels
     if "shape_id" not in every.columns:
@@ -217,13 +220,31 @@ def resolve_parcel(
     """Each listing with its own parcel: ``target_id`` and ``resolve_method``.
 
     The smallest parcel containing the point is taken, and rejected if its size does
-    not fit the listing's lot size. Listings at one point share one search, so a spot
-    that very many listings were placed on costs no more than any other. ``resolve_method`` is point_in_polygon, address,
-    unresolved_suspect_parcel (a parcel was rejected) or unresolved.
+    not fit the listing's lot size. Listings of one place share one search, and move once, to their place's parcel.
+    ``resolve_method`` is point_in_polygon, address, unresolved_suspect_parcel (a parcel was rejected) or unresolved.
     """
     p = get_profile(profile)
     if p.eligible_listings_only:
         listings = eligible_listings(listings)
+    keys = place_columns(p)
+    places = materialize(count_places(listings, keys))
+    found = skew_join(listings, resolve_places(places.drop("_n"), parcels, p), keys, ["listing_id"], null_safe=True, counts=places)
+    return found.select(*listings.columns, "target_id", "resolve_method")
+
+
+def place_columns(profile: Profile) -> list[str]:
+    """What decides a listing's parcel."""
+    return ["longitude", "latitude", "lot_size", *(["address_line_1"] if profile.address_fallback else [])]
+
+
+def count_places(listings: DataFrame, keys: list[str]) -> DataFrame:
+    """Each place once, with the number ``_n`` of its listings."""
+    return listings.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+
+
+def resolve_places(listings: DataFrame, parcels: Parcels, p: Profile) -> DataFrame:
+    """Add ``target_id`` and ``resolve_method`` to rows with ``place_columns``. Rows at one point share one search."""
+    spread = place_columns(p)
     spot = ["_lon", "_lat"]
     spots = _points(listings).distinct().repartition(_search_tasks(listings), *spot)
     pairs, shapes = _points_in_boxes(spots, spot, parcels, p)
@@ -233,7 +254,7 @@ def resolve_parcel(
     smallest = _contained(candidates, shapes, p).groupBy(*spot).agg(F.min("_best").alias("_best"))
     fits = S.plausible_size(F.col("_best.computed_acres"), "lot_size", p.zero_lot_is_missing)
     placed = listings.withColumns({"_lon": F.col("longitude"), "_lat": F.col("latitude")})
-    found = skew_join(placed, smallest, spot, ["listing_id"]).withColumn(
+    found = skew_join(placed, smallest, spot, spread).withColumn(
         "target_id", F.when(fits, F.col("_best.property_id"))
     )
     method = F.when(F.col("target_id").isNotNull(), "point_in_polygon").when(
@@ -249,7 +270,7 @@ def resolve_parcel(
         line = S.empty_to_null(normalize_address("address_line_1", p.unicode_words))
         found = found.withColumn("_address", F.when(F.col("target_id").isNull(), line))
         every_line = listings.select(line.alias("_address"))
-        found = skew_join(found, index, ["_address"], ["listing_id"], count_on=every_line)
+        found = skew_join(found, index, ["_address"], spread, count_on=every_line)
         found = found.withColumn(
             "resolve_method",
             F.when(F.col("_by_address").isNotNull(), "address").otherwise(F.col("resolve_method")),
@@ -276,10 +297,12 @@ def target_parcels(
     """The distinct parcels that listings resolved to, ready for ``find_comps``.
 
     Many listings share a parcel; its comps are searched once. In the batch rules
-    Land listings have their own comps, so the key is (``target_id``, ``is_land``).
+    Land listings have their own comps, so the key is (``target_id``, ``is_land``). Places with ``is_land`` may be given too.
     """
     p = get_profile(profile)
     land = F.col("property_type") == "Land" if p.skip_size_for_land else F.lit(False)
+    if "is_land" in resolved.columns:
+        land = F.col("is_land")
     wanted = (
         resolved.where("target_id is not null")
         .select("target_id", F.coalesce(land, F.lit(False)).alias("is_land"))

@@ -9,12 +9,22 @@ from pyspark.sql import functions as F
 
 from parcel_comps import fixed_values as fixed
 from parcel_comps.functions.scalars import empty_to_null
-from parcel_comps.operators.gaps import compute_gap, gap_rows, relative_gap
+from parcel_comps.operators.gaps import gap_columns, gap_rows, relative_gap, target_statistics
 from parcel_comps.operators.lookup import find_listing, find_listings
-from parcel_comps.operators.spatial import Parcels, find_comps, resolve_parcel, shapes_of, target_parcels
+from parcel_comps.operators.skew import skew_join
+from parcel_comps.operators.spatial import (
+    Parcels,
+    count_places,
+    eligible_listings,
+    find_comps,
+    place_columns,
+    resolve_places,
+    shapes_of,
+    target_parcels,
+)
 from parcel_comps.plans.checkpoints import materialize
 from parcel_comps.plans.versions import Table, upsert_into
-from parcel_comps.profiles import Profile
+from parcel_comps.profiles import Profile, get_profile
 
 
 @dataclass
@@ -46,16 +56,32 @@ def run_gaps(
 ) -> GapRun:
     """Resolve every listing, find comps once per distinct parcel, compute all gaps.
 
-    Resolved listings, targets, comps and gap rows are read several times further on (distinct
+    All but the price follows from a listing's place, so places are resolved and valued, and each listing moves once, to its
+    place. Places, targets, comps and gap rows are read several times further on (distinct
     targets, hot keys, medians, reports), so all are materialised. A listing without id
     goes by its first address line.
     """
-    resolved = materialize(resolve_parcel(named_listings(listings), parcels, profile))
-    targets = materialize(target_parcels(resolved, parcels, profile))
-    comps = materialize(find_comps(targets, parcels, profile, close_m, far_m, tol, keep_rejected))
+    p = get_profile(profile)
+    listings = named_listings(listings)
+    if p.eligible_listings_only:
+        listings = eligible_listings(listings)
+    keys, rows = place_columns(p), listings
+    if p.skip_size_for_land:
+        keys, rows = [*keys, "is_land"], listings.withColumn("is_land", F.coalesce(F.col("property_type") == "Land", F.lit(False)))
+    places = materialize(count_places(rows, keys))
+    if not p.skip_size_for_land:
+        places = places.withColumn("is_land", F.lit(False))
+    places = materialize(resolve_places(places, parcels, p).select(*keys, *({"is_land"} - {*keys}), "_n", "target_id", "resolve_method"))
+    targets = materialize(target_parcels(places, parcels, p))
+    comps = materialize(find_comps(targets, parcels, p, close_m, far_m, tol, keep_rejected))
     kept = comps.where("reject_reason is null") if keep_rejected else comps
-    gaps = materialize(compute_gap(resolved, kept, targets, profile))
-    return GapRun(resolved, targets, comps, relative_gap(gaps), shapes_of(parcels))
+    valued = skew_join(places.drop("_n"), target_statistics(kept, targets, p), ["target_id", "is_land"], place_columns(p))
+    if not p.skip_size_for_land:
+        valued = valued.drop("is_land")
+    found = skew_join(rows, valued, keys, ["listing_id"], null_safe=True, counts=places.select(*keys, "_n"))
+    gaps = materialize(gap_columns(found, p).drop("is_land"))
+    resolved = gaps.select(*listings.columns, "target_id", "resolve_method")
+    return GapRun(resolved, targets, comps, relative_gap(gaps.where("target_id is not null")), shapes_of(parcels))
 
 
 def gap_for_listing(
