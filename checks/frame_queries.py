@@ -486,8 +486,7 @@ def read_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).otherwise(F.to_json("raws"))
     folder = fx.scratch(spark)
     pages.select(F.concat_ws("_", "kind", "page").alias("doc"), doc.alias("value")).write.partitionBy("doc").text(folder)
-    docs = spark.read.text(folder).select("doc").distinct().collect()
-    found = [f for r in docs for f in R.expand_paths(spark, f"{folder}/doc={r.doc}", [".txt"])]
+    found = list(spark.read.text(folder).inputFiles())
     # Single objects: one per line is the same record without an enclosing array.
     lines = f"{folder}-lines"
     rows.where(third == 2).select(F.to_json(raw).alias("value")).write.text(lines)

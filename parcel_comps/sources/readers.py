@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import warnings
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -19,15 +20,20 @@ def expand_paths(spark: SparkSession, paths: str | list[str], suffixes: list[str
 
     Sub-directories are never searched; missing paths and empty directories warn.
     """
-    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    # Each call and each name looked up in the JVM is a round trip, and there may be very many files.
+    new_path, conf = spark._jvm.org.apache.hadoop.fs.Path, spark._jsc.hadoopConfiguration()
     found: list[str] = []
     for name in [paths] if isinstance(paths, str) else paths:
-        path = jvm.org.apache.hadoop.fs.Path(name)
+        path = new_path(name)
         fs = path.getFileSystem(conf)
-        if not fs.exists(path):
+        try:
+            status = fs.getFileStatus(path)
+        except Py4JJavaError as error:
+            if "FileNotFoundException" not in error.java_exception.getClass().getName():
+                raise
             warnings.warn(f"{name} does not exist, skipped", stacklevel=2)
             continue
-        if fs.getFileStatus(path).isFile():
+        if status.isFile():
             found.append(name)
             continue
         children = sorted(
