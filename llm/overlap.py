@@ -4,6 +4,10 @@ Texts with equal sets are one node. Each node gives its least frequent shingles,
 share at least one (frequent ones, found by counting all documents, come last). What shares such a key is a candidate:
 
 * first, each node is searched for by one node that shares most keys with it; the links found form provisional classes;
+* where many classes still have one key, each is searched for in a block of the class that has most members there. As
+  long as a round joins a tenth of those that ask, another one follows, so that a group of near copies becomes a class
+  before pairs are formed. A round reads each member once or twice, and only finds links early: what it leaves, the
+  last search compares;
 * then classes (not their members) that share enough keys become pairs, and the members of the smaller are searched
   for among those of the larger. Members of one class need no further link, so groups of copies give no pairs.
 
@@ -37,6 +41,8 @@ SKETCH_BITS = 20
 FREQUENT = 1 << 16
 BLOCK_SETS = 512
 SHARD_SETS = 2000
+#: Classes with one key beyond which they are joined in rounds before pairs of them are formed.
+CROWD = 8
 
 
 def text_sets(buf: np.ndarray, at: np.ndarray, n: int) -> list[np.ndarray]:
@@ -199,6 +205,54 @@ def _dealt(pairs: DataFrame, member: DataFrame, extent: DataFrame) -> tuple[Data
     return inside.select(part, "node").distinct(), asking.select(part, "node").distinct()
 
 
+def _near(percent: int, a: str, b: str) -> Column:
+    """Whether some sets of ``lo`` to ``hi`` shingles of the columns ``a`` and ``b`` can link by their sizes."""
+    return (F.col(f"hi{a}") * 100 >= percent * F.col(f"lo{b}")) & (F.col(f"hi{b}") * 100 >= percent * F.col(f"lo{a}"))
+
+
+def _labelled(keys: DataFrame, classes: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``keys`` with the class ``c`` of each node; and of each key the classes that have it, with their nodes ``n`` and sizes there."""
+    label = keys.select("key", "node", "size").join(classes, "node", "left").withColumn("c", F.coalesce("component", "node"))
+    return label, stored(label.groupBy("key", "c").agg(F.count(F.lit(1)).alias("n"), F.min("size").alias("lo"), F.max("size").alias("hi")))
+
+
+def join_crowds(keys: DataFrame, texts: DataFrame, classes: DataFrame, total: int, n: int, percent: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """``classes`` after the rounds in which classes crowding around a key are joined, and what ``_labelled`` says of them."""
+    turn = 0
+    while True:
+        label, held = _labelled(keys, classes)
+        hub = held.groupBy("key").agg(F.count(F.lit(1)).alias("_m"), F.max(F.struct("n", "c", "lo", "hi")).alias("h")).where(F.col("_m") > CROWD)
+        hub = hub.select("key", F.col("h.c").alias("group"), F.col("h.lo").alias("lo2"), F.col("h.hi").alias("hi2"))
+        asks = held.select("key", "c", F.col("lo").alias("lo1"), F.col("hi").alias("hi1")).join(hub, "key").where((F.col("c") != F.col("group")) & _near(percent, "1", "2"))
+        best = asks.groupBy("c", "group").count().groupBy("c").agg(F.max(F.struct("count", "group")).alias("m"))
+        best = stored(best.select("c", "m.group"))
+        asking = best.count()
+        if not asking:
+            return classes, label, held
+        # a class of many blocks is asked in one of them by each node, in another one in the next round
+        member = label.select("c", "node").distinct()
+        queries = best.join(member, "c").select("group", "node")
+        inside = best.select("group").distinct().join(member.withColumnRenamed("c", "group"), "group").select("group", "node")
+        both = stored(inside.withColumn("asks", F.lit(0)).unionByName(queries.withColumn("asks", F.lit(1))))
+        sizes = both.groupBy("group").agg(F.greatest(F.sum("asks"), F.sum(1 - F.col("asks"))).alias("_n"))
+        dealt = both.join(sizes.select("group", F.ceil(F.col("_n") / BLOCK_SETS).alias("_blocks")), "group")
+        dealt = _parts(dealt.withColumn("block", F.pmod(F.xxhash64("node", F.lit(turn)), "_blocks")), total).select("part", "node", "asks")
+        more = _search(texts, *(dealt.where(F.col("asks") == x).select("part", "node").distinct() for x in (0, 1)), n, percent)
+        before, classes = classes, stored(components(_stars(classes).unionByName(more)))
+        if 10 * (_joined(classes) - _joined(before)) < asking:
+            return classes, *_labelled(keys, classes)
+        turn += 1
+
+
+def _stars(classes: DataFrame) -> DataFrame:
+    return classes.select(F.col("node").alias("a"), F.col("component").alias("b"))
+
+
+def _joined(classes: DataFrame) -> int:
+    """How many classes fewer there are than nodes."""
+    return classes.agg(F.count(F.lit(1)) - F.countDistinct("component")).first()[0]
+
+
 def similar_classes(documents: DataFrame, *, n: int = 4, percent: int = 85, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """For every row ``id_col``, ``n_shingles``, ``component_id`` (the smallest id reachable by links), ``text_hash`` and ``first``.
 
@@ -223,14 +277,12 @@ def similar_classes(documents: DataFrame, *, n: int = 4, percent: int = 85, id_c
     classes = stored(components(links))
 
     # second search: classes that share enough keys, members of the smaller among those of the larger
-    label = keys.select("key", "node", "size").join(classes, "node", "left").withColumn("c", F.coalesce("component", "node"))
-    held = label.groupBy("key", "c").agg(F.min("size").alias("lo"), F.max("size").alias("hi"))
+    classes, label, held = join_crowds(keys, texts, classes, total, n, percent)
     many = held.groupBy("key").agg(F.count(F.lit(1)).alias("_m")).where("_m > 1").select("key")
     held = held.join(many, "key")
     left = held.select("key", *[F.col(x).alias(f"{x}1") for x in ("c", "lo", "hi")])
     right = held.select("key", *[F.col(x).alias(f"{x}2") for x in ("c", "lo", "hi")])
-    near = (F.col("hi1") * 100 >= percent * F.col("lo2")) & (F.col("hi2") * 100 >= percent * F.col("lo1"))
-    shared = left.join(right, "key").where((F.col("c1") < F.col("c2")) & near).groupBy("c1", "c2").agg(
+    shared = left.join(right, "key").where((F.col("c1") < F.col("c2")) & _near(percent, "1", "2")).groupBy("c1", "c2").agg(
         F.count(F.lit(1)).alias("shared"), *[F.min(f"lo{i}").alias(f"lo{i}") for i in "12"], *[F.max(f"hi{i}").alias(f"hi{i}") for i in "12"]
     )
     # Sets of x <= y shingles that link share T >= (x + y) percent / (100 + percent). Of these, fewer than percent of y
@@ -247,7 +299,7 @@ def similar_classes(documents: DataFrame, *, n: int = 4, percent: int = 85, id_c
     ))
     inside, asking = _dealt(pairs, label.select("c", "node").distinct(), extent)
     more = _search(texts, inside, asking, n, percent)
-    classes = components(links.unionByName(more))
+    classes = components(_stars(classes).unionByName(more))
 
     named = rows.join(classes, "node", "left").withColumn("c", F.coalesce("component", "node"))
     order = F.struct(F.col("id").isNull().alias("none"), "id", "text_hash")
