@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import anchors
-from .common import BYTE_VALUES, blocks, prefix_hash, span_hash, stored, text_buffer, word_hashes
+from .common import BYTE_VALUES, blocks, prefix_hash, span_hash, stored, text_buffer, word_spans
 
 FIELD = 0
 BLOCK_LINES = 2000
@@ -47,28 +47,47 @@ def text_lines(buf: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return begins, ends, first
 
 
-def parsed(buf: np.ndarray, at: np.ndarray, depth: int) -> tuple[np.ndarray, ...]:
-    """Of each line that is not blank: text, hash, number of tokens, leaf hash; and all tokens with their offsets."""
+def parsed(buf: np.ndarray, at: np.ndarray, depth: int, every: bool = True) -> tuple[np.ndarray, ...]:
+    """Of each line that is not blank: text, hash, number of tokens, leaf hash; and its tokens' place in all tokens.
+
+    Unless ``every`` token is asked for, only the leading ones are hashed.
+    """
     begins, ends, first = text_lines(buf, at)
     line_at = np.concatenate([begins, [len(buf)]]) if len(begins) else np.zeros(1, np.int64)
-    tokens, own, starts, stops = word_hashes(buf, line_at)
-    digits = np.concatenate([[0], np.cumsum(_DIGIT[buf])])
-    tokens = np.where(digits[stops] > digits[starts], np.uint64(FIELD), tokens | np.uint64(1))
+    starts, stops, own = word_spans(buf, line_at)
     size = np.diff(own)
     kept = np.flatnonzero(size > 0)
-    sums = prefix_hash(tokens + np.uint64(3))
-    head = span_hash(sums, own[:-1][kept], own[:-1][kept] + np.minimum(size[kept], depth))
-    leaf = (head ^ (size[kept].astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))).view(np.int64)
-    lines = span_hash(prefix_hash(BYTE_VALUES[buf]), begins[kept], ends[kept]).view(np.int64)
+    size, own = size[kept], own[:-1][kept]
+    lead = np.minimum(size, depth)
+    if not every:
+        words, own = _ranges(own, lead)
+        starts, stops = starts[words], stops[words]
+    prefix = prefix_hash(BYTE_VALUES[buf])
+    tokens = span_hash(prefix, starts, stops)
+    digits = np.flatnonzero(_DIGIT[buf])
+    tokens = np.where(np.searchsorted(digits, stops) > np.searchsorted(digits, starts), np.uint64(FIELD), tokens | np.uint64(1))
+    head = span_hash(prefix_hash(tokens + np.uint64(3)), own, own + lead)
+    leaf = (head ^ (size.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))).view(np.int64)
+    lines = span_hash(prefix, begins[kept], ends[kept]).view(np.int64)
     text = np.searchsorted(first, kept, "right") - 1
-    return text, lines, size[kept], leaf, tokens, own[:-1][kept]
+    return text, lines, size, leaf, tokens, own
+
+
+def _ranges(start: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """All places of the ranges of ``n`` from ``start``, one after the other, and where each range begins there."""
+    begin = np.cumsum(n) - n
+    return np.arange(int(n.sum())) + np.repeat(start - begin, n), begin
 
 
-def packed_tokens(tokens: np.ndarray) -> bytes:
-    """The token hashes of one line, 32 bits of each if it is long."""
-    if len(tokens) <= SHORT_TOKENS:
-        return tokens.tobytes()
-    return np.where(tokens == FIELD, FIELD, (tokens >> np.uint64(32)) | np.uint64(1)).astype(np.uint32).tobytes()
+def packed_tokens(tokens: np.ndarray, start: np.ndarray, size: np.ndarray) -> pa.Array:
+    """The token hashes of each line, 32 bits of each if it is long."""
+    short = np.where(tokens == FIELD, FIELD, (tokens >> np.uint64(32)) | np.uint64(1)).astype(np.uint32)
+    both = np.concatenate([np.ascontiguousarray(tokens).view(np.uint32), short])
+    brief = size <= SHORT_TOKENS
+    n = np.where(brief, 2 * size, size)
+    at, begin = _ranges(np.where(brief, 2 * start, 2 * len(tokens) + start), n)
+    offsets = np.concatenate([4 * begin, [4 * len(at)]]).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(size), [None, pa.py_buffer(offsets), pa.py_buffer(both[at])])
 
 
 def unpacked_tokens(data: bytes, size: int) -> np.ndarray:
@@ -85,7 +104,7 @@ def document_lines(docs: DataFrame, depth: int, with_tokens: bool) -> DataFrame:
         for batch in batches:
             buf, at = text_buffer(batch.column(2))
             for lo, hi in blocks(at):
-                text, line, size, leaf, tokens, start = parsed(buf[at[lo] : at[hi]], at[lo : hi + 1] - at[lo], depth)
+                text, line, size, leaf, tokens, start = parsed(buf[at[lo] : at[hi]], at[lo : hi + 1] - at[lo], depth, with_tokens)
                 if not len(text):
                     continue
                 order = np.lexsort((line, text))
@@ -95,8 +114,7 @@ def document_lines(docs: DataFrame, depth: int, with_tokens: bool) -> DataFrame:
                 keys = batch.slice(lo, hi - lo).select([0, 1]).take(pa.array(text[pick]))
                 columns = [*keys.columns, pa.array(line[pick]), pa.array(leaf[pick])]
                 if with_tokens:
-                    packed = [packed_tokens(tokens[s : s + n]) for s, n in zip(start[pick], size[pick], strict=True)]
-                    columns += [pa.array(size[pick], pa.int32()), pa.array(packed, pa.binary())]
+                    columns += [pa.array(size[pick], pa.int32()), packed_tokens(tokens, start[pick], size[pick])]
                 yield pa.RecordBatch.from_arrays(columns, names=schema.names)
 
     return docs.mapInArrow(run, schema)
@@ -293,21 +311,22 @@ def drop_recurring_lines(documents: DataFrame, *, min_docs: int = 3, agreement:
             sizes, removed, kept = [], [], []
             for text, marks in zip(batch["_packed"], batch["marks"], strict=True):
                 data = unpress.decompress(text.as_py())
-                lines = data.split(b"\n") if data else []
+                n_lines = data.count(b"\n") + 1 if data else 0
                 out = {m["line"] for m in marks.as_py() or ()}
                 if out:
+                    lines = data.split(b"\n") if data else []
                     buf, at = text_buffer(pa.array([data], pa.binary()))
                     begins, ends, _ = text_lines(buf, at)
                     hashes = span_hash(prefix_hash(BYTE_VALUES[buf]), begins, ends).view(np.int64).tolist()
                     stay = [x for x, h in zip(lines, hashes, strict=True) if h not in out or not x.strip(b" \t\r\x0b\x0c")]
                     data = b"\n".join(stay)
-                    removed.append(len(lines) - len(stay))
+                    removed.append(n_lines - len(stay))
                 else:
                     removed.append(0)
-                sizes.append(len(lines))
-                kept.append(data.decode())
+                sizes.append(n_lines)
+                kept.append(data)
             yield pa.RecordBatch.from_arrays(
-                [*batch.select(others).columns, pa.array(sizes, pa.int64()), pa.array(removed, pa.int64()), pa.array(kept, pa.string())],
+                [*batch.select(others).columns, pa.array(sizes, pa.int64()), pa.array(removed, pa.int64()), pa.array(kept, pa.binary()).cast(pa.string())],
                 names=[*others, "n_lines", "n_removed", "kept"],
             )
 
