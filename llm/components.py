@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import discard, stored
 
 
 def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -21,7 +21,8 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         moved = large.join(least, "u")
         small = moved.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        edges = stored(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct())
+        before, edges = edges, stored(small.unionByName(least.select("u", F.col("m").alias("v"))).distinct())
+        discard(before)
         now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == mark:
             break

@@ -28,10 +28,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import blocks, prefix_hash, span_hash, stored, text_buffer, word_hashes
+from .common import blocks, discard, prefix_hash, span_hash, stored, text_buffer, word_hashes
 from .components import components
 
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -162,7 +162,11 @@ def linked(indexed: list[np.ndarray], queries: list[np.ndarray], percent: int) -
 def _search(texts: DataFrame, members: DataFrame, queries: DataFrame, n: int, percent: int) -> DataFrame:
     """Links ``a``, ``b`` found by searching the ``queries`` (``part``, ``node``) of each part among its ``members``."""
     marked = members.select("part", "node", F.lit(False).alias("asks")).unionByName(queries.select("part", "node", F.lit(True).alias("asks")))
-    sent = marked.join(texts, "node").select("part", "node", "asks", "packed")
+    return _links(marked.join(texts, "node"), n, percent)
+
+
+def _links(sent: DataFrame, n: int, percent: int) -> DataFrame:
+    """Links ``a``, ``b`` of the texts (``part``, ``node``, ``asks``, ``packed``) that ask to those of their part that do not."""
 
     def run(part: pa.Table) -> pa.Table:
         unpress = zstandard.ZstdDecompressor()
@@ -177,7 +181,7 @@ def _search(texts: DataFrame, members: DataFrame, queries: DataFrame, n: int, pe
                     found[1].append(int(nodes[here[m]]))
         return pa.table({"a": pa.array(found[0], pa.int64()), "b": pa.array(found[1], pa.int64())})
 
-    return sent.groupBy("part").applyInArrow(run, "a long, b long")
+    return sent.select("part", "node", "asks", "packed").groupBy("part").applyInArrow(run, "a long, b long")
 
 
 def _parts(pairs: DataFrame, total: int) -> DataFrame:
@@ -228,6 +232,7 @@ def join_crowds(keys: DataFrame, texts: DataFrame, classes: DataFrame, total: in
         best = stored(best.select("c", "m.group"))
         asking = best.count()
         if not asking:
+            discard(best)
             return classes, label, held
         # a class of many blocks is asked in one of them by each node, in another one in the next round
         member = label.select("c", "node").distinct()
@@ -239,7 +244,9 @@ def join_crowds(keys: DataFrame, texts: DataFrame, classes: DataFrame, total: in
         dealt = _parts(dealt.withColumn("block", F.pmod(F.xxhash64("node", F.lit(turn)), "_blocks")), total).select("part", "node", "asks")
         more = _search(texts, *(dealt.where(F.col("asks") == x).select("part", "node").distinct() for x in (0, 1)), n, percent)
         before, classes = classes, stored(components(_stars(classes).unionByName(more)))
-        if 10 * (_joined(classes) - _joined(before)) < asking:
+        moved = _joined(classes) - _joined(before)
+        discard(held, best, both, before)
+        if 10 * moved < asking:
             return classes, *_labelled(keys, classes)
         turn += 1
 
@@ -260,26 +267,29 @@ def similar_classes(documents: DataFrame, *, n: int = 4, percent: int = 85, id_c
     Only rows equal in id and text are all true together; so are all rows with an empty set.
     """
     docs = documents.select(F.col(id_col).alias("id"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("text_hash"), F.col(text_col).alias("text"))
-    rows = stored(keyed_sets(docs, n, percent))
-    nodes = rows.where("size > 0").groupBy("node").agg(F.min(F.struct("text_hash", "id", "size", "keys")).alias("r"))
-    nodes = nodes.select("node", "r.text_hash", "r.size", "r.keys")
-    keys = stored(_shared_keys(nodes.select("node", "size", F.explode("keys").alias("key"))))
-    wanted = keys.select("node").distinct().join(nodes.select("node", "text_hash"), "node")
-    texts = stored(_texts(docs, wanted))
+    keyed = stored(keyed_sets(docs, n, percent))
+    rows = stored(keyed.drop("keys"))
+    nodes = keyed.where("size > 0").groupBy("node").agg(F.min(F.struct("size", "keys")).alias("r"))
+    keys = stored(_shared_keys(nodes.select("node", "r.size", F.explode("r.keys").alias("key"))))
+    discard(keyed)
+    wanted = keys.select("node").distinct().join(rows.groupBy("node").agg(F.min("text_hash").alias("text_hash")), "node")
     total = wanted.count()
 
-    # first search: each node by the node that shares most keys with it
+    # first search: each node by the node that shares most keys with it; the texts are stored with the parts they go to
     ask = keys.where(F.expr(f"node <> least AND 100 * size >= {percent} * least_size AND 100 * least_size >= {percent} * size"))
     votes = ask.groupBy("node", "least").count()
     best = votes.groupBy("node").agg(F.max(F.struct("count", F.col("least").alias("group"))).alias("m")).select("node", "m.group")
     first = _parts(best.withColumn("block", F.pmod(F.xxhash64("node"), F.lit(1 + total // BLOCK_SETS))), total)
-    links = stored(_search(texts, first, first.select("part", F.col("group").alias("node")).distinct(), n, percent).distinct())
+    sides = first.select("part", "node", F.lit(False).alias("asks")).unionByName(first.select("part", F.col("group").alias("node"), F.lit(True).alias("asks")).distinct())
+    goes = sides.groupBy("node").agg(F.collect_list(F.struct("part", "asks")).alias("parts"))
+    texts = stored(_texts(docs, wanted.join(goes, "node", "left")))
+    links = stored(_links(texts.select("node", "packed", F.explode("parts").alias("_p")).select("_p.*", "node", "packed"), n, percent).distinct())
     classes = stored(components(links))
 
     # second search: classes that share enough keys, members of the smaller among those of the larger
-    classes, label, held = join_crowds(keys, texts, classes, total, n, percent)
-    many = held.groupBy("key").agg(F.count(F.lit(1)).alias("_m")).where("_m > 1").select("key")
-    held = held.join(many, "key")
+    classes, label, found = join_crowds(keys, texts, classes, total, n, percent)
+    many = found.groupBy("key").agg(F.count(F.lit(1)).alias("_m")).where("_m > 1").select("key")
+    held = found.join(many, "key")
     left = held.select("key", *[F.col(x).alias(f"{x}1") for x in ("c", "lo", "hi")])
     right = held.select("key", *[F.col(x).alias(f"{x}2") for x in ("c", "lo", "hi")])
     shared = left.join(right, "key").where((F.col("c1") < F.col("c2")) & _near(percent, "1", "2")).groupBy("c1", "c2").agg(
@@ -297,9 +307,11 @@ def similar_classes(documents: DataFrame, *, n: int = 4, percent: int = 85, id_c
         F.when(F.col("members1") > F.col("members2"), F.col("c1")).otherwise(F.col("c2")).alias("group"),
         F.when(F.col("members1") > F.col("members2"), F.col("c2")).otherwise(F.col("c1")).alias("other"),
     ))
+    discard(found)
     inside, asking = _dealt(pairs, label.select("c", "node").distinct(), extent)
     more = _search(texts, inside, asking, n, percent)
-    classes = components(_stars(classes).unionByName(more))
+    before, classes = classes, components(_stars(classes).unionByName(more))
+    discard(keys, texts, links, before, pairs)
 
     named = rows.join(classes, "node", "left").withColumn("c", F.coalesce("component", "node"))
     order = F.struct(F.col("id").isNull().alias("none"), "id", "text_hash")
@@ -311,13 +323,17 @@ def similar_classes(documents: DataFrame, *, n: int = 4, percent: int = 85, id_c
 
 
 def _shared_keys(postings: DataFrame) -> DataFrame:
-    """The keys of more than one node: ``key``, ``node``, ``size`` and the smallest node that has it (``least``, ``least_size``)."""
-    seen = postings.groupBy("key").agg(F.count(F.lit(1)).alias("_n"), F.min(F.struct("node", "size")).alias("m")).where("_n > 1")
-    return postings.join(seen.select("key", F.col("m.node").alias("least"), F.col("m.size").alias("least_size")), "key")
+    """The keys of more than one node: ``key``, ``node``, ``size`` and the smallest node that has it (``least``, ``least_size``).
+
+    Most keys have one node, so the postings move once; those of a key stream through a task, which spills what is too long.
+    """
+    own = Window.partitionBy("key")
+    seen = postings.select("key", "node", "size", F.count(F.lit(1)).over(own).alias("_n"), F.min(F.struct("node", "size")).over(own).alias("m"))
+    return seen.where("_n > 1").select("key", "node", "size", F.col("m.node").alias("least"), F.col("m.size").alias("least_size"))
 
 
 def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """``node`` and the compressed text of one row of each."""
+    """The rows of ``wanted`` (one for each ``text_hash``) with the compressed text (``packed``) instead of its hash."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         press = zstandard.ZstdCompressor(level=3)
@@ -327,5 +343,5 @@ def _texts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
             )
 
     packed = docs.select("text_hash", "text").mapInArrow(run, "text_hash long, packed binary").dropDuplicates(["text_hash"])
-    return packed.join(wanted, "text_hash").select("node", "packed")
+    return packed.join(wanted, "text_hash").drop("text_hash")
 
