@@ -43,11 +43,13 @@ def drop_recurring_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 def one_of_each_class(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each class of five-word shingle sets that are 80 % similar: the one with the smallest id."""
     classes = overlap.similar_classes(docs.select("doc_id", "text"), n=5, percent=80)
-    first = classes.where("first").select(F.col("doc_id").alias("_i"), F.col("text_hash").alias("_h"), (F.col("n_shingles") == 0).alias("_empty")).distinct()
-    rows = whole(docs).select("doc_id", F.xxhash64(F.coalesce("text", F.lit(""))).alias("_hash"), "_row")
-    kept = rows.join(first, rows["doc_id"].eqNullSafe(F.col("_i")) & (F.col("_hash") == F.col("_h")))
+    # as a struct, so that nulls are equal, and whole rows move once for the join and the choice of one
+    key = F.struct("doc_id", "_hash").alias("_key")
+    first = classes.where("first").withColumnRenamed("text_hash", "_hash").select(key, (F.col("n_shingles") == 0).alias("_empty"))
+    rows = whole(docs).withColumn("_hash", F.xxhash64(F.coalesce("text", F.lit("")))).select(key, "_row")
+    kept = rows.join(stored(first.distinct()), "_key")
     # texts without words are copies of nothing
-    one = kept.where("not _empty").dropDuplicates(["doc_id", "_hash"])
+    one = kept.where("not _empty").dropDuplicates(["_key"])
     return kept.where("_empty").unionByName(one).select("_row.*")
 
 

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import anchors
-from .common import BYTE_VALUES, blocks, prefix_hash, span_hash, stored, text_buffer, word_spans
+from .common import BYTE_VALUES, blocks, discard, prefix_hash, span_hash, stored, text_buffer, word_spans
 
 FIELD = 0
 BLOCK_LINES = 2000
@@ -292,6 +292,7 @@ def recurring_lines(docs: DataFrame, *, min_docs: int, agreement: float, depth:
     named = plain.unionByName(calm).unionByName(split).join(different.select("line", "docs"), "line")
     enough = named.groupBy("template").agg(F.sum("docs").alias("_docs")).where(F.col("_docs") >= min_docs).select("template")
     places = stored(lines.select(*anchors.KEY, "line").join(named.select("line", "template").join(enough, "template"), "line"))
+    discard(lines, different, part)
     first = places.select("template", *anchors.KEY).distinct().groupBy("template").agg(F.count(F.lit(1)).alias("_docs"), F.min(F.struct(*anchors.KEY)).alias("first"))
     first = first.where(F.col("_docs") >= min_docs).select("template", "first")
     return places.join(first, "template").where(~F.struct(*anchors.KEY).eqNullSafe(F.col("first"))).select(*anchors.KEY, "line")
