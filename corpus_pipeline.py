@@ -48,9 +48,9 @@ def one_of_each_class(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     first = classes.where("first").withColumnRenamed("text_hash", "_hash").select(key, (F.col("n_shingles") == 0).alias("_empty"))
     rows = whole(docs).withColumn("_hash", F.xxhash64(F.coalesce("text", F.lit("")))).select(key, "_row")
     kept = rows.join(stored(first.distinct()), "_key")
-    # texts without words are copies of nothing
-    one = kept.where("not _empty").dropDuplicates(["_key"])
-    return kept.where("_empty").unionByName(one).select("_row.*")
+    # texts without words are copies of nothing, so each of them has a number of its own
+    own = F.when(F.col("_empty"), F.monotonically_increasing_id())
+    return kept.withColumn("_own", own).dropDuplicates(["_key", "_own"]).select("_row.*")
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
