@@ -47,7 +47,9 @@ def one_of_each_class(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     key = F.struct("doc_id", "_hash").alias("_key")
     first = classes.where("first").withColumnRenamed("text_hash", "_hash").select(key, (F.col("n_shingles") == 0).alias("_empty"))
     rows = whole(docs).withColumn("_hash", F.xxhash64(F.coalesce("text", F.lit("")))).select(key, "_row")
-    kept = rows.join(stored(first.distinct()), "_key")
+    first = stored(first.distinct())
+    # the stored key, as Spark casts the other one to its type
+    kept = rows.join(first, rows["_key"] == first["_key"]).select(first["_key"], "_row", "_empty")
     # texts without words are copies of nothing, so each of them has a number of its own
     own = F.when(F.col("_empty"), F.monotonically_increasing_id())
     return kept.withColumn("_own", own).dropDuplicates(["_key", "_own"]).select("_row.*")
