@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -21,6 +23,11 @@ BLOCK_ROWS = 20_000
 HOT_SHARE = 100_000
 # Cells exist for valid degrees only; what lies beyond counts for the cells at the edge.
 _MAX_DEG = 180.0
+# Towards the poles cells get wider by powers of two, up to this one.
+_WIDEST = 12
+# How a pair meets in a cell: both rows on their own level, or one of them on a level coarser than its own. Two rows that
+# are both on a coarser level than their own have met, or missed each other, on a finer one.
+_BOTH_OWN, _LEFT_OWN, _RIGHT_OWN = 0, 1, 2
 
 
 def _cell_index(value: Column, size: Column) -> Column:
@@ -28,24 +35,34 @@ def _cell_index(value: Column, size: Column) -> Column:
     return F.floor(inside / size).cast("bigint")
 
 
+def _width(size: Column, iy: Column) -> Column:
+    """Degrees across a cell of row ``iy``. Cells widen towards the poles as degrees shrink, so a search covers equally many anywhere."""
+    from_pole = F.greatest(F.abs(F.lit(90.0) - F.abs((iy + F.lit(0.5)) * size)), F.lit(0.01))
+    doubled = F.floor(F.log2(F.lit(math.degrees(1.0)) / from_pole))
+    return size * F.pow(F.lit(2.0), F.greatest(F.least(doubled, F.lit(_WIDEST)), F.lit(0)))
+
+
 def _size(level: Column, cell_deg: float) -> Column:
     return F.element_at(
         F.array(*[F.lit(cell_deg * _COARSER**n) for n in range(_TOP + 1)]), level + 1
     )
 
 
-def _cell_key(level: Column, ix: Column, iy: Column) -> Column:
-    """One long per cell: 2 bits of level and 28 bits per axis."""
+def _cell_key(way: Column, level: Column, ix: Column, iy: Column) -> Column:
+    """One long per cell and way to meet: 2 bits each for way and level, and 28 bits per axis."""
     half = 1 << 27
-    return F.shiftleft(F.shiftleft(level.cast("bigint"), 28) + ix + half, 28) + iy + half
+    top = F.shiftleft(way.cast("bigint"), 2) + level
+    return F.shiftleft(F.shiftleft(top, 28) + ix + half, 28) + iy + half
 
 
 def _own_level(box: Column, cell_deg: float, max_cells: int) -> Column:
     def cells(level: int) -> Column:
         size = F.lit(cell_deg * _COARSER**level)
-        across = _cell_index(box["xmax"], size) - _cell_index(box["xmin"], size) + 1
-        down = _cell_index(box["ymax"], size) - _cell_index(box["ymin"], size) + 1
-        return across * down
+        low, high = _cell_index(box["ymin"], size), _cell_index(box["ymax"], size)
+        # The narrowest cells are at one end, or at the equator.
+        width = F.when((low < 0) & (high >= 0), size).otherwise(F.least(_width(size, low), _width(size, high)))
+        across = _cell_index(box["xmax"], width) - _cell_index(box["xmin"], width) + 1
+        return across * (high - low + 1)
 
     return F.when(cells(0) <= max_cells, 0).when(cells(1) <= max_cells, 1).otherwise(_TOP)
 
@@ -65,19 +82,42 @@ def _to_cells(
     ``other`` is None where the other side is known to use only the finest level.
     """
     b, own = F.col(box), F.col(f"_{side}own")
-    if other is None:
-        df = df.withColumn("_level", own)
-    else:
-        coarsest = other.agg(F.max(f"_{oside}own")).scalar()
-        df = df.withColumn("_level", F.explode(F.sequence(own, F.greatest(own, coarsest))))
-    df = df.withColumn("_size", _size(F.col("_level"), cell_deg))
+    mine, theirs = (_LEFT_OWN, _RIGHT_OWN) if side == "l" else (_RIGHT_OWN, _LEFT_OWN)
+
+    def meeting(way: int, level: Column) -> Column:
+        return F.struct(F.lit(way).alias("way"), level.alias("level"))
+
+    # Finer rows of the other side come up to this row's level.
+    ways = F.when(own == 0, F.array(meeting(_BOTH_OWN, own))).otherwise(F.array(meeting(_BOTH_OWN, own), meeting(mine, own)))
+    if other is not None:
+        coarsest = F.coalesce(other.agg(F.max(f"_{oside}own")).scalar(), F.lit(0))
+        coarser = F.array(*[meeting(theirs, F.lit(n)) for n in range(1, _TOP + 1)])
+        ways = F.concat(ways, F.slice(coarser, own + 1, F.greatest(coarsest - own, F.lit(0))))
+    df = df.withColumn("_at", F.explode(ways))
+    df = df.withColumns({"_way": F.col("_at.way"), "_level": F.col("_at.level")}).withColumn("_size", _size(F.col("_level"), cell_deg))
     size = F.col("_size")
-    xs = F.sequence(_cell_index(b["xmin"], size), _cell_index(b["xmax"], size))
     ys = F.sequence(_cell_index(b["ymin"], size), _cell_index(b["ymax"], size))
-    keys = F.flatten(
-        F.transform(xs, lambda x: F.transform(ys, lambda y: _cell_key(F.col("_level"), x, y)))
-    )
-    return df.withColumn("_cell", F.explode(keys))
+
+    def row(y: Column) -> Column:
+        width = _width(size, y)
+        xs = F.sequence(_cell_index(b["xmin"], width), _cell_index(b["xmax"], width))
+        return F.transform(xs, lambda x: _cell_key(F.col("_way"), F.col("_level"), x, y))
+
+    return df.withColumn("_cell", F.explode(F.flatten(F.transform(ys, row)))).drop("_at")
+
+
+def _only_met(df: DataFrame, other: DataFrame, other_box: str, oside: str, cell_deg: float) -> DataFrame:
+    """``df`` without those copies on a coarser level that meet no row there.
+
+    The broadcast list of the other side's coarse cells has at most one entry for each such cell of the earth.
+    """
+    way = _LEFT_OWN if oside == "l" else _RIGHT_OWN
+    large = other.where(F.col(f"_{oside}own") > 0).select(other_box, f"_{oside}own")
+    met = _to_cells(large, None, other_box, oside, "", cell_deg).where(F.col("_way") == way)
+    met = F.broadcast(met.select(F.col("_cell").alias("_met"), F.lit(True).alias("_is_met")).distinct())
+    # Rows on their own level have no key here and stay.
+    joined = df.join(met, F.when(F.col("_way") == way, F.col("_cell")) == F.col("_met"), "left")
+    return joined.where((F.col("_way") != way) | F.col("_is_met")).drop("_met", "_is_met")
 
 
 def _hot_cells(left: DataFrame, right: DataFrame, block_rows: int) -> DataFrame:
@@ -140,12 +180,16 @@ def box_join(
     """
     left = _levelled(left, left_box, "l", cell_deg, max_cells)
     right = _levelled(right, right_box, "r", cell_deg, max_cells)
-    left_cells = _to_cells(left, right, left_box, "l", "r", cell_deg)
+    left_cells = _to_cells(left, right, left_box, "l", "r", cell_deg).drop("_lown")
     finer = None if left_is_small else left
-    right_cells = _to_cells(right, finer, right_box, "r", "l", cell_deg).drop("_level", "_size")
+    right_cells = _to_cells(right, finer, right_box, "r", "l", cell_deg).drop("_rown", "_level", "_size")
+    hot = None if block_rows is None else _hot_cells(left_cells, right_cells, block_rows)
+    left_cells = _only_met(left_cells, right, right_box, "r", cell_deg)
+    if finer is not None:
+        right_cells = _only_met(right_cells, left, left_box, "l", cell_deg)
+    right_cells = right_cells.drop("_way")
     keys = ["_cell"]
-    if block_rows is not None:
-        hot = _hot_cells(left_cells, right_cells, block_rows)
+    if hot is not None:
         left_cells = _blocked(left_cells, hot, left_key, "_lblocks", "_rblocks")
         right_cells = _blocked(right_cells, hot, right_key, "_rblocks", "_lblocks")
         keys += ["_lblocks_i", "_rblocks_i"]
@@ -156,16 +200,13 @@ def box_join(
         & (a["ymin"] <= b["ymax"])
         & (b["ymin"] <= a["ymax"])
     )
-    reference = _cell_key(
-        F.col("_level"),
-        _cell_index(F.greatest(a["xmin"], b["xmin"]), F.col("_size")),
-        _cell_index(F.greatest(a["ymin"], b["ymin"]), F.col("_size")),
-    )
-    once = (F.col("_level") == F.greatest("_lown", "_rown")) & (F.col("_cell") == reference)
+    down = _cell_index(F.greatest(a["ymin"], b["ymin"]), F.col("_size"))
+    across = _cell_index(F.greatest(a["xmin"], b["xmin"]), _width(F.col("_size"), down))
+    once = F.col("_cell") == _cell_key(F.col("_way"), F.col("_level"), across, down)
     pairs = left_cells.join(right_cells, keys).where(overlap & once)
     if condition is not None:
         pairs = pairs.where(condition)
-    return pairs.drop("_cell", "_level", "_size", "_lown", "_rown", "_lblocks_i", "_rblocks_i")
+    return pairs.drop("_cell", "_way", "_level", "_size", "_lblocks_i", "_rblocks_i")
 
 
 def point_box(lon: Column, lat: Column) -> Column:
@@ -181,7 +222,8 @@ def box(xmin: Column, ymin: Column, xmax: Column, ymax: Column) -> Column:
 def widen(b: Column, metres: float, ref_lat: Column) -> Column:
     """A box grown by ``metres``, measured at ``ref_lat`` and rounded outwards."""
     north = F.lit(metres / fixed.METRES_PER_DEGREE * (1 + 1e-9) + 1e-12)
-    east = north / F.greatest(F.cos(F.radians(ref_lat)), F.lit(1e-6))
+    # Latitudes above 90 have a cosine below 0; its size is what a degree of longitude has there.
+    east = north / F.greatest(F.abs(F.cos(F.radians(ref_lat))), F.lit(1e-6))
     return box(b["xmin"] - east, b["ymin"] - north, b["xmax"] + east, b["ymax"] + north)
 
 
