@@ -140,9 +140,11 @@ def sql(body: str, profile: str = "service") -> str:
     return fx.with_frames(body, *(SERVICE if profile == "service" else BATCH))
 
 
-def run(spark: SparkSession, sf_dir: str, profile: str = "service", keep_rejected: bool = False) -> Rc.GapRun:
+def run(
+    spark: SparkSession, sf_dir: str, profile: str = "service", keep_rejected: bool = False, comp_columns: list[str] | None = None
+) -> Rc.GapRun:
     return Rc.run_gaps(
-        fx.stored_listings(spark, sf_dir), fx.stored_parcels(spark, sf_dir), profile, keep_rejected=keep_rejected
+        fx.stored_listings(spark, sf_dir), fx.stored_parcels(spark, sf_dir), profile, keep_rejected=keep_rejected, comp_columns=comp_columns
     )
 
 
@@ -315,7 +317,7 @@ FROM (SELECT r.listing_id, j.* FROM results r LEFT JOIN judged j ON j.target_id
     def candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
         listings = fx.stored_listings(spark, sf_dir)
         eligible = Sp.eligible_listings(listings) if profile == "batch" else listings
-        return Rp.candidate_report(run(spark, sf_dir, profile, keep_rejected=True), eligible, profile)
+        return Rp.candidate_report(run(spark, sf_dir, profile, True, ["comp_eligible"]), eligible, profile)
 
 
 _register_profile("service")

@@ -366,18 +366,26 @@ def candidate_pairs(
         F.col("center").alias("n_center"),
         _acres(p, "neighbour").alias("acres"),
     )
+    similar = S.lot_size_similar("t_acres", "acres", tol)
     if not keep_rejected:
         neighbours = neighbours.where(_reject_neighbour(p).isNull())
-        if not p.skip_size_for_land:
+        # Sizes are similar only where both are known.
+        sized = F.col("t_acres") > 0
+        if p.skip_size_for_land:
+            sized = sized | F.col("is_land")
+        else:
             neighbours = neighbours.where(F.col("acres") > 0)
+        targets = targets.where(sized)
+    if p.skip_size_for_land:
+        # A parcel of land and other listings is searched and measured once.
+        same = [c for c in targets.columns if c not in ("target_id", "is_land")]
+        targets = targets.groupBy("target_id").agg(*[F.first(c).alias(c) for c in same], F.collect_set(F.coalesce("is_land", F.lit(False))).alias("_lands"))
     gap = grid.box_gap_m(F.col("t_box"), F.col("box"), F.col("_east"))
     keep = (F.col("target_id") != F.col("property_id")) & (gap <= reach)
     same_street = (F.col("street") != "") & (F.col("street") == F.col("t_street"))
     if not keep_rejected:
-        similar = S.lot_size_similar("t_acres", "acres", tol)
-        if p.skip_size_for_land:
-            similar = similar | F.col("is_land")
-        keep = keep & similar & (same_street | (gap <= max(close_m, touch_m) * excess))
+        fits = similar | F.array_contains("_lands", True) if p.skip_size_for_land else similar
+        keep = keep & fits & (same_street | (gap <= max(close_m, touch_m) * excess))
     pairs = _shaped_pairs(targets, neighbours, parcels, keep)
     if p.shape_screen:
         # Corners of the box bound the farthest vertex; most pairs need no vertex walk.
@@ -408,10 +416,13 @@ def candidate_pairs(
             "_d", boundary_distances("t_geometry", "geometry", center["lat"], close, p.earth)
         ).withColumn("distance_m", F.col("_d.metres"))
         touch = F.coalesce(F.col("_d.degrees") <= p.touch_tol, F.lit(False))
+    pairs = pairs.withColumn("touches", touch).where((F.col("distance_m") <= far_m) | F.col("touches"))
+    if p.skip_size_for_land:
+        pairs = pairs.withColumn("is_land", F.explode("_lands")).drop("_lands")
+        if not keep_rejected:
+            pairs = pairs.where(similar | F.col("is_land"))
     return (
-        pairs.withColumn("touches", touch)
-        .where((F.col("distance_m") <= far_m) | F.col("touches"))
-        .drop("_search", "_east", "_d", "t_geometry", "geometry", "t_shape", "t_box", "t_center", "box", "computed_acres")
+        pairs.drop("_search", "_east", "_d", "t_geometry", "geometry", "t_shape", "t_box", "t_center", "box", "computed_acres")
     )
 
 

@@ -26,6 +26,9 @@ from parcel_comps.plans.checkpoints import materialize
 from parcel_comps.plans.versions import Table, upsert_into
 from parcel_comps.profiles import Profile, get_profile
 
+#: What medians take from each comp.
+VALUE_COLUMNS = ("target_id", "is_land", "property_id", "property_type", "assessed_value", "t_acres", "acres")
+
 
 @dataclass
 class GapRun:
@@ -53,13 +56,15 @@ def run_gaps(
     far_m: float = fixed.FAR_RADIUS_M,
     tol: float = fixed.SIZE_RATIO,
     keep_rejected: bool = False,
+    comp_columns: list[str] | None = None,
 ) -> GapRun:
     """Resolve every listing, find comps once per distinct parcel, compute all gaps.
 
     All but the price follows from a listing's place, so places are resolved and valued, and each listing moves once, to its
     place. Places, targets, comps and gap rows are read several times further on (distinct
     targets, hot keys, medians, reports), so all are materialised. A listing without id
-    goes by its first address line.
+    goes by its first address line. ``comps`` has all columns of ``find_comps``, or ``comp_columns`` and those that medians need: every
+    rejected neighbour in reach is a row, so a run that only counts them should store little of each.
     """
     p = get_profile(profile)
     listings = named_listings(listings)
@@ -73,7 +78,11 @@ def run_gaps(
         places = places.withColumn("is_land", F.lit(False))
     places = materialize(resolve_places(places, parcels, p).select(*keys, *({"is_land"} - {*keys}), "_n", "target_id", "resolve_method"))
     targets = materialize(target_parcels(places, parcels, p))
-    comps = materialize(find_comps(targets, parcels, p, close_m, far_m, tol, keep_rejected))
+    comps = find_comps(targets, parcels, p, close_m, far_m, tol, keep_rejected)
+    if comp_columns is not None:
+        kept_columns = {*VALUE_COLUMNS, *comp_columns, *(["reject_reason"] if keep_rejected else [])}
+        comps = comps.select(*[c for c in comps.columns if c in kept_columns])
+    comps = materialize(comps)
     kept = comps.where("reject_reason is null") if keep_rejected else comps
     valued = skew_join(places.drop("_n"), target_statistics(kept, targets, p), ["target_id", "is_land"], place_columns(p))
     if not p.skip_size_for_land:
